@@ -1,0 +1,34 @@
+"""Where the operators keep intermediate tables.
+
+Tables cut the lineage between the steps of an iterative or multi-step job. They
+go to the folder the cluster names in ``spark.checkpoint.dir``, which every
+executor can read, so a lost executor costs a re-read and not a re-run.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder of the cluster; a folder of our own only if none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that no other run uses."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read again."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
