@@ -46,8 +46,9 @@ BASE_RULES = (
         r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
         12, 2, r"(?i:password|passwd|secret|token|api_?key)",
     ),
-    Rule("access", 1, r"AKIA[A-Z0-9]+", 18, 0, r"AKIA[A-Z0-9]{14}"),
-    Rule("hex", 1, r"[0-9a-f]+", 16, 0, r"[0-9a-f]{16}"),
+    # a match of [..]+ is a whole run of the class, so its least length can go into the pattern
+    Rule("access", 1, r"AKIA[A-Z0-9]{14,}"),
+    Rule("hex", 1, r"[0-9a-f]{16,}"),
 )
 
 #: Kinds beyond the base ones; they only add spans.
@@ -156,8 +157,8 @@ OP3_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 f AS ({" UNION ALL ".join([
     _sql_spans("assign", 0, _ASSIGN + "[A-Za-z0-9+/_.=-]+", f"length(regexp_replace(m[i], '^{_ASSIGN}', '')) >= 12"),
-    _sql_spans("access", 1, "AKIA[A-Z0-9]+", "length(m[i]) >= 18"),
-    _sql_spans("hex", 2, "[0-9a-f]+", "length(m[i]) >= 16"),
+    _sql_spans("access", 1, "AKIA[A-Z0-9]{14,}", "true"),
+    _sql_spans("hex", 2, "[0-9a-f]{16,}", "true"),
     _sql_spans("pem", 3, MORE_RULES[0].pattern, "true"),
     _sql_spans("jwt", 4, MORE_RULES[1].pattern, "true"),
 ])}),
