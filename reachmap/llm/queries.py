@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets, urlfilter, warc
+from . import secrets, simhash, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urlfilter.op1_url_filters,
     "op3_secret_scans": secrets.op3_secret_scans,
     "op4_warc_chunks": warc.op4_warc_chunks,
+    "op8_simhash": simhash.op8_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_secret_scans": secrets.OP3_SQL, "op4_warc_chunks": warc.OP4_SQL}
