@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets, simhash, urlfilter, warc
+from . import langid, quality, secrets, simhash, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urlfilter.op1_url_filters,
+    "op2_language_id": langid.op2_language_id,
     "op3_secret_scans": secrets.op3_secret_scans,
     "op4_warc_chunks": warc.op4_warc_chunks,
+    "op6_quality": quality.op6_quality,
     "op8_simhash": simhash.op8_simhash,
 }
 
