@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality, secrets, simhash, urlfilter, warc
+from . import langid, quality, secrets, simhash, spm, tiling, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urlfilter.op1_url_filters,
@@ -14,7 +14,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scans": secrets.op3_secret_scans,
     "op4_warc_chunks": warc.op4_warc_chunks,
     "op6_quality": quality.op6_quality,
+    "op7_decontamination": tiling.op7_decontamination,
     "op8_simhash": simhash.op8_simhash,
+    "op9_sentencepiece": spm.op9_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_secret_scans": secrets.OP3_SQL, "op4_warc_chunks": warc.OP4_SQL}
