@@ -14,6 +14,7 @@ documents labelled both ways are not learned from; null ids are held out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -167,6 +168,21 @@ def score(docs: DataFrame, model: Model | float, text_col: str, keep: list[Colum
     return rows.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, model: Model | float, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` whose score is ``threshold`` or more, all columns as they are."""
+    if isinstance(model, float):
+        return docs if model >= threshold else docs.limit(0)
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    least = math.log(threshold / (1 - threshold))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([model.log_odds(t or "") >= least for t in batch.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(True))
 

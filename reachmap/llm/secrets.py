@@ -93,13 +93,13 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
 
-def scan(versions: DataFrame, keys: list[str], content: str, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> tuple[DataFrame, DataFrame]:
+def scan(versions: DataFrame, keys: list[str], content: str, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, spans_col: str = "spans") -> tuple[DataFrame, DataFrame]:
     """Findings for every version row, and the rows this run adds to the ledger.
 
     ``versions`` has one row for each path and version; ``keys`` name the columns
     to return beside the findings. ``ledger`` has the rows (blob, rules, spans) of
     former runs. Only blob and rule-version pairs that it lacks are scanned.
-    The first frame has keys and ``spans``, sorted by start, then by rule order.
+    The first frame has keys and ``spans_col``, sorted by start, then by rule order.
     """
     text = F.coalesce(F.col(content), F.lit(""))
     blobs = versions.select(F.sha2(text, 256).alias("blob"), text.alias("content")).groupBy("blob").agg(F.first("content").alias("content"))
@@ -118,8 +118,8 @@ def scan(versions: DataFrame, keys: list[str], content: str, ledger: DataFrame |
     if known is not None:
         found = found.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     paths = versions.select(*keys, F.sha2(text, 256).alias("__blob"))
-    joined = paths.join(found.withColumnRenamed("blob", "__blob").withColumnRenamed("spans", "__spans"), "__blob", "left")
-    return joined.select(*keys, F.coalesce("__spans", F.array().cast(SPAN)).alias("spans")), added
+    joined = paths.join(found.withColumnRenamed("blob", "__blob").withColumnRenamed("spans", "__found"), "__blob", "left")
+    return joined.select(*keys, F.coalesce("__found", F.array().cast(SPAN)).alias(spans_col)), added
 
 
 def spans_text(spans: Column) -> Column:
@@ -127,6 +127,29 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """``text`` with every stretch that spans cover, alone or together, replaced by ``mark``; spans are sorted by start."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        # a span that begins inside the last one only moves its end
+        before = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        fresh = F.struct(s["end"].alias("at"), F.concat(acc["out"], before, F.lit(mark)).alias("out"))
+        return F.when((acc["out"] == "") | (s["start"] >= acc["at"]), fresh).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
+
+    done = F.aggregate(spans, start, step)
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+
+
+def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None, ledger: DataFrame | None = None) -> DataFrame:
+    """``docs`` with the secrets in ``text_col`` replaced, and ``length_col`` set to the new length where it was not null."""
+    found, _ = scan(docs, docs.columns, text_col, ledger, spans_col="__spans")
+    hidden = found.withColumn(text_col, redacted(F.col(text_col), F.col("__spans")))
+    if length_col:
+        hidden = hidden.withColumn(length_col, F.when((F.size("__spans") > 0) & F.col(length_col).isNotNull(), F.length(text_col).cast("long")).otherwise(F.col(length_col)))
+    return hidden.select(*docs.columns)
+
+
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger: DataFrame | None = None) -> DataFrame:
     """Counts, digest and spans for each document."""
     found, _ = scan(docs.select(id_col, text_col), [id_col], text_col, ledger)

@@ -220,3 +220,18 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     parts = components(links)
     named = nodes.join(parts, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     return prints.join(named, "key").select(F.col("id").alias(id_col), "component_id").distinct()
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that have the least id of their group, all columns as they are.
+
+    Rows with a null id stay. Of rows that repeat an id one stays.
+    """
+    groups = written(near_duplicate_groups(docs, id_col, text_col, **options), "groups")
+    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
+    kept = docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    again = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).count().filter("count > 1").select("__id")
+    if again.isEmpty():
+        return kept
+    repeated = kept.join(again, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
+    return kept.join(again, F.col(id_col) == F.col("__id"), "left_anti").unionByName(repeated)

@@ -138,15 +138,40 @@ def _search(docs: DataFrame, benchmark: Benchmark, coverage: float) -> DataFrame
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
+def _blocks(items: DataFrame, max_tokens: int) -> Iterator[Benchmark]:
+    """The benchmark (item_id, text) in parts that can be broadcast."""
+    tokens = items.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
+    blocks = max(1, math.ceil(tokens / max_tokens))
+    for block in range(blocks):
+        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
+        yield Benchmark.of([(r["item_id"], r["text"]) for r in own.collect()])
+
+
+def _items(benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    return benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """The rows of ``docs`` that contain no item, all columns as they are; nothing is shuffled."""
+    place = docs.columns.index(text_col)
+    for part in _blocks(_items(benchmark, item_col, item_text_col), max_tokens):
+        shared = docs.sparkSession.sparkContext.broadcast(part)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = [not any(x[2] >= coverage * x[1] for x in shared.value.search(t or "")) for t in batch.column(place).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(id, item_id, item_tokens, covered, tiles, coverage) for each document row and item that it contains."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
-    tokens = items.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
-    blocks, found = max(1, math.ceil(tokens / max_tokens)), None
-    for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect() if blocks > 1 else items.collect()
-        part = _search(rows, Benchmark.of([(r["item_id"], r["text"]) for r in own]), coverage)
+    found = None
+    for own in _blocks(_items(benchmark, item_col, item_text_col), max_tokens):
+        part = _search(rows, own, coverage)
         found = part if found is None else found.unionByName(part)
     return found.withColumn("coverage", F.col("covered") / F.col("item_tokens")).withColumnRenamed("id", id_col)
 
