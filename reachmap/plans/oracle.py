@@ -114,11 +114,11 @@ FINAL: dict[str, str] = {
     "q11_nearest_provider": "SELECT * FROM nearest",
     "q12_area_atlas": "SELECT * FROM atlas ORDER BY fips",
     "q13a_filter_none": "SELECT * FROM atlas",
-    "q13b_filter_state": "SELECT * FROM atlas WHERE state = 'TX'",
+    "q13b_filter_state": "SELECT * FROM atlas WHERE state = 'ND'",
     "q13c_filter_rural": "SELECT * FROM atlas WHERE rural",
     "q13d_filter_facility": "SELECT * FROM atlas WHERE n_cah <> 0",
     "q13e_filter_shortage": "SELECT * FROM atlas WHERE hpsa_primary_care",
-    "q13f_filter_stacked": "SELECT * FROM atlas WHERE state = 'TX' AND rural AND hpsa_primary_care",
+    "q13f_filter_stacked": "SELECT * FROM atlas WHERE state = 'ND' AND rural AND hpsa_primary_care",
     "q14_national_stats": f"SELECT *, concat(format('{{:.1f}}', round_even(zero_share * 1000, 0) / 10), '%') AS zero_share_text FROM (SELECT {_stats} FROM atlas)",
     "q15_state_stats": f"SELECT state, {_stats} FROM atlas GROUP BY ROLLUP (state)",
     "q16_density_histogram": _histogram("density", "n_providers"),

@@ -21,11 +21,11 @@ QUERIES: dict[str, Query] = {}
 WANTED_BRANDS = ["Brand#1", "Brand#7", "Brand#13"]
 FILTERS = {
     "q13a_filter_none": AreaQuery(),
-    "q13b_filter_state": AreaQuery(state="TX"),
+    "q13b_filter_state": AreaQuery(state="ND"),
     "q13c_filter_rural": AreaQuery(rural_only=True),
     "q13d_filter_facility": AreaQuery(facility_only=True),
     "q13e_filter_shortage": AreaQuery(shortage_only=True),
-    "q13f_filter_stacked": AreaQuery(state="TX", rural_only=True, shortage_only=True),
+    "q13f_filter_stacked": AreaQuery(state="ND", rural_only=True, shortage_only=True),
 }
 
 
