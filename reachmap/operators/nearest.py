@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import arc_miles, unit_vector
 from ..functions.keys import round_even
+from ..storage import written
 
 #: Pairs up to which all are compared, and points up to which they are broadcast for it.
 BRUTE_PAIRS, BROADCAST_POINTS = 1_000_000_000, 500_000
@@ -38,7 +39,7 @@ def nearest_miles(areas: DataFrame, points: DataFrame, key: str, lat: str, lng:
     Points are made distinct first, as only the distance counts. Small inputs are
     compared pair by pair against broadcast points. Larger ones go by a grid of cubes: a
     distance within the cube's edge is exact, the others go on with cubes four times
-    as large, until a cube holds the sphere.
+    as large, until a cube holds the sphere. Rounds are written to the shared folder.
     """
     x, y, z = unit_vector(F.col(lat), F.col(lng))
     queries = areas.dropna(subset=[lat, lng]).select(F.col(key).alias("key"), x.alias("qx"), y.alias("qy"), z.alias("qz"))
@@ -50,11 +51,13 @@ def nearest_miles(areas: DataFrame, points: DataFrame, key: str, lat: str, lng:
     if strategy == "brute":
         found = _brute(queries, points)
     else:
-        found, left = None, queries
+        found, left, points = None, written(queries, "queries"), written(points, "points")
         while True:
-            part = _grid_round(left, points, edge)
+            part = written(_grid_round(left, points, edge), "near")
             found = part if found is None else found.unionByName(part)
-            if edge >= 2:
+            if edge >= 2:  # a cube and its neighbours hold the sphere
+                break
+            left, edge = written(left.join(part.select("key"), "key", "left_anti"), "left"), edge * 4
+            if left.isEmpty():
                 break
-            left, edge = left.join(part.select("key"), "key", "left_anti"), edge * 4
     return found.select(F.col("key").alias(key), round_even(arc_miles(F.sqrt("d2")), 1).alias(out))
