@@ -18,7 +18,9 @@ same in each run.
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vocab as vocabs
-from .storage import written
+from ..storage import written
 from .vocab import Vocab
 
 #: Characters in a chunk; longer texts are split.
 CHUNK = 1 << 15
-CACHE = 200_000
+#: Stretches that a task remembers.
+CACHE = 250_000
 
 
 class Encoder(dict):
@@ -44,38 +47,40 @@ class Encoder(dict):
         self.parts = re.compile(r"\n| *[^ \n]+| +" if vocab.cuts_at_line else r" *[^ ]+| +") if vocab.cuts_at_space else re.compile(r"(?s).+")
 
     def __missing__(self, text: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
         ids = self.trace(text)
-        if len(text) <= 64:
+        # common stretches come early; what is met after that is mostly met once
+        if len(self) < CACHE and len(text) <= 64:
             self[text] = ids
         return ids
 
     def trace(self, text: str) -> bytes:
         v, n = self.vocab, len(text)
-        get, longest = v.pieces.get, v.longest
-        best, back = [0.0] + [-np.inf] * n, [None] * (n + 1)
+        begins, worst = v.begins, v.unk_score
+        best, back = [-math.inf] * (n + 1), [(0, 0)] * (n + 1)
+        best[0] = 0.0
         for i in range(n):
-            so_far = best[i]
-            hit = get(text[i])
-            score = so_far + (hit[1] if hit else v.unk_score)
-            if score > best[i + 1]:
-                best[i + 1], back[i + 1] = score, (i, hit)
-            for j in range(i + 2, min(n, i + longest) + 1):
-                hit = get(text[i:j])
+            so_far, j = best[i], i + 1
+            hit = begins.get(text[i], 0)
+            single = so_far + (hit[1] if hit else worst)
+            if single > best[j]:
+                best[j], back[j] = single, (i, hit[0] if hit else -1)
+            while hit != 0 and j < n:  # 0: no piece begins like this
+                j += 1
+                hit = begins.get(text[i:j], 0)
                 if hit and so_far + hit[1] > best[j]:
-                    best[j], back[j] = so_far + hit[1], (i, hit)
+                    best[j], back[j] = so_far + hit[1], (i, hit[0])
         ids: list[int] = []
         while n:
-            i, hit = back[n]
-            if hit:
-                ids.append(hit[0])
+            i, piece = back[n]
+            if piece >= 0:
+                ids.append(piece)
             elif v.byte_ids:
                 ids += [v.byte_ids[b] for b in reversed(text[i:n].encode())]
             else:
                 ids.append(v.unk_id)
             n = i
-        return np.array(ids[::-1], np.int32).tobytes()
+        ids.reverse()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text that already has its leading space."""
@@ -131,6 +136,11 @@ class Encoder(dict):
         return float(scores.sum())
 
 
+def text_of(ids: np.ndarray, vocab: Vocab) -> str:
+    """The text that ids stand for, with the leading space."""
+    return b"".join(map(vocab.bytes_of.__getitem__, ids.tolist())).decode(errors="replace")
+
+
 def boundaries(matrices: list[np.ndarray]) -> list[int]:
     """States before the first chunk, between chunks and after the last one, on the best path from 0 to 0."""
     levels = [matrices]
@@ -150,7 +160,7 @@ def boundaries(matrices: list[np.ndarray]) -> list[int]:
 
 
 def _long_ids(texts: DataFrame, shared, chunk: int) -> DataFrame:
-    """(key, ids) for texts (key, text), each key once."""
+    """(key, ids, exact) for texts (key, text), each key once."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ahead = shared.value.longest - 1
@@ -176,20 +186,22 @@ def _long_ids(texts: DataFrame, shared, chunk: int) -> DataFrame:
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            ids = [encoder.encode(p[b : n + o]) for n, p, b, o in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["key", "no", "ids"])
+            parts = [p[b : n + o] for n, p, b, o in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
+            ids = [encoder.encode(p) for p in parts]
+            exact = [text_of(i, encoder.vocab) == p for p, i in zip(parts, ids, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(exact)], ["key", "no", "ids", "exact"])
 
     chunks = written(texts.mapInArrow(split, "key string, no int, n int, part string"), "chunks")
     placed = chunks.mapInArrow(transfers, "key string, no int, m array<double>").groupBy("key").applyInArrow(states, "key string, no int, begin int, over int")
-    traced = chunks.join(placed, ["key", "no"]).select("key", "no", "n", "part", "begin", "over").mapInArrow(trace, "key string, no int, ids array<int>")
-    return traced.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("no", "ids"))), lambda x: x["ids"])).alias("ids"))
+    traced = chunks.join(placed, ["key", "no"]).select("key", "no", "n", "part", "begin", "over").mapInArrow(trace, "key string, no int, ids array<int>, exact boolean")
+    return traced.groupBy("key").agg(F.bool_and("exact").alias("exact"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("no", "ids"))), lambda x: x["ids"])).alias("ids"))
 
 
-def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", path: str = vocabs.DEFAULT_PATH, chunk: int = CHUNK) -> DataFrame:
-    """``docs`` with the column ``ids_col`` (array of int; it takes the place of a column of that name)."""
+def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", exact_col: str = "exact", path: str = vocabs.DEFAULT_PATH, chunk: int = CHUNK) -> DataFrame:
+    """``docs`` with the ids (array of int), and whether they decode to the text; both take the place of columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabs.load(path))
     chunk = max(chunk, shared.value.longest)
-    docs = docs.drop(ids_col)
+    docs = docs.drop(ids_col, exact_col)
     names = docs.columns
     whole = docs.filter(F.col(text_col).isNull() | (F.length(text_col) < chunk))
     long = docs.filter(F.length(text_col) >= chunk).withColumn("__key", F.sha2(text_col, 256))
@@ -197,13 +209,15 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", path:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, place = Encoder(shared.value), names.index(text_col)
         for batch in batches:
-            ids = [None if t is None else encoder.encode(" " + t if t else "") for t in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*names, ids_col])
+            texts = batch.column(place).to_pylist()
+            ids = [None if t is None else encoder.encode(" " + t if t else "") for t in texts]
+            exact = [t is None or text_of(i, encoder.vocab)[1:] == t for t, i in zip(texts, ids, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(exact, pa.bool_())], [*names, ids_col, exact_col])
 
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in docs.dtypes), f"`{ids_col}` array<int>"])
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in docs.dtypes), f"`{ids_col}` array<int>", f"`{exact_col}` boolean"])
     short = whole.mapInArrow(run, schema)
     ids = _long_ids(long.select(F.col("__key").alias("key"), F.col(text_col).alias("text")).dropDuplicates(["key"]), shared, chunk)
-    joined = long.join(ids.select(F.col("key").alias("__key"), F.col("ids").alias("__ids")), "__key").select(*[F.col(f"`{n}`") for n in names], F.col("__ids").alias(ids_col))
+    joined = long.join(ids.select(F.col("key").alias("__key"), F.col("ids").alias("__ids"), F.col("exact").alias("__exact")), "__key").select(*[F.col(f"`{n}`") for n in names], F.col("__ids").alias(ids_col), F.col("__exact").alias(exact_col))
     return short.unionByName(joined)
 
 
@@ -227,8 +241,8 @@ def decode(encoded: DataFrame, ids_col: str = "ids", text_col: str = "decoded",
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = vocabs.DEFAULT_PATH) -> DataFrame:
     """(id, n_chars, n_tokens, ids_hash, exact) for each row: exact if decoding gave the text back."""
-    done = decode(encode(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), path=path), path=path)
-    return done.select(F.col("id").alias(id_col), F.length("text").alias("n_chars"), F.coalesce(F.size("ids"), F.lit(0)).alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), F.col("text").eqNullSafe(F.col("decoded")).alias("exact"))
+    done = encode(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), path=path)
+    return done.select(F.col("id").alias(id_col), F.length("text").alias("n_chars"), F.coalesce(F.size("ids"), F.lit(0)).alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), "exact")
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ class Vocab:
     bytes_of: list[bytes]
     scores: np.ndarray
     longest: int
+    #: Every beginning of a piece, with the (id, score) of those that are pieces themselves.
+    begins: dict[str, tuple[int, float] | None]
     #: No piece goes on over a space after another character, so texts can be cut there.
     cuts_at_space: bool
     #: No piece of several characters has a line end.
@@ -46,7 +48,8 @@ def load(path: str = DEFAULT_PATH) -> Vocab:
             pieces[text] = (i, score)
     has_bytes = any(model.is_byte(i) for i in range(model.vocab_size()))
     least = min(s for _, s in pieces.values())
+    begins: dict[str, tuple[int, float] | None] = {p[:n]: None for p in pieces for n in range(1, len(p))}
     return Vocab(
-        pieces, byte_ids if has_bytes else None, model.unk_id(), least - 10, table, np.array(scores), max(map(len, pieces)),
+        pieces, byte_ids if has_bytes else None, model.unk_id(), least - 10, table, np.array(scores), max(map(len, pieces)), begins | pieces,
         not any(" " in p.lstrip(" ") for p in pieces), not any("\n" in p and len(p) > 1 for p in pieces),
     )
