@@ -11,7 +11,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from reachmap.llm import components, langid, lattice, multiindex, quality, secrets, simhash, spm, storage, tiling, urlfilter, vocab, warc
+from reachmap import storage
+from reachmap.llm import components, langid, lattice, multiindex, quality, secrets, simhash, spm, tiling, urlfilter, vocab, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"word{i % 977} and" for i in range(30_000))
