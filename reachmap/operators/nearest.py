@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import arc_miles, unit_vector
@@ -15,13 +15,20 @@ from ..storage import written
 BRUTE_PAIRS, BROADCAST_POINTS = 1_000_000_000, 500_000
 
 
-def _square() -> F.Column:
-    return sum((F.pow(F.col(f"q{a}") - F.col(f"p{a}"), 2) for a in "yz"), F.pow(F.col("qx") - F.col("px"), 2))
+def _square() -> Column:
+    gaps = [F.col(f"q{a}") - F.col(f"p{a}") for a in "xyz"]
+    return gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
 
 
 def _brute(queries: DataFrame, points: DataFrame) -> DataFrame:
-    """(key, d2) by comparing all pairs; one partial minimum a task and query."""
-    return queries.join(F.broadcast(points)).groupBy("key").agg(F.min(_square()).alias("d2"))
+    """(key, d2) by comparing all pairs.
+
+    Queries are dealt out by key first: the work spreads over all cores, and the
+    minimum needs no further shuffle.
+    """
+    spark = queries.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return queries.repartition(tasks, "key").join(F.broadcast(points)).groupBy("key").agg(F.min(_square()).alias("d2"))
 
 
 def _grid_round(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame:
@@ -46,7 +53,7 @@ def nearest_miles(areas: DataFrame, points: DataFrame, key: str, lat: str, lng:
     x, y, z = unit_vector(F.col(point_lat), F.col(point_lng))
     points = points.select(point_lat, point_lng).dropna().distinct().select(x.alias("px"), y.alias("py"), z.alias("pz"))
     if strategy is None:
-        n, m = queries.count(), points.count()
+        n, m = queries.agg(F.count(F.lit(1))).crossJoin(points.agg(F.count(F.lit(1)))).first()  # two single rows
         strategy = "brute" if m <= BROADCAST_POINTS and n * m <= BRUTE_PAIRS else "grid"
     if strategy == "brute":
         found = _brute(queries, points)
