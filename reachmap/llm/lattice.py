@@ -34,12 +34,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vocab as vocabs
-from .storage import written
+from ..storage import written
 from .vocab import Vocab
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 8 << 20
-BLOCKS = "block long, word binary, place int, n long, id long, held_out boolean, places array<int>"
+BLOCK_BYTES = 16 << 20
+BLOCKS = "block long, word binary, place int, n long, id long, held_out boolean, places binary"
 
 
 class Places(dict):
@@ -50,9 +50,18 @@ class Places(dict):
         return place
 
 
+def packed(places: np.ndarray) -> bytes:
+    """Places byte plane by byte plane: the upper planes are nearly empty and cost little once compressed."""
+    return places.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4")[:, 0]
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of BLOCKS: for each block its texts, then its words with their training counts."""
-    schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("place", pa.int32()), ("n", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("places", pa.list_(pa.int32()))])
+    schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("place", pa.int32()), ("n", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("places", pa.binary())])
 
     def rows(size: int, **given: pa.Array) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(size, f.type)) for f in schema], schema=schema)
@@ -72,13 +81,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, text in enumerate(texts):
             raw = text.encode().lower()
             own = np.fromiter(map(words.__getitem__, raw.split()), np.int32)
-            places.append(own)
+            places.append(packed(own))
             if not outs[k]:
                 counted.append(own)
             size += len(raw)
             if size >= BLOCK_BYTES or k + 1 == len(texts):
                 m = k + 1 - start
-                yield rows(m, block=pa.array(np.full(m, block)), id=pa.array(ids[start : k + 1], pa.int64()), held_out=pa.array(outs[start : k + 1], pa.bool_()), places=pa.array(places, pa.list_(pa.int32())))
+                yield rows(m, block=pa.array(np.full(m, block)), id=pa.array(ids[start : k + 1], pa.int64()), held_out=pa.array(outs[start : k + 1], pa.bool_()), places=pa.array(places, pa.binary()))
                 start, places = k + 1, []
             if size >= BLOCK_BYTES:
                 yield from close()
@@ -156,7 +165,7 @@ def lattice_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", te
         c, z = np.zeros(n), np.zeros(n)
         c[table["place"].to_numpy()], z[table["place"].to_numpy()] = table["c"].to_numpy(), table["z"].to_numpy()
         logs, seen = np.log10(c + 1), c > 0
-        places = [np.array(p, np.int64) for p in own["places"].to_pylist()]
+        places = [unpacked(p) for p in own["places"].to_pylist()]
         return pa.table({
             "id": own["id"], "held_out": own["held_out"], "n_tokens": pa.array([len(p) + 1 for p in places], pa.int64()),
             "n_known": pa.array([int(seen[p].sum()) + (ends > 0) for p in places], pa.int64()),
