@@ -66,6 +66,11 @@ def members(areas: DataFrame, keys: DataFrame, flag: str) -> DataFrame:
     return areas.join(keys.select("fips", F.lit(True).alias(flag)), "fips", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
+def within(areas: DataFrame, keys: DataFrame, inside: bool = True) -> DataFrame:
+    """The areas whose ``fips`` is in ``keys``, or those whose isn't."""
+    return areas.join(keys.select("fips"), "fips", "left_semi" if inside else "left_anti")
+
+
 def centroids(raw: DataFrame, key: str, lat: str, lng: str) -> DataFrame:
     """(key, lat, lng) with padded keys and both coordinates."""
     return raw.select(pad_key(F.col("geoid")).alias(key), F.col("lat").cast("double").alias(lat), F.col("lng").cast("double").alias(lng)).dropna(subset=[lat, lng])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Month names, in order.
@@ -43,6 +43,12 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def counted(df: DataFrame, name: str, **flags: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its rows, and of those where each flag holds; filled by the next action over it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(flag).alias(n) for n, flag in flags.items()]), seen
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

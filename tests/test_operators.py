@@ -265,6 +265,14 @@ def test_latest_and_upsert(spark):
     assert records.same_rows(rows, rows) and not records.same_rows(rows, new)
 
 
+def test_counters_and_membership(spark):
+    df, seen = records.counted(areas(spark, *FILTER_ROWS), "areas", rural=F.col("rural"))
+    assert df.count() == 4 and seen.get == {"rows": 4, "rural": 2}
+    keys_ = spark.createDataFrame([("48301",), ("48301",)], "fips string")
+    assert [dims.within(df, keys_, inside).count() for inside in (True, False)] == [1, 3]
+    assert dims.members(df.select("fips"), keys_.distinct(), "m").filter("m").count() == 1
+
+
 def test_latest_artifact(spark):
     names = ["./dump_March_2024_V2.zip", "./dump_April_2023.zip", "./dump_March_2024.zip", "./dump_Weekly_December_2025.zip", "./other.zip", "./dump_May_2023_V9.zip"]
     found = spark.createDataFrame([(n,) for n in names], "link string")
