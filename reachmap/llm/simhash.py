@@ -8,8 +8,8 @@ joined, and each joined pair is compared with numpy exclusive-or and bit counts.
 A pair of tiles gives the edges of a spanning forest of its links, nearest first:
 that keeps every component and never writes all pairs of a group.
 
-With ``similarity`` set, forest edges are then held against the Jaccard
-similarity of the two texts' shingle sets.
+For near-duplicates by similarity the edges, and those to each node's nearest
+partners, are then held against the Jaccard similarity of the shingle sets.
 
 Defined cases: a null text is the empty text; texts without words have
 fingerprint zero and are nodes like others; a null id takes no part in the
@@ -32,6 +32,8 @@ from .components import components
 from ..storage import written
 
 TILE = 1024
+#: Words of the fingerprints for near-duplicates by similarity, and nearest partners of a text that are verified.
+WORDS, FEW = 4, 8
 #: Hashes turned into bits at once.
 BLOCK = 1 << 15
 
@@ -53,26 +55,33 @@ def normal_hash(text: str | None) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def fingerprint(shingles: list[bytes], seeds: tuple[int, ...]) -> list[int]:
-    """A signed 64-bit word for each seed: a bit is 1 if it is set in over half the hashes."""
-    out, n = [], len(shingles)
-    for seed in seeds:
-        counts = np.zeros(64, np.int64)
-        for at in range(0, n, BLOCK):
-            part = shingles[at : at + BLOCK]
-            h = np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in part), np.uint64, len(part))
-            counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(counts * 2 > n, bitorder="little").view(np.int64)[0]))
-    return out
+def remixed(h: np.ndarray, k: int) -> np.ndarray:
+    """The ``k``-th further 64 bits of a hash."""
+    h = h + np.uint64((k * 0x9E3779B97F4A7C15) & (1 << 64) - 1)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, seeds: tuple[int, ...]) -> DataFrame:
+def fingerprint(shingles: list[bytes], words: int = 1) -> list[int]:
+    """Signed 64-bit words: a bit is 1 if it is set in over half the hashes (the first word: XXH64 of seed 42)."""
+    n, counts = len(shingles), np.zeros((words, 64), np.int64)
+    for at in range(0, n, BLOCK):
+        part = shingles[at : at + BLOCK]
+        h = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in part), np.uint64, len(part))
+        for k in range(words):
+            bits = remixed(h, k) if k else h
+            counts[k] += np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > n, axis=1, bitorder="little").view(np.int64)[:, 0].tolist()
+
+
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, words: int = 1) -> DataFrame:
     """(id, f0, f1, .., n_shingles, norm) for each row; norm: a hash of the lower-cased words."""
-    names = [f"f{i}" for i in range(len(seeds))]
+    names = [f"f{i}" for i in range(words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(*fingerprint(s := shingle_bytes(t, width), seeds), len(s), normal_hash(t)) for t in batch.column(1).to_pylist()]
+            rows = [(*fingerprint(s := shingle_bytes(t, width), words), len(s), normal_hash(t)) for t in batch.column(1).to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * (len(names) + 2)
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", *names, "n_shingles", "norm"])
 
@@ -107,12 +116,22 @@ def spanning(edges: np.ndarray) -> np.ndarray:
     return edges[[forest.join(a, b) for a, b in edges[:, 1:].tolist()]] if len(edges) else edges
 
 
-def tile_edges(a: np.ndarray, b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, radius: int, same: bool) -> np.ndarray:
-    """Forest rows (distance, id, id) of the links between two tiles; a, b: fingerprints (nodes, words)."""
+def closest(group: np.ndarray, d: np.ndarray, few: int) -> np.ndarray:
+    """Places of the ``few`` least distances of each group."""
+    order = np.lexsort((d, group))
+    g = group[order]
+    return order[np.arange(len(g)) - np.searchsorted(g, g) < few]
+
+
+def tile_edges(a: np.ndarray, b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, radius: int, same: bool, few: int = 0) -> np.ndarray:
+    """Rows (distance, id, id) of the links between two tiles: a spanning forest, and every node's ``few`` nearest.
+
+    a, b: fingerprints (nodes, words).
+    """
     pops_a, pops_b = np.bitwise_count(a).sum(axis=1, dtype=np.int64), np.bitwise_count(b).sum(axis=1, dtype=np.int64)
     if pops_a.min() - pops_b.max() > radius or pops_b.min() - pops_a.max() > radius:
         return np.empty((0, 3), np.int64)
-    kept = np.empty((0, 3), np.int64)
+    kept, more = np.empty((0, 3), np.int64), []
     step = max(1, (1 << 18) // len(b))
     for at in range(0, len(a), step):
         d = np.bitwise_count(a[at : at + step, None, 0] ^ b[None, :, 0])
@@ -122,12 +141,17 @@ def tile_edges(a: np.ndarray, b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarra
         if same:
             i, j = i[i + at < j], j[i + at < j]
         if len(i):
-            kept = spanning(np.concatenate([kept, np.stack([d[i, j].astype(np.int64), ids_a[i + at], ids_b[j]], axis=1)]))
-    return kept
+            links = np.stack([d[i, j].astype(np.int64), ids_a[i + at], ids_b[j]], axis=1)
+            kept = spanning(np.concatenate([kept, links]))
+            if few:
+                more.append(links[np.union1d(closest(i, links[:, 0], few), closest(j, links[:, 0], few))])
+    return np.unique(np.concatenate([kept, *more]), axis=0) if more else kept
+
 
+def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], offsets: list[tuple[int, ...]], tile: int = TILE, few: int = 0) -> DataFrame:
+    """Edges (a, b, distance) of nodes (id, f0, ..) within ``radius`` bits: by tile pair a forest and the ``few`` nearest of each node.
 
-def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], offsets: list[tuple[int, ...]], tile: int = TILE) -> DataFrame:
-    """Forest edges (a, b, distance) of nodes (id, f0, ..) within ``radius`` bits, each id once in ``nodes``.
+    Each id is once in ``nodes``.
 
     ``dims``: integer tile coordinates. ``offsets``: the coordinate steps to tiles
     that can hold partners, one of each two opposite ones, and the zero step.
@@ -149,7 +173,7 @@ def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], of
             flat = [(batch.column(k).offsets.to_pylist(), batch.column(k).values.to_numpy(zero_copy_only=False)) for k in range(1, 5)]
             for row, own in enumerate(same):
                 ids_a, bits_a, ids_b, bits_b = (v[o[row] : o[row + 1]] for o, v in flat)
-                found = tile_edges(bits_a.view(np.uint64).reshape(-1, words), bits_b.view(np.uint64).reshape(-1, words), ids_a, ids_b, radius, own)
+                found = tile_edges(bits_a.view(np.uint64).reshape(-1, words), bits_b.view(np.uint64).reshape(-1, words), ids_a, ids_b, radius, own, few)
                 if len(found):
                     yield pa.RecordBatch.from_arrays([pa.array(found[:, 1]), pa.array(found[:, 2]), pa.array(found[:, 0])], ["a", "b", "distance"])
 
@@ -170,7 +194,7 @@ def size_dims(similarity: float) -> tuple[list[Column], list[tuple[int, ...]]]:
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
     """(id, fingerprint, component_id) for each row: fingerprints that differ in ``radius`` bits at most are linked."""
-    prints = written(fingerprints(docs, id_col, text_col, width, (42,)), "fingerprints")
+    prints = written(fingerprints(docs, id_col, text_col, width), "fingerprints")
     nodes = prints.groupBy("f0").agg(F.min("id").alias("id"))
     dims, steps = quarter_dims(radius)
     parts = components(near_edges(nodes.filter("id is not null"), 1, radius, dims, steps))
@@ -199,20 +223,21 @@ def _alike(width: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]]
     return run
 
 
-def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, radius: int = 32) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, radius: int = 58) -> DataFrame:
     """(id, component_id) for each distinct id: texts whose shingle sets are alike to ``similarity`` are linked.
 
-    Fingerprints of 128 bits find the pairs, the texts of forest edges decide. At
-    0.8 the bits of two texts differ by 19 in the mean (deviation 4), by 64
-    (deviation 5.7) if unrelated; radius 32 is past three deviations of the one and
-    five before the other. Equal normal forms are one node.
+    Fingerprints of 256 bits find the pairs; the texts decide, for the edges of the
+    forest and the nearest few of each text. At 0.8 the bits of two texts differ by
+    39 in the mean (deviation 6), by 128 (deviation 8) if unrelated; radius 58 is past
+    three deviations of the one and eight before the other. Equal normal forms are one
+    node.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).filter("id is not null")
-    prints = written(fingerprints(rows, "id", "text", width, (42, 43)).withColumn("key", F.xxhash64("f0", "n_shingles", "norm")), "fingerprints")
-    nodes = prints.groupBy("key").agg(F.min("id").alias("id"), F.first("f0").alias("f0"), F.first("f1").alias("f1"), F.first("n_shingles").alias("n_shingles"))
+    prints = written(fingerprints(rows, "id", "text", width, WORDS).withColumn("key", F.xxhash64("f0", "n_shingles", "norm")), "fingerprints")
+    nodes = prints.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in (*(f"f{k}" for k in range(WORDS)), "n_shingles")])
     dims, steps = size_dims(similarity)
-    near = written(near_edges(nodes, 2, radius, dims, steps), "near").select("a", "b").distinct()
+    near = written(near_edges(nodes, WORDS, radius, dims, steps, few=FEW), "near").select("a", "b").distinct()
     ends = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     texts = written(rows.join(ends, "id", "left_semi").dropDuplicates(["id"]), "texts")
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
