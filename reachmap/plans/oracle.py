@@ -152,6 +152,9 @@ FINAL: dict[str, str] = {
   (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS place FROM events) WHERE place = 1""",
     "q24_pipeline_summary": """SELECT count(*) AS total, count(*) FILTER (n_providers = 0) AS zero_providers, count(*) FILTER (n_providers = 0) / nullif(count(*), 0)::DOUBLE AS zero_share,
   median(miles_to_nearest) FILTER (rural) AS median_rural_miles FROM atlas""",
+    "q25_json_rows": """SELECT fips, CAST(to_json({'fips': fips, 'state': state, 'county': county, 'population': population, 'median_hh_income': median_hh_income, 'rucc_2023': rucc_2023,
+    'rural': rural, 'n_providers': n_providers, 'miles_to_nearest': miles_to_nearest, 'n_hospitals': n_hospitals, 'n_cah': n_cah, 'hpsa_primary_care': hpsa_primary_care,
+    'disease_measure': disease_measure}) AS VARCHAR) AS json FROM atlas""",
     "q26_lookup": """SELECT k.fips, a.* EXCLUDE (fips), a.fips IS NOT NULL AS found FROM (SELECT unnest([min(fips), max(fips), '99999']) AS fips FROM atlas) k LEFT JOIN atlas a ON k.fips = a.fips""",
     "q27_first_match": "SELECT conv_id, arg_min(text, turn) FILTER (role = 'assistant') AS first_assistant, count(*)::INTEGER AS n_turns FROM conversations GROUP BY conv_id",
     "q28_provider_locations": "SELECT DISTINCT * FROM assigned",

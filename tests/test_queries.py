@@ -32,7 +32,7 @@ def rows(names, data):
 
 
 def test_names_agree():
-    assert set(ORACLE_SQL) == set(QUERIES) - {"q25_json_rows"}
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
