@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,9 +31,14 @@ def pick_code_long(rows: DataFrame, key: str, code: str, codes: DataFrame, prefe
 
 
 def providers(registry: DataFrame, codes: list[str], slots: int, individual: str = "1") -> DataFrame:
-    """(npi, code, zip5): individuals with a wanted code."""
+    """(npi, code, zip5): individuals with a wanted code.
+
+    Whether any slot has one is asked first, in plain comparisons; the choice among
+    slots is made for the rows that are left.
+    """
+    wanted = reduce(or_, [F.coalesce(F.col(f"code_{i}").isin(*codes), F.lit(False)) for i in range(1, slots + 1)])
     chosen = pick_code([(F.col(f"code_{i}"), F.col(f"switch_{i}")) for i in range(1, slots + 1)], codes)
-    return registry.filter(F.col("entity_type") == individual).withColumn("code", chosen).filter(F.col("code").isNotNull()).select("npi", "code", pad_zip(F.col("postal")).alias("zip5"))
+    return registry.filter(F.col("entity_type") == individual).filter(wanted).select("npi", chosen.alias("code"), pad_zip(F.col("postal")).alias("zip5"))
 
 
 def primary_area(crosswalk: DataFrame, zip_col: str, area_col: str, weight_col: str | None) -> DataFrame:
