@@ -163,7 +163,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     placed = written(nodes.select("label", "v", "node", "weight").mapInArrow(place, f"label {label}, v {kind}, node long, weight long, cell int, visits array<int>"), "placed")
     blocks = placed.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    packed = placed.drop("visits").join(blocks, ["label", "cell"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).groupBy("label", "cell", "block").agg(F.collect_list(F.struct("node", "weight", "v")).alias("held"))
+    # dealt out anew: the join's partitions hold whole cells, which may be large
+    dealt = placed.drop("visits").join(blocks, ["label", "cell"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).repartition("label", "cell", "block")
+    packed = dealt.groupBy("label", "cell", "block").agg(F.collect_list(F.struct("node", "weight", "v")).alias("held"))
     packed = packed.select("label", "cell", "block", F.transform("held", lambda s: s["node"]).alias("node"), F.transform("held", lambda s: s["weight"]).alias("weight"), F.flatten(F.transform("held", lambda s: s["v"])).alias("v"))
     packed = written(packed, "cells")
     visited = placed.select("label", "cell", F.explode("visits").alias("other")).select("label", F.least("cell", "other").alias("a"), F.greatest("cell", "other").alias("b")).distinct()

@@ -159,7 +159,8 @@ def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], of
     names, fs = [f"d{i}" for i in range(len(dims))], [f"f{i}" for i in range(words)]
     placed = nodes.select("id", *fs, *[d.cast("int").alias(n) for d, n in zip(dims, names, strict=True)])
     blocks = placed.groupBy(*names).agg(F.ceil(F.count(F.lit(1)) / tile).alias("blocks"))
-    placed = placed.join(blocks, names).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # a row for each tile coordinate: the sizes' logarithms, or 17 to the fourth at most
+    placed = placed.join(F.broadcast(blocks), names).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     tiles = placed.groupBy(*names, "block").agg(F.collect_list(F.struct("id", *fs)).alias("held"))
     tiles = tiles.select(*names, "block", F.transform("held", lambda x: x["id"]).alias("ids"), F.flatten(F.transform("held", lambda x: F.array(*[x[f] for f in fs]))).alias("bits"))
     tiles = written(tiles, "tiles")
