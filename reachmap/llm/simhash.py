@@ -25,15 +25,15 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
 from ..storage import written
 
 TILE = 1024
-#: Words of the fingerprints for near-duplicates by similarity, and nearest partners of a text that are verified.
-WORDS, FEW = 4, 8
+#: Words of the fingerprints for near-duplicates by similarity; nearest partners of a text in a tile pair, and in all, that are verified.
+WORDS, FEW, NEAREST = 4, 8, 32
 #: Hashes turned into bits at once.
 BLOCK = 1 << 15
 
@@ -124,13 +124,13 @@ def closest(group: np.ndarray, d: np.ndarray, few: int) -> np.ndarray:
 
 
 def tile_edges(a: np.ndarray, b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, radius: int, same: bool, few: int = 0) -> np.ndarray:
-    """Rows (distance, id, id) of the links between two tiles: a spanning forest, and every node's ``few`` nearest.
+    """Rows (distance, id, id, tree) of the links between two tiles: a spanning forest (tree 1), and every node's ``few`` nearest.
 
     a, b: fingerprints (nodes, words).
     """
     pops_a, pops_b = np.bitwise_count(a).sum(axis=1, dtype=np.int64), np.bitwise_count(b).sum(axis=1, dtype=np.int64)
     if pops_a.min() - pops_b.max() > radius or pops_b.min() - pops_a.max() > radius:
-        return np.empty((0, 3), np.int64)
+        return np.empty((0, 4), np.int64)
     kept, more = np.empty((0, 3), np.int64), []
     step = max(1, (1 << 18) // len(b))
     for at in range(0, len(a), step):
@@ -145,11 +145,12 @@ def tile_edges(a: np.ndarray, b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarra
             kept = spanning(np.concatenate([kept, links]))
             if few:
                 more.append(links[np.union1d(closest(i, links[:, 0], few), closest(j, links[:, 0], few))])
-    return np.unique(np.concatenate([kept, *more]), axis=0) if more else kept
+    trees = np.column_stack([kept, np.ones(len(kept), np.int64)])
+    return np.concatenate([trees, *[np.column_stack([m, np.zeros(len(m), np.int64)]) for m in more]])
 
 
 def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], offsets: list[tuple[int, ...]], tile: int = TILE, few: int = 0) -> DataFrame:
-    """Edges (a, b, distance) of nodes (id, f0, ..) within ``radius`` bits: by tile pair a forest and the ``few`` nearest of each node.
+    """Edges (a, b, distance, tree) of nodes (id, f0, ..) within ``radius`` bits: by tile pair a forest and the ``few`` nearest of each node.
 
     Each id is once in ``nodes``.
 
@@ -176,9 +177,9 @@ def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], of
                 ids_a, bits_a, ids_b, bits_b = (v[o[row] : o[row + 1]] for o, v in flat)
                 found = tile_edges(bits_a.view(np.uint64).reshape(-1, words), bits_b.view(np.uint64).reshape(-1, words), ids_a, ids_b, radius, own, few)
                 if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 1]), pa.array(found[:, 2]), pa.array(found[:, 0])], ["a", "b", "distance"])
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 1]), pa.array(found[:, 2]), pa.array(found[:, 0]), pa.array(found[:, 3])], ["a", "b", "distance", "tree"])
 
-    return pairs.mapInArrow(run, "a long, b long, distance long")
+    return pairs.mapInArrow(run, "a long, b long, distance long, tree long")
 
 
 def quarter_dims(radius: int) -> tuple[list[Column], list[tuple[int, ...]]]:
@@ -224,6 +225,14 @@ def _alike(width: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]]
     return run
 
 
+def nearest_or_tree(edges: DataFrame, few: int) -> DataFrame:
+    """(a, b): the edges of the tile pairs' forests, and those to the ``few`` nearest of each node over all tile pairs."""
+    ends = [edges.select(F.col(c).alias("node"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance") for c in ("a", "b")]
+    place = F.row_number().over(Window.partitionBy("node").orderBy("distance", "a", "b"))
+    nearest = ends[0].unionByName(ends[1]).distinct().withColumn("place", place).filter(F.col("place") <= few).select("a", "b")
+    return edges.filter("tree = 1").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(nearest).distinct()
+
+
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, radius: int = 58) -> DataFrame:
     """(id, component_id) for each distinct id: texts whose shingle sets are alike to ``similarity`` are linked.
 
@@ -238,7 +247,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     prints = written(fingerprints(rows, "id", "text", width, WORDS).withColumn("key", F.xxhash64("f0", "n_shingles", "norm")), "fingerprints")
     nodes = prints.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in (*(f"f{k}" for k in range(WORDS)), "n_shingles")])
     dims, steps = size_dims(similarity)
-    near = written(near_edges(nodes, WORDS, radius, dims, steps, few=FEW), "near").select("a", "b").distinct()
+    near = written(near_edges(nodes, WORDS, radius, dims, steps, few=FEW), "near")
+    near = nearest_or_tree(near, NEAREST)
     ends = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     texts = written(rows.join(ends, "id", "left_semi").dropDuplicates(["id"]), "texts")
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
