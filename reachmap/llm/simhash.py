@@ -8,8 +8,11 @@ joined, and each joined pair is compared with numpy exclusive-or and bit counts.
 A pair of tiles gives the edges of a spanning forest of its links, nearest first:
 that keeps every component and never writes all pairs of a group.
 
-For near-duplicates by similarity the edges, and those to each node's nearest
-partners, are then held against the Jaccard similarity of the shingle sets.
+For near-duplicates by similarity these forests give candidate groups. Their edges
+are held against the Jaccard similarity of the shingle sets, and what holds makes
+parts. In a group of several parts all pairs of texts of different parts are then
+compared exactly, cell by cell, on the hashes of their shingles: no true link
+within a group is lost to a false one that lies nearer.
 
 Defined cases: a null text is the empty text; texts without words have
 fingerprint zero and are nodes like others; a null id takes no part in the
@@ -25,15 +28,15 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
 from ..storage import written
 
 TILE = 1024
-#: Words of the fingerprints for near-duplicates by similarity; nearest partners of a text in a tile pair, and in all, that are verified.
-WORDS, FEW, NEAREST = 4, 8, 32
+#: Words of the fingerprints for near-duplicates by similarity; texts, and shingles, of a cell of exact comparison, about.
+WORDS, CELL, CELL_SHINGLES = 4, 256, 500_000
 #: Hashes turned into bits at once.
 BLOCK = 1 << 15
 
@@ -63,12 +66,15 @@ def remixed(h: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def hashes(shingles: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64, len(shingles))
+
+
 def fingerprint(shingles: list[bytes], words: int = 1) -> list[int]:
     """Signed 64-bit words: a bit is 1 if it is set in over half the hashes (the first word: XXH64 of seed 42)."""
     n, counts = len(shingles), np.zeros((words, 64), np.int64)
     for at in range(0, n, BLOCK):
-        part = shingles[at : at + BLOCK]
-        h = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in part), np.uint64, len(part))
+        h = hashes(shingles[at : at + BLOCK])
         for k in range(words):
             bits = remixed(h, k) if k else h
             counts[k] += np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -116,22 +122,15 @@ def spanning(edges: np.ndarray) -> np.ndarray:
     return edges[[forest.join(a, b) for a, b in edges[:, 1:].tolist()]] if len(edges) else edges
 
 
-def closest(group: np.ndarray, d: np.ndarray, few: int) -> np.ndarray:
-    """Places of the ``few`` least distances of each group."""
-    order = np.lexsort((d, group))
-    g = group[order]
-    return order[np.arange(len(g)) - np.searchsorted(g, g) < few]
-
-
-def tile_edges(a: np.ndarray, b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, radius: int, same: bool, few: int = 0) -> np.ndarray:
-    """Rows (distance, id, id, tree) of the links between two tiles: a spanning forest (tree 1), and every node's ``few`` nearest.
+def tile_edges(a: np.ndarray, b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, radius: int, same: bool) -> np.ndarray:
+    """Rows (distance, id, id) of a least spanning forest of the links between two tiles.
 
     a, b: fingerprints (nodes, words).
     """
     pops_a, pops_b = np.bitwise_count(a).sum(axis=1, dtype=np.int64), np.bitwise_count(b).sum(axis=1, dtype=np.int64)
     if pops_a.min() - pops_b.max() > radius or pops_b.min() - pops_a.max() > radius:
-        return np.empty((0, 4), np.int64)
-    kept, more = np.empty((0, 3), np.int64), []
+        return np.empty((0, 3), np.int64)
+    kept = np.empty((0, 3), np.int64)
     step = max(1, (1 << 18) // len(b))
     for at in range(0, len(a), step):
         d = np.bitwise_count(a[at : at + step, None, 0] ^ b[None, :, 0])
@@ -143,14 +142,11 @@ def tile_edges(a: np.ndarray, b: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarra
         if len(i):
             links = np.stack([d[i, j].astype(np.int64), ids_a[i + at], ids_b[j]], axis=1)
             kept = spanning(np.concatenate([kept, links]))
-            if few:
-                more.append(links[np.union1d(closest(i, links[:, 0], few), closest(j, links[:, 0], few))])
-    trees = np.column_stack([kept, np.ones(len(kept), np.int64)])
-    return np.concatenate([trees, *[np.column_stack([m, np.zeros(len(m), np.int64)]) for m in more]])
+    return kept
 
 
-def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], offsets: list[tuple[int, ...]], tile: int = TILE, few: int = 0) -> DataFrame:
-    """Edges (a, b, distance, tree) of nodes (id, f0, ..) within ``radius`` bits: by tile pair a forest and the ``few`` nearest of each node.
+def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], offsets: list[tuple[int, ...]], tile: int = TILE) -> DataFrame:
+    """Edges (a, b, distance) of nodes (id, f0, ..) within ``radius`` bits: a forest by tile pair.
 
     Each id is once in ``nodes``.
 
@@ -175,11 +171,11 @@ def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], of
             flat = [(batch.column(k).offsets.to_pylist(), batch.column(k).values.to_numpy(zero_copy_only=False)) for k in range(1, 5)]
             for row, own in enumerate(same):
                 ids_a, bits_a, ids_b, bits_b = (v[o[row] : o[row + 1]] for o, v in flat)
-                found = tile_edges(bits_a.view(np.uint64).reshape(-1, words), bits_b.view(np.uint64).reshape(-1, words), ids_a, ids_b, radius, own, few)
+                found = tile_edges(bits_a.view(np.uint64).reshape(-1, words), bits_b.view(np.uint64).reshape(-1, words), ids_a, ids_b, radius, own)
                 if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 1]), pa.array(found[:, 2]), pa.array(found[:, 0]), pa.array(found[:, 3])], ["a", "b", "distance", "tree"])
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 1]), pa.array(found[:, 2]), pa.array(found[:, 0])], ["a", "b", "distance"])
 
-    return pairs.mapInArrow(run, "a long, b long, distance long, tree long")
+    return pairs.mapInArrow(run, "a long, b long, distance long")
 
 
 def quarter_dims(radius: int) -> tuple[list[Column], list[tuple[int, ...]]]:
@@ -225,19 +221,89 @@ def _alike(width: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]]
     return run
 
 
-def nearest_or_tree(edges: DataFrame, few: int) -> DataFrame:
-    """(a, b): the edges of the tile pairs' forests, and those to the ``few`` nearest of each node over all tile pairs."""
-    ends = [edges.select(F.col(c).alias("node"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance") for c in ("a", "b")]
-    place = F.row_number().over(Window.partitionBy("node").orderBy("distance", "a", "b"))
-    nearest = ends[0].unionByName(ends[1]).distinct().withColumn("place", place).filter(F.col("place") <= few).select("a", "b")
-    return edges.filter("tree = 1").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(nearest).distinct()
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """How many values each array of ``a`` shares with each of ``b``; the values of an array are distinct."""
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    shared = np.intersect1d(flat_a, flat_b)
+    sides = []
+    for sets, flat in ((a, flat_a), (b, flat_b)):
+        at = np.searchsorted(shared, flat)
+        hit = at < len(shared)
+        hit[hit] = shared[at[hit]] == flat[hit]
+        rows, cols = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[hit], at[hit]
+        order = np.argsort(cols, kind="stable")
+        sides.append((len(sets), rows[order], cols[order]))
+    total = np.zeros((len(a), len(b)))
+    for lo in range(0, len(shared), step):
+        parts = []
+        for n, rows, cols in sides:
+            own = slice(*np.searchsorted(cols, [lo, lo + step]))
+            m = np.zeros((n, min(step, len(shared) - lo)), np.float32)  # exact: a step's counts are below 2 ** 24
+            m[rows[own], cols[own] - lo] = 1
+            parts.append(m)
+        total += parts[0] @ parts[1].T
+    return total
+
+
+def cell_links(a: list[np.ndarray], b: list[np.ndarray], parts_a: np.ndarray, parts_b: np.ndarray, similarity: float) -> np.ndarray:
+    """Rows (part, part): a spanning forest of the parts that two alike sets, one of each cell, link."""
+    shared = overlaps(a, b)
+    either = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None] - shared
+    alike = np.divide(shared, either, out=np.ones_like(shared), where=either > 0) >= similarity
+    i, j = np.nonzero(alike & (parts_a[:, None] != parts_b[None]))
+    forest = Forest()
+    pairs = np.unique(np.stack([parts_a[i], parts_b[j]], axis=1), axis=0)
+    return pairs[[forest.join(x, y) for x, y in pairs.tolist()]] if len(pairs) else pairs
+
+
+def hidden_links(members: DataFrame, rows: DataFrame, width: int, similarity: float, cell: int = CELL) -> DataFrame:
+    """Links (a, b) of parts by the exact comparison of all texts of different parts of a group.
+
+    members: (id, n_shingles, grp, part), rows: (id, text), each id once. A part of
+    ``cell`` texts or more has cells of its own, which are not compared with each other.
+    """
+    several = members.groupBy("grp").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least < most").select("grp")
+    members = written(members.join(several, "grp"), "members")
+    sizes = members.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    # ids of parts may be any number: a pool of small parts is marked apart
+    sizes = written(sizes.withColumn("own", F.col("n") >= cell).withColumn("pool", F.when(F.col("own"), F.col("part")).otherwise(0)), "sizes")
+    blocks = sizes.groupBy("grp", "own", "pool").agg(F.ceil(F.greatest(F.sum("n") / cell, F.sum("w") / CELL_SHINGLES, F.lit(1.0))).alias("blocks"))
+    key = ["grp", "own", "pool", "block"]
+    placed = members.join(sizes.join(blocks, ["grp", "own", "pool"]).select("grp", "part", "own", "pool", "blocks"), ["grp", "part"])
+    placed = written(placed.select("id", "grp", "part", "own", "pool", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")), "placed")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(hashes(shingle_bytes(t, width))).view(np.int64) for t in batch.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sets, pa.list_(pa.int64()))], [*key, "part", "hashes"])
+
+    texts = placed.join(rows, "id").select(*key, "part", "text")
+    cells = texts.mapInArrow(hashed, "grp long, own boolean, pool long, block int, part long, hashes array<long>")
+    cells = cells.groupBy(*key).agg(F.collect_list(F.struct("part", "hashes")).alias("held"))
+    cells = cells.select(*key, F.transform("held", lambda x: x["part"]).alias("parts"), F.transform("held", lambda x: x["hashes"]).alias("sets"))
+    cells = written(cells, "exact-cells")
+    side = lambda t, x: t.select(*[F.col(c).alias(c if c == "grp" else f"{c}_{x}") for c in t.columns])
+    keys = cells.select(*key)
+    pairs = side(keys, "a").join(side(keys, "b"), "grp").filter("struct(own_a, pool_a, block_a) <= struct(own_b, pool_b, block_b) and not (own_a and own_b and pool_a = pool_b)")
+    pairs = pairs.join(side(cells, "a"), ["grp", "own_a", "pool_a", "block_a"]).join(side(cells, "b"), ["grp", "own_b", "pool_b", "block_b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(len(batch)):
+                parts = [batch.column(k)[r].values.to_numpy(zero_copy_only=False) for k in (0, 2)]
+                sets = [[s.values.to_numpy(zero_copy_only=False) for s in batch.column(k)[r]] for k in (1, 3)]
+                found = cell_links(*sets, *parts, similarity)
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    return pairs.select("parts_a", "sets_a", "parts_b", "sets_b").mapInArrow(compare, "a long, b long")
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, radius: int = 58) -> DataFrame:
     """(id, component_id) for each distinct id: texts whose shingle sets are alike to ``similarity`` are linked.
 
-    Fingerprints of 256 bits find the pairs; the texts decide, for the edges of the
-    forest and the nearest few of each text. At 0.8 the bits of two texts differ by
+    Fingerprints of 256 bits find the candidate groups; the texts decide, for all pairs
+    of a group that are not linked already. At 0.8 the bits of two texts differ by
     39 in the mean (deviation 6), by 128 (deviation 8) if unrelated; radius 58 is past
     three deviations of the one and eight before the other. Equal normal forms are one
     node.
@@ -246,15 +312,18 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).filter("id is not null")
     prints = written(fingerprints(rows, "id", "text", width, WORDS).withColumn("key", F.xxhash64("f0", "n_shingles", "norm")), "fingerprints")
     nodes = prints.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in (*(f"f{k}" for k in range(WORDS)), "n_shingles")])
+    nodes = written(nodes, "nodes")
     dims, steps = size_dims(similarity)
-    near = written(near_edges(nodes, WORDS, radius, dims, steps, few=FEW), "near")
-    near = nearest_or_tree(near, NEAREST)
-    ends = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    texts = written(rows.join(ends, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    near = written(near_edges(nodes, WORDS, radius, dims, steps).select("a", "b"), "near")
+    groups = written(components(near), "groups")
+    texts = written(rows.join(groups, "id", "left_semi").dropDuplicates(["id"]), "texts")
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
     links = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(_alike(width, similarity), "a long, b long")
-    parts = components(links)
-    named = nodes.join(parts, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
+    parts = nodes.join(components(links), "id", "left").select("key", "id", "n_shingles", F.coalesce("component", "id").alias("part"))
+    parts = written(parts, "parts")
+    members = parts.join(groups.withColumnRenamed("component", "grp"), "id").select("id", "n_shingles", "grp", "part")
+    whole = components(hidden_links(members, texts, width, similarity)).withColumnRenamed("id", "part")
+    named = parts.join(whole, "part", "left").select("key", F.coalesce("component", "part").alias("component_id"))
     return prints.join(named, "key").select(F.col("id").alias(id_col), "component_id").distinct()
 
 

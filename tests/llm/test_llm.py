@@ -419,6 +419,39 @@ def test_near_duplicates_by_shingles(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted([*(str(i) for i in sets if parts.get(i, i) == i), "None"])
 
 
+def test_star_of_near_copies_is_one_group(spark):
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(404)]
+    texts = [" ".join(base)]
+    for k in range(1200):
+        t = list(base)
+        slots = rng.choice(np.arange(8, 396, 10), 8, replace=False)
+        for n, at in enumerate([*slots, slots[0] + 4]):  # 44 of 400 shingles
+            t[at] = f"v{k}x{n}"
+        texts.append(" ".join(t))
+    sets = [set(simhash.shingle_bytes(t, 5)) for t in texts]
+    similar = lambda x, y: len(x & y) / len(x | y)
+    assert all(similar(sets[0], s) >= 0.8 for s in sets[1:])
+    assert np.mean([similar(sets[i], sets[i + 1]) < 0.8 for i in range(1, 1200)]) > 0.99
+    assert {r.component_id for r in simhash.near_duplicate_groups(docs_of(spark, texts)).collect()} == {0}
+
+
+def test_cells_link_what_brute_force_links(spark):
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(["q", "r", w], p=[0.02, 0.01, 0.97]) for w in base) for _ in range(60)]
+    sets = [set(simhash.shingle_bytes(t, 5)) for t in texts]
+    part = [0 if i < 20 else 20 if i < 30 else i for i in range(60)]
+    pairs = [(i, j) for i in range(60) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = brute_components([(i, part[i]) for i in range(60)] + pairs)
+    members = spark.createDataFrame([(i, len(sets[i]), 0, part[i]) for i in range(60)], "id long, n_shingles long, grp long, part long")
+    for cell in (4, 15, 100):
+        found = simhash.hidden_links(members, docs_of(spark, texts).select(F.col("doc_id").alias("id"), "text"), 5, 0.8, cell).collect()
+        assert all(r.a != r.b for r in found)
+        got = brute_components([(i, part[i]) for i in range(60)] + [(r.a, r.b) for r in found])
+        assert {i: got[i] for i in range(60)} == {i: want[i] for i in range(60)}
+
+
 # ---- SentencePiece --------------------------------------------------------------------------
 
 
