@@ -52,12 +52,6 @@ def shingle_bytes(text: str | None, width: int) -> list[bytes]:
     return [joined[s:e] for s, e in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)]
 
 
-def normal_hash(text: str | None) -> int:
-    """Hash of the lower-cased words, signed."""
-    h = xxhash.xxh64_intdigest(b" ".join((text or "").encode().lower().split()), 7)
-    return h - (1 << 64) if h >> 63 else h
-
-
 def remixed(h: np.ndarray, k: int) -> np.ndarray:
     """The ``k``-th further 64 bits of a hash."""
     h = h + np.uint64((k * 0x9E3779B97F4A7C15) & (1 << 64) - 1)
@@ -70,24 +64,37 @@ def hashes(shingles: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64, len(shingles))
 
 
-def fingerprint(shingles: list[bytes], words: int = 1) -> list[int]:
-    """Signed 64-bit words: a bit is 1 if it is set in over half the hashes (the first word: XXH64 of seed 42)."""
-    n, counts = len(shingles), np.zeros((words, 64), np.int64)
+def set_hash(h: np.ndarray) -> int:
+    """Hash of hashes in any order, signed."""
+    return int(remixed(h, WORDS).sum(dtype=np.uint64).view(np.int64))
+
+
+def fingerprint(h: np.ndarray, words: int = 1) -> list[int]:
+    """Signed 64-bit words from hashes (XXH64 of seed 42): a bit is 1 if it is set in over half of them."""
+    n, counts = len(h), np.zeros((words, 64), np.int64)
     for at in range(0, n, BLOCK):
-        h = hashes(shingles[at : at + BLOCK])
+        part = h[at : at + BLOCK]
         for k in range(words):
-            bits = remixed(h, k) if k else h
+            bits = remixed(part, k) if k else part
             counts[k] += np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(counts * 2 > n, axis=1, bitorder="little").view(np.int64)[:, 0].tolist()
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, words: int = 1) -> DataFrame:
-    """(id, f0, f1, .., n_shingles, norm) for each row; norm: a hash of the lower-cased words."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, words: int = 1, distinct: bool = False) -> DataFrame:
+    """(id, f0, f1, .., n_shingles, norm) for each row; norm: a hash of the shingles in any order.
+
+    ``distinct``: repeated shingles count once.
+    """
     names = [f"f{i}" for i in range(words)]
 
+    def row(text: str | None) -> tuple[int, ...]:
+        h = hashes(shingle_bytes(text, width))
+        h = np.unique(h) if distinct else h
+        return (*fingerprint(h, words), len(h), set_hash(h))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(*fingerprint(s := shingle_bytes(t, width), words), len(s), normal_hash(t)) for t in batch.column(1).to_pylist()]
+            rows = [row(t) for t in batch.column(1).to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * (len(names) + 2)
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", *names, "n_shingles", "norm"])
 
@@ -305,12 +312,12 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Fingerprints of 256 bits find the candidate groups; the texts decide, for all pairs
     of a group that are not linked already. At 0.8 the bits of two texts differ by
     39 in the mean (deviation 6), by 128 (deviation 8) if unrelated; radius 58 is past
-    three deviations of the one and eight before the other. Equal normal forms are one
-    node.
+    three deviations of the one and eight before the other. Repeats of a shingle count
+    nowhere, and texts of equal shingle sets are one node.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).filter("id is not null")
-    prints = written(fingerprints(rows, "id", "text", width, WORDS).withColumn("key", F.xxhash64("f0", "n_shingles", "norm")), "fingerprints")
+    prints = written(fingerprints(rows, "id", "text", width, WORDS, distinct=True).withColumn("key", F.xxhash64("f0", "n_shingles", "norm")), "fingerprints")
     nodes = prints.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in (*(f"f{k}" for k in range(WORDS)), "n_shingles")])
     nodes = written(nodes, "nodes")
     dims, steps = size_dims(similarity)

@@ -436,6 +436,14 @@ def test_star_of_near_copies_is_one_group(spark):
     assert {r.component_id for r in simhash.near_duplicate_groups(docs_of(spark, texts)).collect()} == {0}
 
 
+def test_repeats_do_not_part_near_copies(spark):
+    text, line = " ".join(f"w{i}" for i in range(400)), " ".join(f"line{i}" for i in range(20))
+    texts = [text, *[" ".join([text] + [line] * n) for n in (1, 10, 30)], " ".join([line] * 100), " ".join([line] * 200)]
+    sets = [set(simhash.shingle_bytes(t, 5)) for t in texts]
+    assert all(len(sets[1] & sets[k]) >= 0.8 * len(sets[1] | sets[k]) for k in (0, 2, 3)) and sets[4] == sets[5]
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(docs_of(spark, texts)).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4, 5: 4}
+
+
 def test_cells_link_what_brute_force_links(spark):
     rng = np.random.default_rng(12)
     base = [f"w{i}" for i in range(60)]
