@@ -37,6 +37,8 @@ from ..storage import written
 TILE = 1024
 #: Words of the fingerprints for near-duplicates by similarity; texts, and shingles, of a cell of exact comparison, about.
 WORDS, CELL, CELL_SHINGLES = 4, 256, 500_000
+#: Shingles up to which sets that lack one shingle are looked up exactly: bits of so few tell little.
+SHORT = 16
 #: Hashes turned into bits at once.
 BLOCK = 1 << 15
 
@@ -81,25 +83,28 @@ def fingerprint(h: np.ndarray, words: int = 1) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int, words: int = 1, distinct: bool = False) -> DataFrame:
-    """(id, f0, f1, .., n_shingles, norm) for each row; norm: a hash of the shingles in any order.
+    """(id, f0, f1, .., n_shingles, norm, less) for each row; norm: a hash of the shingles in any order.
 
-    ``distinct``: repeated shingles count once.
+    ``distinct``: repeated shingles count once, and ``less`` has, for 2 to SHORT shingles, the
+    hashes of the sets that lack one; null otherwise.
     """
     names = [f"f{i}" for i in range(words)]
+    kinds = [*[pa.int64()] * (len(names) + 2), pa.list_(pa.int64())]
 
     def row(text: str | None) -> tuple[int, ...]:
         h = hashes(shingle_bytes(text, width))
         h = np.unique(h) if distinct else h
-        return (*fingerprint(h, words), len(h), set_hash(h))
+        less = [set_hash(np.delete(h, k)) for k in range(len(h))] if distinct and 2 <= len(h) <= SHORT else None
+        return (*fingerprint(h, words), len(h), set_hash(h), less)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [row(t) for t in batch.column(1).to_pylist()]
-            columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * (len(names) + 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", *names, "n_shingles", "norm"])
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", *names, "n_shingles", "norm", "less"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, ", ".join(["id long", *(f"{n} long" for n in names), "n_shingles long", "norm long"]))
+    return rows.mapInArrow(run, ", ".join(["id long", *(f"{n} long" for n in names), "n_shingles long", "norm long", "less array<long>"]))
 
 
 class Forest:
@@ -306,19 +311,30 @@ def hidden_links(members: DataFrame, rows: DataFrame, width: int, similarity: fl
     return pairs.select("parts_a", "sets_a", "parts_b", "sets_b").mapInArrow(compare, "a long, b long")
 
 
+def short_links(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of nodes (id, n_shingles, norm, less) of which one's few shingles are the other's but one.
+
+    Of two different sets that are alike to 0.8 and of which one has seven shingles at most, all
+    are such. A set is one node, so a row of ``less`` meets one node at most.
+    """
+    lacking = nodes.filter(F.try_divide(F.col("n_shingles") - 1, F.col("n_shingles")) >= similarity).select(F.col("id").alias("a"), (F.col("n_shingles") - 1).alias("n_shingles"), F.explode("less").alias("norm"))
+    return lacking.join(nodes.select(F.col("id").alias("b"), "n_shingles", "norm"), ["n_shingles", "norm"]).select("a", "b")
+
+
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, radius: int = 58) -> DataFrame:
     """(id, component_id) for each distinct id: texts whose shingle sets are alike to ``similarity`` are linked.
 
     Fingerprints of 256 bits find the candidate groups; the texts decide, for all pairs
     of a group that are not linked already. At 0.8 the bits of two texts differ by
     39 in the mean (deviation 6), by 128 (deviation 8) if unrelated; radius 58 is past
-    three deviations of the one and eight before the other. Repeats of a shingle count
+    three deviations of the one and eight before the other. Sets of few shingles, whose
+    bits differ more, are also looked up with one shingle less. Repeats of a shingle count
     nowhere, and texts of equal shingle sets are one node.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).filter("id is not null")
     prints = written(fingerprints(rows, "id", "text", width, WORDS, distinct=True).withColumn("key", F.xxhash64("f0", "n_shingles", "norm")), "fingerprints")
-    nodes = prints.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in (*(f"f{k}" for k in range(WORDS)), "n_shingles")])
+    nodes = prints.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in (*(f"f{k}" for k in range(WORDS)), "n_shingles", "norm", "less")])
     nodes = written(nodes, "nodes")
     dims, steps = size_dims(similarity)
     near = written(near_edges(nodes, WORDS, radius, dims, steps).select("a", "b"), "near")
@@ -326,7 +342,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     texts = written(rows.join(groups, "id", "left_semi").dropDuplicates(["id"]), "texts")
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
     links = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(_alike(width, similarity), "a long, b long")
-    parts = nodes.join(components(links), "id", "left").select("key", "id", "n_shingles", F.coalesce("component", "id").alias("part"))
+    parts = nodes.join(components(links.union(short_links(nodes, similarity))), "id", "left").select("key", "id", "n_shingles", F.coalesce("component", "id").alias("part"))
     parts = written(parts, "parts")
     members = parts.join(groups.withColumnRenamed("component", "grp"), "id").select("id", "n_shingles", "grp", "part")
     whole = components(hidden_links(members, texts, width, similarity)).withColumnRenamed("id", "part")

@@ -444,6 +444,14 @@ def test_repeats_do_not_part_near_copies(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(docs_of(spark, texts)).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4, 5: 4}
 
 
+def test_short_near_copies_are_all_found(spark):
+    texts = [" ".join(f"t{k}w{i}" for i in range(n)) for k in range(400) for n in (8, 9)]  # 4 of 5 shingles
+    prints = [simhash.fingerprint(simhash.hashes(simhash.shingle_bytes(t, 5)), 4) for t in texts]
+    far = [sum(((x ^ y) % 2**64).bit_count() for x, y in zip(prints[k], prints[k + 1], strict=True)) > 58 for k in range(0, 800, 2)]
+    assert sum(far) > 5
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(docs_of(spark, texts)).collect()} == {i: i // 2 * 2 for i in range(800)}
+
+
 def test_cells_link_what_brute_force_links(spark):
     rng = np.random.default_rng(12)
     base = [f"w{i}" for i in range(60)]
