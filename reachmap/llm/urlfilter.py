@@ -48,7 +48,7 @@ RULES = (
     UrlRule("block", "org", "/es/"),
 )
 
-#: Labelled URLs that the trees are trained on at most, about; chosen by hash over all of them.
+#: Labelled rows that the trees are fitted on at most, about; chosen by hash over all of them. Suffix and site statistics are of all.
 MAX_LABELLED = 20_000
 FEATURES = ["n_url", "n_host", "n_path", "n_query", "n_fragment", "depth", "labels", "digits", "digit_ratio", "hyphens", "escapes", "params", "entropy", "tls", "dotted_end", "suffix_rate", "suffix_log_n", "site_rate", "site_log_n"]
 
@@ -80,6 +80,14 @@ def entropy(text: Column) -> Column:
     return F.when(n > 0, F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), lambda acc, c: acc - F.when(F.length(c) > 0, share(c) * F.log2(share(c))).otherwise(0.0))).otherwise(0.0)
 
 
+def suffix(host: Column) -> Column:
+    return F.substring_index(host, ".", -1)
+
+
+def site(host: Column) -> Column:
+    return F.substring_index(host, ".", -2)
+
+
 def lexical(urls: DataFrame) -> DataFrame:
     """Feature columns beside what ``urls`` (url, host, path, ..) has; suffix: last host label, site: last two."""
     url, host, path = F.coalesce("url", F.lit("")), F.col("host"), F.col("path")
@@ -92,7 +100,7 @@ def lexical(urls: DataFrame) -> DataFrame:
         "depth": count(path, "/"), "labels": count(host, "."), "digits": digits, "digit_ratio": F.coalesce(F.try_divide(digits, F.length(url)), F.lit(0.0)),
         "hyphens": count(host, "-"), "escapes": count(url, "%"), "params": F.when(F.length(query) > 0, count(query, "&") + 1).otherwise(0),
         "entropy": entropy(url), "tls": url.startswith("https").cast("int"), "dotted_end": path.rlike(r"\.[A-Za-z0-9]{1,5}$").cast("int"),
-        "suffix": F.substring_index(host, ".", -1), "site": F.substring_index(host, ".", -2),
+        "suffix": suffix(host), "site": site(host),
     })
 
 
@@ -120,16 +128,16 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labelled:
     text, verdict = first_rule(rules, F.col("host"), F.col("path"))
     urls = urls.withColumns({"rule": text, "ruled": verdict})
     if labelled is None:
-        known = urls.filter(F.col("ruled").isNotNull()).select("url", "host", "path", (F.col("ruled") == "block").cast("double").alias("label"))
+        known = urls.filter(F.col("ruled").isNotNull()).select(F.col("page_id").alias("id"), "url", "host", "path", (F.col("ruled") == "block").cast("double").alias("label"))
     else:
-        known = labelled.select(F.col("url").cast("string").alias("url"), F.col("label").cast("double").alias("label")).filter("label is not null").withColumns({"host": host, "path": path})
+        known = labelled.select(F.monotonically_increasing_id().alias("id"), F.col("url").cast("string").alias("url"), F.col("label").cast("double").alias("label")).filter("label is not null").withColumns({"host": host, "path": path})
     n, blocked = known.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or blocked in (0, n):
         every = "block" if n and blocked == n else "allow"
         return urls.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit(every)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     share = int(1_000_000 * min(1.0, max_labelled / n))
-    sample = written(lexical(known.filter(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < share)), "labelled-urls")
-    stats = {key: written(suffix_stats(sample, key), f"{key}-stats") for key in ("suffix", "site")}
+    sample = written(lexical(known.filter(F.pmod(F.xxhash64("id", "url"), F.lit(1_000_000)) < share)), "labelled-urls")
+    stats = {key: written(suffix_stats(known.select("label", c.alias(key)), key), f"{key}-stats") for key, c in (("suffix", suffix(F.col("host"))), ("site", site(F.col("host"))))}
     mean = blocked / n
     train = with_stats(sample, stats, mean).select("features", "label")
     if train.select("label").distinct().count() < 2:

@@ -96,6 +96,27 @@ def test_url_without_labels(spark):
     assert urlfilter.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_url_statistics_are_of_all_labelled_rows(spark):
+    rng = np.random.default_rng(4)
+    kinds = rng.permutation([0.0, 1.0] * 150)
+    rows = [(f"http://s{1000 + k}.com/{rng.integers(10**6, 10**7)}", float(kind)) for k, kind in enumerate(kinds) for _ in range(10)]
+    pages = spark.createDataFrame([(k, f"http://s{1000 + k}.com/{rng.integers(10**6, 10**7)}") for k in range(300)], "page_id long, url string")
+    labelled = spark.createDataFrame(rows, "url string, label double")
+    got = {r.page_id: r.verdict for r in urlfilter.filter_urls(pages, rules=(), labelled=labelled, max_labelled=300).collect()}
+    assert got == {k: "block" if kind else "allow" for k, kind in enumerate(kinds)}
+
+
+def test_url_sample_thins_a_repeated_url(spark, monkeypatch):
+    urls = [f"http://a.com/en/{i}" if i % 2 else f"http://a.net/de/{i}" for i in range(2000)] + ["http://hot.com/en/"] * 1000
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    seen, write = {}, urlfilter.written
+    monkeypatch.setattr(urlfilter, "written", lambda df, label: seen.setdefault(label, write(df, label)))
+    urlfilter.filter_urls(pages, max_labelled=600, trees=1)
+    sample = [r.url for r in seen["labelled-urls"].collect()]
+    assert 480 < len(sample) < 720 and 130 < sample.count("http://hot.com/en/") < 270
+    assert {r.site: round(math.expm1(r.site_log_n)) for r in seen["site-stats"].collect()} == {"a.com": 1000, "a.net": 1000, "hot.com": 1000}
+
+
 # ---- language ID ----------------------------------------------------------------------------
 
 
