@@ -1,23 +1,33 @@
 """Secret scans over a content-addressed blob ledger.
 
 Every version of every path is reduced to the SHA-256 of its content. A ledger
-row says which rule versions have been run on a blob and what they found, so a
-later scan touches only blobs, or rules, that the ledger has not seen. Findings
-are joined back to every path that holds the blob. All of it is built-in
-functions: the text is never handed to Python.
+row says which rule versions have been run on a blob and what each of them found,
+so a later scan touches only blobs, or rules, that the ledger has not seen, and
+findings of rule versions that are no longer asked for stay out. Findings are
+joined back to every path that holds the blob. All of it is built-in functions:
+the text is never handed to Python.
+
+A ledger is a Parquet table (blob, rules, spans). ``secret_report`` and ``redact``
+take its path: what it has is joined, what was missing is appended. Without a path
+the run starts a ledger of its own in the shared folder.
 
 Defined cases: a null content is the empty text; an empty text has no findings;
-equal rows stay separate rows of the result; a null path column is kept as it is.
+equal rows stay separate rows of the result; a null path column is kept as it is;
+ledger rows that occur twice count once; a missing or empty ledger has seen
+nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import written
+from ..storage import new_path
+from .names import unused
 
 
 @dataclass(frozen=True)
@@ -57,69 +67,100 @@ MORE_RULES = (
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", probe=r"eyJ[A-Za-z0-9_-]{8}"),
 )
 
+LEDGER = "blob string, rules array<string>, spans array<struct<rule:string,start:int,end:int>>"
+FOUND = "array<struct<rule:string,start:int,end:int>>"
 SPAN = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
+#: Matches of a text that are placed one after the other; runs of them are placed by the sums of the runs before.
+RUN = 128
 
 
-def rule_spans(text: Column, rule: Rule, kind_no: int) -> Column:
-    """Non-overlapping matches of one rule, leftmost first, in code points, end exclusive.
+def rule_steps(text: Column, rule: Rule) -> Column:
+    """Matches of one rule, leftmost first: the characters since the last one, its size, and whether it counts.
 
-    ``split`` gives the gaps between the matches and ``regexp_extract_all`` the
-    matches; their lengths, added up from the left, give the places.
+    ``split`` gives the gaps between the matches and ``regexp_extract_all`` the matches.
     """
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    gaps = F.split(text, rule.pattern, -1)
     held = (lambda m: F.length(F.regexp_extract(m, rule.pattern, rule.group))) if rule.group else F.length
-    steps = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), (held(m) >= rule.min_length).alias("keep")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    steps = F.zip_with(F.split(text, rule.pattern, -1), matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), (held(m) >= rule.min_length).alias("keep")))
+    return F.when(text.rlike(rule.probe or rule.pattern), F.filter(steps, lambda x: x["size"].isNotNull()))
+
+
+def placed_spans(steps: Column, rule: Rule, run: int = RUN) -> Column:
+    """Spans of the steps that count, in code points, end exclusive.
 
-    def step(acc: Column, x: Column) -> Column:
+    An array that grows by one element is copied each time; so runs of steps are
+    summed first, and each run is placed from where it begins.
+    """
+    total, size = F.lit(0), F.coalesce(F.size(steps), F.lit(0))
+    runs = F.when(size > 0, F.transform(F.sequence(F.lit(0), F.floor((size - 1) / run).cast("int")), lambda k: F.slice(steps, k * run + 1, F.lit(run)))).otherwise(F.array())
+    sums = F.transform(runs, lambda r: F.aggregate(r, total, lambda acc, x: acc + x["gap"] + x["size"]))
+    begins = F.aggregate(sums, F.array(total), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+    def place(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
-        found = F.array(F.struct(begin.alias("start"), F.lit(kind_no).alias("kind_no"), F.lit(rule.kind).alias("kind"), (begin + x["size"]).alias("end")))
-        return F.struct((begin + x["size"]).alias("at"), F.when(x["keep"], F.concat(acc["spans"], found)).otherwise(acc["spans"]).alias("spans"))
+        span = F.array(F.struct(F.lit(rule.id).alias("rule"), begin.alias("start"), (begin + x["size"]).alias("end")))
+        return F.struct((begin + x["size"]).alias("at"), F.when(x["keep"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    walked = F.aggregate(F.filter(steps, lambda x: x["size"].isNotNull()), start, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(rule.probe or rule.pattern), walked).otherwise(F.array().cast(SPAN))
+    nothing = F.array().cast(FOUND)
+    spans = F.zip_with(runs, F.slice(begins, F.lit(1), F.size(sums)), lambda r, at: F.aggregate(r, F.struct(at.alias("at"), nothing.alias("spans")), place, lambda acc: acc["spans"]))
+    return F.when(size > 0, F.flatten(spans)).otherwise(nothing)
 
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """Ledger rows (blob, rules, spans) for blobs (blob, content, seen); ``seen``: rule ids to leave out."""
-    text, none = F.col("content"), F.array().cast(SPAN)
-    due = {r.id: ~F.array_contains("seen", r.id) for r in rules}
-    spans = [F.when(due[r.id], rule_spans(text, r, i)).otherwise(none) for i, r in enumerate(rules)]
-    return blobs.select(
-        "blob",
-        F.filter(F.array(*[F.lit(r.id) for r in rules]), lambda x: ~F.array_contains("seen", x)).alias("rules"),
-        F.array_sort(F.concat(*spans)).alias("spans"),
-    )
+    """Ledger rows for blobs (blob, content, seen); ``seen``: rule ids to leave out."""
+    steps = [F.when(~F.array_contains("seen", r.id), rule_steps(F.col("content"), r)).alias(f"steps_{i}") for i, r in enumerate(rules)]
+    due = F.filter(F.array(*[F.lit(r.id) for r in rules]), lambda x: ~F.array_contains("seen", x))
+    # two projections: each text is matched once, however often its steps are referred to
+    stepped = blobs.select("blob", due.alias("rules"), *steps)
+    return stepped.select("blob", "rules", F.concat(*[placed_spans(F.col(f"steps_{i}"), r) for i, r in enumerate(rules)]).alias("spans"))
 
 
-def scan(versions: DataFrame, keys: list[str], content: str, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, spans_col: str = "spans") -> tuple[DataFrame, DataFrame]:
+def shown(spans: Column, rules: tuple[Rule, ...]) -> Column:
+    """Ledger spans as SPAN, sorted by start, then by the order of ``rules``."""
+    ids, kinds = (F.array(*[F.lit(x) for x in column]) for column in zip(*((r.id, r.kind) for r in rules), strict=True))
+    place = lambda s: F.array_position(ids, s["rule"]).cast("int")
+    return F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], (place(s) - 1).alias("kind_no"), F.element_at(kinds, place(s)).alias("kind"), s["end"])).cast(SPAN))
+
+
+def scan(versions: DataFrame, keys: list[str], content: str, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, spans_col: str = "spans", path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Findings for every version row, and the rows this run adds to the ledger.
 
     ``versions`` has one row for each path and version; ``keys`` name the columns
-    to return beside the findings. ``ledger`` has the rows (blob, rules, spans) of
-    former runs. Only blob and rule-version pairs that it lacks are scanned.
-    The first frame has keys and ``spans_col``, sorted by start, then by rule order.
+    to return beside the findings. ``ledger`` has the rows (LEDGER) of former runs.
+    Only blob and rule-version pairs that it lacks are scanned; they are written to
+    ``path``, a new one by default. The first frame has keys and ``spans_col``,
+    sorted by start, then by rule order.
     """
-    text = F.coalesce(F.col(content), F.lit(""))
+    spark, text = versions.sparkSession, F.coalesce(F.col(content), F.lit(""))
     blobs = versions.select(F.sha2(text, 256).alias("blob"), text.alias("content")).groupBy("blob").agg(F.first("content").alias("content"))
     ids = F.array(*[F.lit(r.id) for r in rules])
     if ledger is None:
-        blobs = blobs.withColumn("seen", F.array().cast("array<string>"))
         known = None
+        blobs = blobs.withColumn("seen", F.array().cast("array<string>"))
     else:
-        # spans of rules that are no longer asked for stay out
-        kinds = F.array(*[F.lit(r.kind) for r in rules])
-        known = ledger.select("blob", F.filter("rules", lambda x: F.array_contains(ids, x)).alias("rules"), F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])).alias("spans")).filter(F.size("rules") > 0)
-        seen = known.select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-        blobs = blobs.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>"))).filter(F.size(F.array_except(ids, F.col("seen"))) > 0)
-    added = written(scan_blobs(blobs, rules), "ledger")
-    found = (added if known is None else added.unionByName(known)).select("blob", "spans").filter(F.size("spans") > 0)
+        asked = ledger.select("blob", F.array_intersect("rules", ids).alias("rules"), F.filter("spans", lambda s: F.array_contains(ids, s["rule"])).alias("spans")).filter(F.size("rules") > 0)
+        known = asked.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"), F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+        blobs = blobs.join(known.select("blob", "seen"), "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>"))).filter(F.size(F.array_except(ids, F.col("seen"))) > 0)
+    path = path or new_path(spark, "secret-ledger")
+    scan_blobs(blobs, rules).write.option("compression", "zstd").parquet(path)
+    added = spark.read.schema(LEDGER).parquet(path)
+    found = added.select("blob", "spans").filter(F.size("spans") > 0)
     if known is not None:
-        found = found.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    paths = versions.select(*keys, F.sha2(text, 256).alias("__blob"))
-    joined = paths.join(found.withColumnRenamed("blob", "__blob").withColumnRenamed("spans", "__found"), "__blob", "left")
-    return joined.select(*keys, F.coalesce("__found", F.array().cast(SPAN)).alias(spans_col)), added
+        found = found.unionByName(known.select("blob", "spans").filter(F.size("spans") > 0)).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    blob_col, found_col = unused(keys, "blob"), unused(keys, "found")
+    paths = versions.select(*[F.col(f"`{k}`") for k in keys], F.sha2(text, 256).alias(blob_col))
+    joined = paths.join(found.select(F.col("blob").alias(blob_col), shown(F.col("spans"), rules).alias(found_col)), blob_col, "left")
+    return joined.select(*[F.col(f"`{k}`") for k in keys], F.coalesce(found_col, F.array().cast(SPAN)).alias(spans_col)), added
+
+
+def scan_with_ledger(versions: DataFrame, keys: list[str], content: str, path: str | None, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, spans_col: str = "spans") -> DataFrame:
+    """The findings of ``scan`` with the ledger at ``path``, to which this run adds a folder with what it lacked."""
+    spark = versions.sparkSession
+    try:
+        ledger = spark.read.schema(LEDGER).parquet(path) if path else None
+    except AnalysisException:  # no ledger yet
+        ledger = None
+    return scan(versions, keys, content, ledger, rules, spans_col, f"{path}/run={uuid.uuid4().hex}" if path else None)[0]
 
 
 def spans_text(spans: Column) -> Column:
@@ -141,18 +182,18 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
 
 
-def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None, ledger: DataFrame | None = None) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None, ledger: str | None = None) -> DataFrame:
     """``docs`` with the secrets in ``text_col`` replaced, and ``length_col`` set to the new length where it was not null."""
-    found, _ = scan(docs, docs.columns, text_col, ledger, spans_col="__spans")
-    hidden = found.withColumn(text_col, redacted(F.col(text_col), F.col("__spans")))
+    spans = unused(docs.columns, "spans")
+    hidden = scan_with_ledger(docs, docs.columns, text_col, ledger, spans_col=spans).withColumn(text_col, redacted(F.col(text_col), F.col(spans)))
     if length_col:
-        hidden = hidden.withColumn(length_col, F.when((F.size("__spans") > 0) & F.col(length_col).isNotNull(), F.length(text_col).cast("long")).otherwise(F.col(length_col)))
-    return hidden.select(*docs.columns)
+        hidden = hidden.withColumn(length_col, F.when((F.size(spans) > 0) & F.col(length_col).isNotNull(), F.length(text_col).cast(dict(docs.dtypes)[length_col])).otherwise(F.col(length_col)))
+    return hidden.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger: DataFrame | None = None) -> DataFrame:
+def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger: str | None = None) -> DataFrame:
     """Counts, digest and spans for each document."""
-    found, _ = scan(docs.select(id_col, text_col), [id_col], text_col, ledger)
+    found = scan_with_ledger(docs.select(id_col, text_col), [id_col], text_col, ledger)
     base = [r.kind for r in BASE_RULES]
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
@@ -163,8 +204,9 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def op3_secret_scans(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """The report on documents; with ``ledger`` (a path) only what its former runs have not seen is scanned."""
+    return secret_report(spark.read.parquet(f"{sf_dir}/documents.parquet"), ledger=ledger)
 
 
 def _sql_spans(kind: str, no: int, pattern: str, keep: str) -> str:
