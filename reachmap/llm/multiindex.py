@@ -2,23 +2,31 @@
 
 Unit vectors are halved; each half has its own codebook, and the product of the
 two is the grid of cells. A vector lies in the cell of its nearest centroids and
-visits the other cells nearest first, by the sum of the two squared distances,
-up to a margin over its own. The margin is the one at which neighbours that lie
-exactly at the similarity asked for are reached with the target recall, as
-measured on a bounded sample. Cells (of one label) hold their vectors in blocks of
-bounded size. Blocks of cells that one vector at least visits are joined, and each
-pair of vectors of which one visits the other's cell is verified in double
-precision, once. A pair of blocks gives counts of links and a spanning forest,
-never its pairs.
-
-Defined cases: vectors that are null, zero, hold a null or non-finite component, or
-have another length than most, and rows with a null label, link with nothing and
-are their own component. Equal vectors of a label are one node with a weight. A
-null id gets the component of its vector, and is never kept.
+visits the other cells nearest first, by the sum of the two squared distances: the
+multi-sequence rule on the two sorted lists of distances, up to a margin over the
+vector's own cell. The margin is the one at which neighbours that lie exactly at
+the similarity asked for are reached with the target recall, as measured on a
+bounded sample. Cells (of one label and one length of vectors) hold their vectors
+in blocks of bounded size. Blocks of cells that one vector at least visits are
+joined, and each pair of vectors of which one visits the other's cell is verified
+in double precision, once. A pair of blocks gives counts of links and a spanning
+forest, never its pairs.
+
+The commonest lengths of vectors have grids of their own, fitted on samples; the
+vectors of any other length are one cell for each label, so all of their pairs are
+compared.
+
+Defined cases: vectors that are null, zero or hold a null or non-finite component,
+and rows with a null label, link with nothing and are their own component. Vectors
+of different lengths link with nothing of each other. Equal vectors of a label are
+one node with a weight. Rows that repeat an id are vectors of their own, each with
+the links of its own vector. A null id gets the least id of its component (null if
+that has none), and is never kept.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,8 +38,10 @@ from pyspark.sql import functions as F
 from .components import components
 from ..storage import written
 
-#: Vectors that the codebooks and the margin are fitted on at most, about.
-SAMPLE = 20_000
+#: Vectors, and components of vectors, that the codebooks and the margin of a length are fitted on at most, about.
+SAMPLE, SAMPLE_VALUES = 20_000, 5_000_000
+#: Lengths of vectors that have a fitted grid, commonest first.
+GRIDS = 8
 RECALL = 0.999
 BLOCK, OCCUPANCY, MAX_CENTROIDS = 1024, 256, 256
 
@@ -57,6 +67,22 @@ def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) ->
     return c
 
 
+def nearest_first(a: np.ndarray, b: np.ndarray, margin: float) -> Iterator[tuple[int, int]]:
+    """Places (i, j) of two sorted lists by rising ``a[i] + b[j]``, as long as the sum is within ``margin``.
+
+    The heap holds the next place of every row that has begun; a row begins when the
+    first place of the row before it is taken.
+    """
+    heap = [(a[0] + b[0], 0, 0)]
+    while heap and heap[0][0] <= margin:
+        _, i, j = heapq.heappop(heap)
+        yield i, j
+        if j + 1 < len(b):
+            heapq.heappush(heap, (a[i] + b[j + 1], i, j + 1))
+        if j == 0 and i + 1 < len(a):
+            heapq.heappush(heap, (a[i + 1] + b[0], i + 1, 0))
+
+
 @dataclass
 class Grid:
     """Codebooks of the halves, and how far beyond its own cell a vector goes."""
@@ -65,6 +91,11 @@ class Grid:
     second: np.ndarray
     margin: float = np.inf
 
+    @classmethod
+    def single(cls, d: int) -> Grid:
+        """One cell for all vectors of ``d`` components."""
+        return cls(np.zeros((1, d // 2)), np.zeros((1, d - d // 2)))
+
     def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h = self.first.shape[1]
         return squared(x[:, :h], self.first), squared(x[:, h:], self.second)
@@ -80,16 +111,14 @@ class Grid:
         return a[rows, cells // k] + b[rows, cells % k] - a.min(axis=1) - b.min(axis=1)
 
     def visits(self, x: np.ndarray) -> list[list[int]]:
-        """Cells that each vector visits, nearest first: the two sorted lists of distances are walked by the multi-sequence rule."""
+        """Cells that each vector visits, nearest first."""
         a, b = self.halves(x)
         order_a, order_b, k = a.argsort(axis=1), b.argsort(axis=1), len(self.second)
         out = []
-        for i in range(len(x)):
-            da, db = a[i, order_a[i]], b[i, order_b[i]]
-            da, db = da - da[0], db - db[0]
-            p, q = np.nonzero(da[:, None] + db[None] <= self.margin)
-            nearest = np.argsort(da[p] + db[q], kind="stable")
-            out.append((order_a[i][p[nearest]] * k + order_b[i][q[nearest]]).tolist())
+        for own_a, own_b, at_a, at_b in zip(a, b, order_a, order_b, strict=True):
+            da, db = own_a[at_a] - own_a[at_a[0]], own_b[at_b] - own_b[at_b[0]]
+            near_a, near_b = at_a.tolist(), at_b.tolist()
+            out.append([near_a[i] * k + near_b[j] for i, j in nearest_first(da.tolist(), db.tolist(), self.margin)])
         return out
 
 
@@ -132,6 +161,22 @@ def forest(hits: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows, np.int64), np.array(cols, np.int64)
 
 
+def fitted(nodes: DataFrame, cosine: float, recall: float, sample: int, occupancy: int) -> dict[int, Grid]:
+    """Grids of the commonest lengths, from a sample of each; nodes: (label, d, v)."""
+    sizes = nodes.groupBy("label", "d").agg(F.count(F.lit(1)).alias("n")).groupBy("d").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    sizes = {r["d"]: r for r in sizes.orderBy(F.desc("n"), "d").limit(GRIDS).collect() if r["d"] > 1}
+    counts = {d: int(min(MAX_CENTROIDS, np.ceil(np.sqrt(r["most"] / occupancy)))) for d, r in sizes.items()}
+    shares = {d: int(1_000_000 * min(1.0, min(sample, SAMPLE_VALUES // d) / r["n"])) for d, r in sizes.items() if counts[d] > 1}
+    if not shares:
+        return {}
+    place, share = F.xxhash64("label", "v"), F.element_at(F.create_map(*[F.lit(x) for item in shares.items() for x in item]), F.col("d"))
+    chosen = nodes.filter(F.pmod(place, F.lit(1_000_000)) <= share).select("d", "v", place.alias("place")).orderBy("place").toArrow()
+    by: dict[int, list] = {}
+    for d, v in zip(chosen["d"].to_pylist(), chosen["v"].to_pylist(), strict=True):
+        by.setdefault(d, []).append(v)
+    return {d: fit(np.array(x, np.float64), counts[d], cosine, recall) for d, x in by.items()}
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.93, recall: float = RECALL, sample: int = SAMPLE, occupancy: int = OCCUPANCY) -> DataFrame:
     """(id, n_links, component_id, kept) for each row."""
     spark = vectors.sparkSession
@@ -139,48 +184,40 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label"))
     finite = F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     usable = F.coalesce(v.isNotNull() & finite & F.exists(v, lambda e: e != 0) & F.col("label").isNotNull(), F.lit(False))
-    top = rows.filter(usable).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    d = top["d"] if top else 0
-    usable = usable & (F.coalesce(F.size("v"), F.lit(0)) == d)
-    weighed = rows.filter(usable).groupBy("label", "v").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight"))
-    nodes = written(weighed.withColumn("node", F.coalesce("node", F.xxhash64("label", "v"))), "nodes")
-    most = nodes.groupBy("label").count().agg(F.max("count"), F.sum("count")).first()
-    alone = rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
-    if not most[0] or d < 2:
-        return alone
-    share = int(1_000_000 * min(1.0, sample / most[1]))
-    chosen = nodes.filter(F.pmod(F.xxhash64("node", F.lit(9)), F.lit(1_000_000)) <= share).orderBy("node").select("v").toArrow()
-    k = int(min(MAX_CENTROIDS, max(1, np.ceil(np.sqrt(most[0] / occupancy)))))
-    grid = fit(np.array(chosen["v"].to_pylist(), np.float64), k, cosine, recall) if len(chosen) else Grid(np.zeros((1, d // 2)), np.zeros((1, d - d // 2)))
-    shared = spark.sparkContext.broadcast(grid)
+    nodes = rows.filter(usable).groupBy("label", "v").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("weight"))
+    # numbered as they are written, once: ids may be null or repeat
+    nodes = written(nodes.select("label", F.size("v").alias("d"), "v", "least", "weight", F.monotonically_increasing_id().alias("node")), "nodes")
+    shared = spark.sparkContext.broadcast(fitted(nodes, cosine, recall, sample, occupancy))
     kind, label = dict(nodes.dtypes)["v"], dict(nodes.dtypes)["label"]
+    grid_of = lambda d: shared.value.get(d) or Grid.single(d)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = unit(batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d))
-            cells = shared.value.cells(x)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells.astype(np.int32)), pa.array(shared.value.visits(x), pa.list_(pa.int32()))], ["label", "v", "node", "weight", "cell", "visits"])
-
-    placed = written(nodes.select("label", "v", "node", "weight").mapInArrow(place, f"label {label}, v {kind}, node long, weight long, cell int, visits array<int>"), "placed")
-    blocks = placed.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+            lengths = batch.column(1).to_numpy()
+            for d in np.unique(lengths).tolist():
+                own = batch.filter(pa.array(lengths == d))
+                x, grid = unit(own.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)), grid_of(d)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(grid.cells(x).astype(np.int32)), pa.array(grid.visits(x), pa.list_(pa.int32()))], ["label", "d", "v", "node", "weight", "cell", "visits"])
+
+    placed = written(nodes.select("label", "d", "v", "node", "weight").mapInArrow(place, f"label {label}, d int, v {kind}, node long, weight long, cell int, visits array<int>"), "placed")
+    cell = ["label", "d", "cell"]
+    blocks = placed.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     # dealt out anew: the join's partitions hold whole cells, which may be large
-    dealt = placed.drop("visits").join(blocks, ["label", "cell"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).repartition("label", "cell", "block")
-    packed = dealt.groupBy("label", "cell", "block").agg(F.collect_list(F.struct("node", "weight", "v")).alias("held"))
-    packed = packed.select("label", "cell", "block", F.transform("held", lambda s: s["node"]).alias("node"), F.transform("held", lambda s: s["weight"]).alias("weight"), F.flatten(F.transform("held", lambda s: s["v"])).alias("v"))
+    dealt = placed.drop("visits").join(blocks, cell).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).repartition(*cell, "block")
+    packed = dealt.groupBy(*cell, "block").agg(F.collect_list(F.struct("node", "weight", "v")).alias("held"))
+    packed = packed.select(*cell, "block", F.transform("held", lambda s: s["node"]).alias("node"), F.transform("held", lambda s: s["weight"]).alias("weight"), F.flatten(F.transform("held", lambda s: s["v"])).alias("v"))
     packed = written(packed, "cells")
-    visited = placed.select("label", "cell", F.explode("visits").alias("other")).select("label", F.least("cell", "other").alias("a"), F.greatest("cell", "other").alias("b")).distinct()
-    side = lambda c: packed.select("label", F.col("cell").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("block", "node", "weight", "v")])
-    pairs = visited.join(side("a"), ["label", "a"]).join(side("b"), ["label", "b"]).filter("a <> b or block_a <= block_b")
-    pairs = pairs.select("a", "b", (F.col("a").eqNullSafe(F.col("b")) & (F.col("block_a") == F.col("block_b"))).alias("same"), "node_a", "weight_a", "v_a", "node_b", "weight_b", "v_b")
+    visited = placed.select(*cell, F.explode("visits").alias("other")).select("label", "d", F.least("cell", "other").alias("a"), F.greatest("cell", "other").alias("b")).distinct()
+    side = lambda c: packed.select("label", "d", F.col("cell").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("block", "node", "weight", "v")])
+    pairs = visited.join(side("a"), ["label", "d", "a"]).join(side("b"), ["label", "d", "b"]).filter("a <> b or block_a <= block_b")
+    pairs = pairs.select("d", "a", "b", (F.col("a").eqNullSafe(F.col("b")) & (F.col("block_a") == F.col("block_b"))).alias("same"), "node_a", "weight_a", "v_a", "node_b", "weight_b", "v_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grid = shared.value
         for batch in batches:
-            cols = batch.to_struct_array()
-            for r in range(len(cols)):
-                a, b, same = (batch.column(c)[r].as_py() for c in range(3))
-                node_a, weight_a, x, node_b, weight_b, y = (batch.column(c)[r].values.to_numpy(zero_copy_only=False) for c in range(3, 9))
-                hits = linked(unit(x.reshape(-1, d)), unit(y.reshape(-1, d)), a, b, grid, cosine, same)
+            for r in range(len(batch)):
+                d, a, b, same = (batch.column(c)[r].as_py() for c in range(4))
+                node_a, weight_a, x, node_b, weight_b, y = (batch.column(c)[r].values.to_numpy(zero_copy_only=False) for c in range(4, 10))
+                hits = linked(unit(x.reshape(-1, d)), unit(y.reshape(-1, d)), a, b, grid_of(d), cosine, same)
                 if not hits.any():
                     continue
                 rows, columns = forest(hits, same)
@@ -192,9 +229,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     found = written(pairs.mapInArrow(compare, "node long, `to` long, n long"), "links")
     counts = found.filter("n > 0").groupBy("node").agg(F.sum("n").alias("n"))
-    parts = components(found.filter("n < 0").select(F.col("node").alias("a"), F.col("to").alias("b")))
-    summed = nodes.join(counts, "node", "left").join(parts.withColumnRenamed("id", "node"), "node", "left")
-    summed = summed.select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    parts = components(found.filter("n < 0").select(F.col("node").alias("a"), F.col("to").alias("b"))).withColumnRenamed("id", "node")
+    # the id of a component is the least of its rows' ids, whatever number its nodes have
+    least = nodes.select("node", "least").join(parts, "node").groupBy("component").agg(F.min("least").alias("least_of_all"))
+    summed = nodes.join(counts, "node", "left").join(parts, "node", "left").join(least, "component", "left")
+    summed = summed.select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least_of_all", "least").alias("component_id"))
     known = rows.filter(usable).join(summed, ["label", "v"]).select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
     rest = rows.filter(~usable).select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
     return known.unionByName(rest)
