@@ -2,13 +2,16 @@
 
 The trees see lexical features of the URL and statistics of its host suffix, and
 are trained on URLs that already have a verdict. In the query those are the URLs
-that a rule decides. Everything is DataFrame expressions and Spark ML's
-DataFrame estimators; no Python runs on the executors.
+that a rule decides. The statistics of a URL that the trees learn from are those of
+the other folds of labelled URLs, so that its own label is not among its features.
+Everything is DataFrame expressions and Spark ML's DataFrame estimators; no Python
+runs on the executors.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and
 fits no rule; its verdict is the trees'. Equal URLs get equal verdicts. With one
 class of labels only the verdict of the rest is that class, without labels
-``allow``. Suffixes that no labelled URL has get the mean of all.
+``allow``. Suffixes that no (other) labelled URL has get the mean of all. A labelled
+row without a label is no labelled row.
 """
 
 from __future__ import annotations
@@ -50,6 +53,8 @@ RULES = (
 
 #: Labelled rows that the trees are fitted on at most, about; chosen by hash over all of them. Suffix and site statistics are of all.
 MAX_LABELLED = 20_000
+#: Folds of the labelled rows, and how many mean labels a suffix has besides its own.
+FOLDS, SMOOTH = 5, 20.0
 FEATURES = ["n_url", "n_host", "n_path", "n_query", "n_fragment", "depth", "labels", "digits", "digit_ratio", "hyphens", "escapes", "params", "entropy", "tls", "dotted_end", "suffix_rate", "suffix_log_n", "site_rate", "site_log_n"]
 
 
@@ -104,19 +109,37 @@ def lexical(urls: DataFrame) -> DataFrame:
     })
 
 
-def suffix_stats(labelled: DataFrame, key: str, smooth: float = 20.0) -> DataFrame:
-    """Per value of ``key``: smoothed share of blocked URLs and log of the count."""
-    total = F.broadcast(labelled.agg(F.coalesce(F.avg("label"), F.lit(0.5)).alias("mean")))
-    sums = labelled.groupBy(key).agg(F.sum("label").alias("s"), F.count(F.lit(1)).alias("n"))
-    return sums.crossJoin(total).select(key, ((F.col("s") + smooth * F.col("mean")) / (F.col("n") + smooth)).alias(f"{key}_rate"), F.log1p("n").alias(f"{key}_log_n"))
+def fold_sums(labelled: DataFrame, key: str) -> DataFrame:
+    """Per value of ``key`` and fold: blocked and all labelled URLs."""
+    return labelled.groupBy(key, "fold").agg(F.sum("label").alias(f"{key}_s"), F.count(F.lit(1)).alias(f"{key}_n"))
 
 
-def with_stats(urls: DataFrame, stats: dict[str, DataFrame], mean: float) -> DataFrame:
-    for key, table in stats.items():
-        urls = urls.join(table, key, "left").withColumns({f"{key}_rate": F.coalesce(f"{key}_rate", F.lit(mean)), f"{key}_log_n": F.coalesce(f"{key}_log_n", F.lit(0.0))})
+def all_sums(folds: DataFrame, key: str) -> DataFrame:
+    return folds.groupBy(key).agg(F.sum(f"{key}_s").alias(f"{key}_s"), F.sum(f"{key}_n").alias(f"{key}_n"))
+
+
+def rated(urls: DataFrame, key: str, s: Column, n: Column, mean: float, grow: float = 1.0) -> DataFrame:
+    """``urls`` with the smoothed share of blocked URLs of their ``key``, and the log of its size."""
+    s, n = F.coalesce(s, F.lit(0.0)) * grow, F.coalesce(n, F.lit(0)) * grow
+    return urls.withColumns({f"{key}_rate": (s + SMOOTH * mean) / (n + SMOOTH), f"{key}_log_n": F.log1p(n)})
+
+
+def with_stats(urls: DataFrame, sums: dict[str, DataFrame], mean: float) -> DataFrame:
+    """Features of URLs that are to be judged; sums: of all folds."""
+    for key, table in sums.items():
+        urls = rated(urls.join(table, key, "left"), key, F.col(f"{key}_s"), F.col(f"{key}_n"), mean).drop(f"{key}_s", f"{key}_n")
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(urls)
 
 
+def with_stats_of_other_folds(sample: DataFrame, folds: dict[str, DataFrame], sums: dict[str, DataFrame], mean: float) -> DataFrame:
+    """Features of URLs that are learned from, with sums grown to the size that all folds would have."""
+    for key in folds:
+        own = folds[key].withColumnsRenamed({f"{key}_s": "own_s", f"{key}_n": "own_n"})
+        urls = sample.join(sums[key], key).join(own, [key, "fold"])
+        sample = rated(urls, key, F.col(f"{key}_s") - F.col("own_s"), F.col(f"{key}_n") - F.col("own_n"), mean, FOLDS / (FOLDS - 1)).drop(f"{key}_s", f"{key}_n", "own_s", "own_n")
+    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
+
+
 def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", max_labelled: int = MAX_LABELLED, trees: int = 20, depth: int = 4) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) for each page; score: the trees' probability of block.
 
@@ -131,20 +154,24 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labelled:
         known = urls.filter(F.col("ruled").isNotNull()).select(F.col("page_id").alias("id"), "url", "host", "path", (F.col("ruled") == "block").cast("double").alias("label"))
     else:
         known = labelled.select(F.monotonically_increasing_id().alias("id"), F.col("url").cast("string").alias("url"), F.col("label").cast("double").alias("label")).filter("label is not null").withColumns({"host": host, "path": path})
+        known = written(known, "known-urls")  # numbered once
     n, blocked = known.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or blocked in (0, n):
         every = "block" if n and blocked == n else "allow"
         return urls.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit(every)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     share = int(1_000_000 * min(1.0, max_labelled / n))
+    fold = F.pmod(F.xxhash64("url", "id", F.lit(1)), F.lit(FOLDS)).cast("int")
+    known = known.withColumns({"fold": fold, "suffix": suffix(F.col("host")), "site": site(F.col("host"))})
+    folds = {key: written(fold_sums(known, key), f"{key}-folds") for key in ("suffix", "site")}
+    sums = {key: written(all_sums(table, key), f"{key}-sums") for key, table in folds.items()}
     sample = written(lexical(known.filter(F.pmod(F.xxhash64("id", "url"), F.lit(1_000_000)) < share)), "labelled-urls")
-    stats = {key: written(suffix_stats(known.select("label", c.alias(key)), key), f"{key}-stats") for key, c in (("suffix", suffix(F.col("host"))), ("site", site(F.col("host"))))}
     mean = blocked / n
-    train = with_stats(sample, stats, mean).select("features", "label")
+    train = with_stats_of_other_folds(sample, folds, sums, mean).select("features", "label")
     if train.select("label").distinct().count() < 2:
         every = "block" if blocked * 2 > n else "allow"
         return urls.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit(every)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, maxBins=64, stepSize=0.2, seed=7).fit(train)
-    judged = model.transform(with_stats(lexical(urls), stats, mean))
+    judged = model.transform(with_stats(lexical(urls), sums, mean))
     score = vector_to_array("probability")[1]
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("prediction") > 0.5, "block").otherwise("allow")).alias("verdict"), score.alias("score"))
 
