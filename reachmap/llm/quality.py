@@ -3,9 +3,10 @@
 Words, pairs of words and character 3- to 5-grams (a word's edge counts as a
 character) are hashed into buckets, each with a vector. A document is the mean of
 its vectors; a softmax over two classes gives the score. Vectors and weights are
-trained by stochastic gradient descent in numpy, in one task, over a bounded
-sample of labelled documents. Scoring needs one number a bucket, the share of
-the bucket's vector in the log odds, so that table is what is broadcast.
+trained by stochastic gradient descent in numpy over a bounded sample of labelled
+documents: their features are counted in all tasks, and one task takes the steps.
+Scoring needs one number a bucket, the share of the bucket's vector in the log
+odds, so that table is what is broadcast.
 
 Defined cases: a null text is the empty text, whose score is that of the bias;
 with labels of one class only the score is 1 or 0 for all, with none 0.5;
@@ -23,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import written
+
 BUCKETS_LOG2, DIM, EPOCHS, RATE = 18, 16, 4, 0.5
-#: Labelled documents of each class that the model is fitted on at most, about.
-MAX_DOCS = 2500
-#: Characters that are hashed at once; a longer text is cut at white space where there is any.
+#: Labelled documents of each class that the model is fitted on at most, about, and distinct features of theirs in all.
+MAX_DOCS, MAX_FEATURES = 2500, 40_000_000
+#: Characters that are hashed at once.
 SLICE = 1 << 20
 
 #: Bucket of the pair of a word and itself.
@@ -41,39 +44,64 @@ def _buckets(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)
 
 
-def slices(text: str) -> Iterator[str]:
-    while len(text) > SLICE:
-        cut = max(text.rfind(" ", SLICE // 2, SLICE), text.rfind("\n", SLICE // 2, SLICE)) + 1 or SLICE
-        yield text[:cut]
-        text = text[cut:]
-    yield text
-
-
-def features(text: str) -> np.ndarray:
-    """Buckets of all features of a slice of text, repeats included."""
-    u = np.frombuffer(f" {text} ".encode("utf-32-le"), np.uint32)
-    space = (u == 32) | ((u >= 9) & (u <= 13))
-    u = np.where(space, 32, u).astype(np.uint64)
-    inside = ~space
-    starts = np.flatnonzero(inside[1:] & space[:-1]) + 1
-    if not len(starts):
-        return np.empty(0, np.int64)
-    out = []
-    word = np.flatnonzero(inside)
-    first = np.repeat(starts, np.diff(np.append(np.searchsorted(word, starts), len(word))))
-    hashes = np.add.reduceat(u[word] * _POW[(word - first) & 63], np.searchsorted(word, starts))
-    out += [_buckets(hashes), _buckets(hashes[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[1:])]
-    # a word said twice in a row is the same feature for all words
-    out.append(np.full(int((hashes[:-1] == hashes[1:]).sum()), REPEATED))
-    gram, ok = u[:-1] * _POW[0] + u[1:] * _POW[1], inside[1:]
-    for n in (3, 4, 5):
-        # every character but the first and last is inside the word
-        if len(u) < n:
-            break
-        gram = gram[: len(u) - n + 1] + u[n - 1 :] * _POW[n - 1]
-        ok = ok[: len(u) - n + 1] if n == 3 else ok[: len(u) - n + 1] & inside[n - 2 : len(u) - 1]
-        out.append(_buckets((gram + np.uint64(n))[ok]))
-    return np.concatenate(out)
+def features(text: str) -> Iterator[np.ndarray]:
+    """Buckets of all features of a text, repeats included, by slices.
+
+    A word or gram that goes over a cut is the same feature as without the cut: the hash of
+    the open word and the last word's hash are carried on, and grams look back.
+    """
+    text = f" {text} "
+    open_hash, open_size, before = np.uint64(0), 0, np.empty(0, np.uint64)
+    for at in range(0, len(text), SLICE):
+        back = min(at, 4)
+        u = np.frombuffer(text[at - back : at + SLICE].encode("utf-32-le"), np.uint32)
+        space = (u == 32) | ((u >= 9) & (u <= 13))
+        u, inside = np.where(space, 32, u).astype(np.uint64), ~space
+        words, open_hash, open_size = _words(u[back:], inside[back:], open_hash, open_size)
+        words = np.concatenate([before, words])
+        fresh = words[len(before) :]
+        yield _buckets(fresh)
+        yield _buckets(words[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + words[1:])
+        # a word said twice in a row is the same feature for all words
+        yield np.full(int((words[:-1] == words[1:]).sum()), REPEATED)
+        before = words[-1:]
+        for n in (3, 4, 5):
+            # every character but the first and last is inside the word; the last one is of this slice
+            ends = np.arange(max(back, n - 1), len(u))
+            ok = np.ones(len(ends), bool)
+            for k in range(1, n - 1):
+                ok &= inside[ends - k]
+            ends = ends[ok]
+            gram = np.full(len(ends), n, np.uint64)
+            for k in range(n):
+                gram += u[ends - (n - 1) + k] * _POW[k]
+            yield _buckets(gram)
+
+
+def _words(u: np.ndarray, inside: np.ndarray, open_hash: np.uint64, open_size: int) -> tuple[np.ndarray, np.uint64, int]:
+    """Hashes of the words that end in a slice, and hash and size of the one that is open at its end; ``open_``: that of the slice before."""
+    at = np.flatnonzero(inside)
+    begins = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
+    done = [np.array([open_hash], np.uint64)] if open_size and not inside[:1].any() else []
+    if not len(at):
+        return np.concatenate([np.empty(0, np.uint64), *done]), np.uint64(0), 0
+    goes_on = bool(open_size and inside[0])
+    run = np.searchsorted(at, begins)
+    place = at - np.repeat(begins, np.diff(np.append(run, len(at))))
+    if goes_on:
+        place[: (run[1] if len(run) > 1 else len(at))] += open_size
+    hashes = np.add.reduceat(u[at] * _POW[place & 63], run)
+    if goes_on:
+        hashes[:1] += open_hash  # an array: sums go round at 64 bits
+    if inside[-1]:
+        return np.concatenate([*done, hashes[:-1]]), hashes[-1], int(place[-1]) + 1
+    return np.concatenate([*done, hashes]), np.uint64(0), 0
+
+
+def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text and each one's share of its features."""
+    ids, counts = np.unique(np.concatenate(list(features(text or ""))), return_counts=True)
+    return ids.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
 
 
 @dataclass
@@ -83,21 +111,16 @@ class Model:
     share: np.ndarray
     bias: float
 
-    def log_odds(self, text: str) -> float:
+    def log_odds(self, text: str | None) -> float:
         total, n = 0.0, 0
-        for part in slices(text):
-            f = features(part)
+        for f in features(text or ""):
             total, n = total + float(self.share[f].sum(dtype=np.float64)), n + len(f)
         return self.bias + (total / n if n else 0.0)
 
 
-def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, seed: int = 7) -> Model:
-    """Stochastic gradient descent over documents; a step moves the mean vector as far in long texts as in short ones."""
+def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights: np.ndarray, seed: int = 7) -> Model:
+    """Stochastic gradient descent over documents (buckets, shares); a step moves the mean vector as far in long texts as in short ones."""
     rng = np.random.default_rng(seed)
-    docs = []
-    for text in texts:
-        ids, counts = np.unique(np.concatenate([features(p) for p in slices(text)]), return_counts=True)
-        docs.append((ids, (counts / max(1, counts.sum())).astype(np.float32)))
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << BUCKETS_LOG2, DIM)).astype(np.float32)
     out = rng.uniform(-1 / DIM, 1 / DIM, (2, DIM)).astype(np.float32)
     bias = np.zeros(2, np.float32)
@@ -124,28 +147,43 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, seed: int = 7
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, learn: Column, max_docs: int = MAX_DOCS) -> Model | float:
     """A model from the labelled rows for which ``learn`` holds, or the one score that all texts get."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & learn)
-    known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("__y")).filter("y = __y").select("id", "y")
+    known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("most")).filter("y = most").select("id", "y")
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if len(sizes) < 2:
         return float(next(iter(sizes), 0.5))
     place = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000))
     share = {y: min(1.0, max_docs / n) for y, n in sizes.items()}
-    sample = known.filter(place < F.when(F.col("y") == 1, int(1e6 * share[1])).otherwise(int(1e6 * share[0])))
+    within = lambda s: F.col("place") < F.when(F.col("y") == 1, int(1e6 * s[1])).otherwise(int(1e6 * s[0]))
+    sample = known.withColumn("place", place).filter(within(share))
     # about 2 * max_docs ids, so the documents are not shuffled
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), "id").select("text", "y")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
+    texts = texts.select("y", "place", F.xxhash64("id", "text").alias("tie"), "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [counted(t) for t in batch.column(3).to_pylist()]
+            ids, shares = (pa.array([x[k] for x in done], pa.list_(t)) for k, t in enumerate((pa.int32(), pa.float32())))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], ids, shares], ["y", "place", "tie", "ids", "shares"])
+
+    rows = written(texts.mapInArrow(count, "y int, place long, tie long, ids array<int>, shares array<float>"), "labelled")
+    held = rows.agg(F.sum(F.size("ids"))).first()[0] or 0
+    if held > MAX_FEATURES:
+        share = {y: s * MAX_FEATURES / held for y, s in share.items()}
+        rows = rows.filter(within(share))
     most = max(1 / s for s in share.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text, y = [], []
-        for batch in batches:
-            text += batch.column(0).to_pylist()
-            y += batch.column(1).to_pylist()
-        if len(set(y)) == 2:
-            y = np.array(y)
-            model = fit(text, y, np.where(y == 1, 1 / share[1], 1 / share[0]) / most)
+        batches = list(batches)
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches).sort_by([("place", "ascending"), ("tie", "ascending")])
+        y = table["y"].to_numpy()
+        if len(set(y.tolist())) == 2:
+            own = [[x.values.to_numpy() for x in table[c]] for c in ("ids", "shares")]
+            model = fit(list(zip(*own, strict=True)), y, np.where(y == 1, 1 / share[1], 1 / share[0]) / most)
             yield pa.RecordBatch.from_arrays([pa.array([model.share.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], ["share", "bias"])
 
-    row = texts.repartition(1).mapInArrow(run, "share binary, bias double").first()
+    row = rows.repartition(1).mapInArrow(run, "share binary, bias double").first()
     if row is None:
         return sizes.get(1, 0) / sum(sizes.values())
     return Model(np.frombuffer(row["share"], np.float32), row["bias"])
@@ -155,7 +193,7 @@ def score(docs: DataFrame, model: Model | float, text_col: str, keep: list[Colum
     """``keep`` and the score of each row."""
     if isinstance(model, float):
         return docs.select(*keep, F.lit(model).alias("score"))
-    rows = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    rows = docs.select(*keep, F.col(text_col).alias("text_to_score"))  # by place: a clash of names does no harm
     shared, kept = docs.sparkSession.sparkContext.broadcast(model), rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +216,7 @@ def accepted(docs: DataFrame, model: Model | float, text_col: str = "text", thre
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([model.log_odds(t or "") >= least for t in batch.column(place).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([model.log_odds(t) >= least for t in batch.column(place).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
