@@ -8,8 +8,9 @@ The language with the shortest code wins; the score is its share of the
 probability under equal priors.
 
 The counts are gathered by Spark jobs over a bounded sample of labelled documents
-(``max_docs`` a language, chosen by hash), so that the trees, which are broadcast,
-are bounded by it. Texts are scored whole, in slices of a megabyte.
+(``max_docs`` a language and MAX_BYTES of text in all, chosen by hash), so that the
+grams, which are collected, and the trees, which are broadcast, are bounded by it.
+Texts are scored whole, in slices of a megabyte.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and
 so is every text if nothing is labelled; null ids count as held out; equal code
@@ -30,7 +31,11 @@ from pyspark.sql import functions as F
 ORDER = 3
 #: Labelled documents of each language that the trees are built from at most, about.
 MAX_DOCS = 3000
+#: Bytes of text of all languages that the trees are built from at most, about; a byte adds one gram at most.
+MAX_BYTES = 64 << 20
 SLICE = 1 << 20
+#: Code lengths (grams times languages) that are broadcast at most.
+MAX_LENGTHS = 1 << 27
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -150,12 +155,13 @@ def code_lengths(text: str, trees: Trees) -> np.ndarray:
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, max_docs: int) -> Trees | None:
     """Trees from a sample of the rows for which ``learn`` holds; None if there are none."""
     labelled = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in labelled.groupBy(F.col(lang_col).alias("l")).count().collect()}  # one row a language
+    sizes = {r[0]: r for r in labelled.groupBy(F.col(lang_col).alias("l")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_col)).alias("b")).collect()}  # one row a language
     if not sizes:
         return None
     langs = sorted(sizes)
+    shares = {l: min(1.0, max_docs / r["n"], MAX_BYTES / len(sizes) / max(1, r["b"])) for l, r in sizes.items()}  # noqa: E741
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1_000_000))
-    share = F.element_at(F.create_map(*[F.lit(x) for l in langs for x in (l, int(1_000_000 * min(1.0, max_docs / sizes[l])))]), F.col(lang_col))  # noqa: E741
+    share = F.element_at(F.create_map(*[F.lit(x) for l in langs for x in (l, int(1_000_000 * shares[l]))]), F.col(lang_col))  # noqa: E741
     sample = labelled.filter(place <= share).select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,6 +174,8 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Col
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], ["l", "gram", "n"])
 
     summed = sample.mapInArrow(count, "l string, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")).toArrow()
+    if (size := len(summed["gram"].unique()) * len(langs)) > MAX_LENGTHS:
+        raise ValueError(f"{size} code lengths are too many to broadcast: lower max_docs")
     names = {l: i for i, l in enumerate(langs)}  # noqa: E741
     no = np.array([names[x] for x in summed["l"].to_pylist()], np.int64)
     return build(langs, no, summed["gram"].to_numpy(), summed["n"].to_numpy().astype(np.float64))
@@ -178,7 +186,7 @@ def predict(docs: DataFrame, trees: Trees | None, keep: list[Column], text_col:
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     if trees is None:
         return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    rows = docs.select(*keep, F.when(lettered, F.col(text_col)).alias("__text"))
+    rows = docs.select(*keep, F.when(lettered, F.col(text_col)).alias("text_to_score"))  # by place: a clash of names does no harm
     model, kept = docs.sparkSession.sparkContext.broadcast(trees), rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
