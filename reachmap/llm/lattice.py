@@ -11,7 +11,8 @@ Counts of a whole corpus are too large to be broadcast. So one pass over the tex
 cuts the input into blocks of some megabytes; a block's texts become arrays of
 places in the block's own word list. Word lists are counted and joined with the
 corpus counts by shuffles, come back to their block, and texts are scored by
-looking up the places. Blocks are written once, so a re-run task can't renumber.
+looking up the places. Blocks are written once, so a re-run task can't renumber;
+they are dealt out in turn, so that no task gets more of them than another.
 
 A vocabulary whose scores are log probabilities is used as it is; one whose scores
 are merge ranks gets p ~ 1 / (rank + 2.7), Zipf's law. An end token closes every
@@ -153,28 +154,50 @@ def lattice_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", te
 
     counts = words.groupBy("word").agg(F.sum("n").alias("c"))
     known = written(counts.mapInArrow(marginals, "word binary, c long, z double"), "words")
-    ends = rows.filter("not held_out").count()
+    ends, last = rows.agg(F.count_if(~F.col("held_out")), F.coalesce(F.max("own"), F.lit(0))).first()
     tokens, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     total, kinds = tokens + ends, distinct + (ends > 0)
     whole = math.log10(total + kinds + 1)
     end = math.log10(ends + 1) - whole
     inside = math.log10(1 - 10**end) if ends and end < 0 else 0.0
 
-    def score(own: pa.Table, table: pa.Table) -> pa.Table:
-        n = max(table["place"].to_numpy(), default=-1) + 1
-        c, z = np.zeros(n), np.zeros(n)
-        c[table["place"].to_numpy()], z[table["place"].to_numpy()] = table["c"].to_numpy(), table["z"].to_numpy()
-        logs, seen = np.log10(c + 1), c > 0
+    def scores(own: pa.RecordBatch, logs: np.ndarray, seen: np.ndarray, z: np.ndarray) -> pa.RecordBatch:
         places = [unpacked(p) for p in own["places"].to_pylist()]
-        return pa.table({
+        return pa.RecordBatch.from_pydict({
             "id": own["id"], "held_out": own["held_out"], "n_tokens": pa.array([len(p) + 1 for p in places], pa.int64()),
             "n_known": pa.array([int(seen[p].sum()) + (ends > 0) for p in places], pa.int64()),
             "base_score": pa.array([float(logs[p].sum()) - len(p) * whole + end for p in places], pa.float64()),
             "score": pa.array([float(z[p].sum()) + len(p) * inside + end for p in places], pa.float64()),
         })
 
-    table = words.join(known, "word").select("block", "place", "c", "z")
-    scored = rows.groupBy("own").cogroup(table.groupBy("block")).applyInArrow(score, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by block, the block's words before its texts."""
+        block, table, looked_up = None, [], None
+        for batch in batches:
+            blocks, texts = batch["block"].to_numpy(), batch["is_text"].to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(texts) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+                part = batch.slice(a, b - a)
+                if not len(part):
+                    continue
+                if block != blocks[a]:
+                    block, table, looked_up = blocks[a], [], None
+                if not texts[a]:
+                    table.append([part[n].to_numpy() for n in ("place", "c", "z")])
+                    continue
+                if looked_up is None:
+                    place, c, z = (np.concatenate([x[k] for x in table]) for k in range(3)) if table else (np.empty(0, np.int32), np.empty(0), np.empty(0))
+                    by = np.argsort(place)  # every place of the list once
+                    looked_up = np.log10(c[by] + 1), c[by] > 0, z[by]
+                yield scores(part, *looked_up)
+
+    table = words.join(known, "word").select("block", F.lit(False).alias("is_text"), "place", "c", "z")
+    both = table.unionByName(rows.select(F.col("own").alias("block"), F.lit(True).alias("is_text"), "id", "held_out", "places"), allowMissingColumns=True)
+    # the k-th block of an input task: in turn over the tasks, then over k
+    task, k = F.shiftright("block", 32), F.col("block").bitwiseAND(F.lit(0xFFFFFFFF))
+    deal = F.pmod(task + k * ((last >> 32) + 1), F.lit(1 << 30)).cast("int")
+    dealt = both.repartitionById(int(spark.conf.get("spark.sql.shuffle.partitions")), deal).sortWithinPartitions("block", "is_text")
+    scored = dealt.mapInArrow(score, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
