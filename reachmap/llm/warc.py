@@ -4,17 +4,21 @@ Writing: each page becomes one WARC/1.1 record, or, when its payload is longer
 than ``chunk_bytes``, a first segment and ``continuation`` segments (the
 standard's own way to split a record). A segment is a row with a record
 identifier and a segment number; Spark's text writer puts the rows one after the
-other into gzip files. No row holds more than one chunk, and the SHA-1 of the
-payload is carried along from chunk to chunk.
+other into gzip files. Chunks are cut out of the batch's own buffer: no row, and no
+copy, holds more than one of them, and the SHA-1 of the payload is carried along
+from chunk to chunk.
 
 Reading: gzip files are not split, so a partition is a run of whole files, read
 as lines in order. The parser goes by Content-Length, updates the digest as
-chunks pass, checks it against the record's own, and never joins the chunks of a
-payload.
+chunks pass, checks it against the record's own, and gives a row for each chunk
+(``read_chunks``); it never joins the chunks of a payload. A record's row is that
+of its last chunk (``read_warc``).
 
 Defined cases: a null html is the empty payload; a null page_id is written and
 read back as null; of equal payloads whose greatest page_id occurs twice both
-rows are responses; if all page_ids of a payload are null, all are responses.
+rows are responses; a row with a null page_id revisits a response that has one; if
+all page_ids of a payload are null, all are responses. Line ends in URLs are
+escaped.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,18 +35,25 @@ from ..storage import new_path
 
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, n_chunks int, digest_ok boolean"
+#: Ways that the rows of one payload are dealt for the join with the response that stands for it.
+SALTS = 16
+CHUNKS = "record long, chunk_no int, page_id long, record_type string, refers_to long, n_bytes long, total_bytes long, running_digest string, digest_ok boolean, last boolean, chunk binary"
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
 
 
 def decide(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_bytes: int) -> DataFrame:
-    """(page_id, url, html, digest, size, kept): ``kept`` is the page_id of the response that stands for this payload.
+    """(page_id, url, html, digest, kept): ``kept`` is the page_id of the response that stands for this payload.
 
-    Only digests that occur more than once go into the join, aggregated first.
+    Only digests that occur more than once are looked up, aggregated first. Rows of one payload are
+    dealt out in SALTS ways, and those of small payloads, which are never looked up, by themselves.
     """
-    html = F.coalesce(F.col(html_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html"), F.sha1(html).alias("digest"), F.octet_length(html).cast("long").alias("size"))
-    top = rows.filter(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "kept")
-    return rows.join(top, "digest", "left").select("page_id", "url", "html", "digest", "size", F.coalesce("kept", "page_id").alias("kept"))
+    html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.cast("binary").alias("html"), F.sha1(html).alias("digest"), (F.octet_length(html) >= min_bytes).alias("large"))
+    top = rows.filter("large").groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    top = top.select(F.col("digest").alias("key"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), "kept")
+    own = F.xxhash64("page_id", "url")
+    keyed = rows.withColumns({"key": F.when(F.col("large"), F.col("digest")), "salt": F.when(F.col("large"), F.pmod(own, F.lit(SALTS))).otherwise(own)})
+    return keyed.join(top, ["key", "salt"], "left").select("page_id", "url", "html", "digest", F.coalesce("kept", "page_id").alias("kept"))
 
 
 def cut(payload: memoryview, size: int) -> Iterator[memoryview]:
@@ -55,16 +67,15 @@ def cut(payload: memoryview, size: int) -> Iterator[memoryview]:
         at = end
 
 
-def record_rows(page_id: int | None, url: str | None, html: str, digest: str, kept: int | None, chunk_bytes: int) -> Iterator[str]:
+def record_rows(page_id: int | None, url: str | None, data: memoryview, digest: str, kept: int | None, chunk_bytes: int) -> Iterator[str]:
     """The segments of one record as text."""
     name = f"<urn:page:{'' if page_id is None else page_id}>"
     common = [f"WARC-Target-URI: {(url or '').replace(chr(13), '%0D').replace(chr(10), '%0A')}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}"]
-    data = html.encode()
     if kept != page_id:
         head = ["WARC/1.1", "WARC-Type: revisit", f"WARC-Record-ID: {name}", *common, f"WARC-Refers-To: <urn:page:{kept}>", f"WARC-Profile: {PROFILE}", f"Payload-Length: {len(data)}", "Content-Length: 0"]
         yield CRLF.join(head) + CRLF + CRLF
         return
-    running, chunks = hashlib.sha1(), list(cut(memoryview(data), chunk_bytes)) or [memoryview(b"")]
+    running, chunks = hashlib.sha1(), list(cut(data, chunk_bytes)) or [data]
     for k, chunk in enumerate(chunks, 1):
         running.update(chunk)
         kind = "response" if k == 1 else "continuation"
@@ -84,8 +95,10 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
         for batch in batches:
             out: list[str] = []
             size = 0
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for text in record_rows(*row, chunk_bytes):
+            ids, urls, digests, kept = (batch.column(k).to_pylist() for k in (0, 1, 3, 4))
+            for k in range(len(batch)):
+                payload = memoryview(batch.column(2)[k].as_buffer())
+                for text in record_rows(ids[k], urls[k], payload, digests[k], kept[k], chunk_bytes):
                     out.append(text)
                     size += len(text)
                     if size > 8 << 20:
@@ -94,7 +107,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
-    rows = decide(pages, id_col, url_col, html_col, min_bytes).select("page_id", "url", "html", "digest", "kept")
+    rows = decide(pages, id_col, url_col, html_col, min_bytes)
     rows.mapInArrow(segments, "value string").write.option("compression", "gzip").option("lineSep", CRLF * 2).text(path)
 
 
@@ -103,9 +116,13 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         yield from batch.column(0).to_pylist()
 
 
-def parse(lines: Iterator[bytes]) -> Iterator[tuple]:
-    """Rows of RECORDS from the lines of whole files, in order; lines lack their final newline."""
-    digest, total, parts, now, good = None, 0, 0, None, True
+def parse(lines: Iterator[bytes], first: int = 0, payloads: bool = True) -> Iterator[tuple]:
+    """Rows of CHUNKS from the lines of whole files, in order; lines lack their final newline.
+
+    ``first``: number of the first record. Without ``payloads`` the chunks themselves are null.
+    """
+    digest, total, parts, good, record = None, 0, 0, True, first - 1
+    now: dict[bytes, bytes] = {}
     for line in lines:
         if line != b"WARC/1.1\r":
             if line not in (b"\r", b""):
@@ -117,50 +134,64 @@ def parse(lines: Iterator[bytes]) -> Iterator[tuple]:
                 break
             key, _, value = line.rstrip(b"\r").partition(b": ")
             head[key] = value
-        left, chunk_ok = int(head[b"Content-Length"]), True
+        left = int(head[b"Content-Length"])
         if head[b"WARC-Type"] != b"continuation":
-            digest, total, parts, good = hashlib.sha1(), 0, 0, True
+            digest, total, parts, good, record = hashlib.sha1(), 0, 0, True, record + 1
             now = head
+        size, taken = left, []
         while left > 0:
             line = next(lines)
             # a payload may end in the middle of a line: CR LF CR LF follows it
             take = line[:left] if len(line) >= left else line + b"\n"
             digest.update(take)
-            total += len(take)
             left -= len(take)
-        parts += 1
+            if payloads:
+                taken.append(take)
+        total, parts = total + size, parts + 1
         if b"Running-Digest" in head:
-            chunk_ok = head[b"Running-Digest"] == b"sha1:" + digest.hexdigest().encode()
-        good = good and chunk_ok
+            good = good and head[b"Running-Digest"] == b"sha1:" + digest.hexdigest().encode()
         page = now[b"WARC-Record-ID"][len(b"<urn:page:") : -1]
         page_id, said = int(page) if page else None, now[b"WARC-Payload-Digest"].partition(b":")[2].decode()
         if now[b"WARC-Type"] == b"revisit":
-            yield page_id, int(now[b"Payload-Length"]), said, "revisit", int(now[b"WARC-Refers-To"][len(b"<urn:page:") : -1]), 0, True
-        elif parts == int(now[b"WARC-Segments"]):
-            yield page_id, total, digest.hexdigest(), "response", None, parts, good and digest.hexdigest() == said
+            yield record, 0, page_id, "revisit", int(now[b"WARC-Refers-To"][len(b"<urn:page:") : -1]), 0, int(now[b"Payload-Length"]), said, True, True, None
+        else:
+            last = parts == int(now[b"WARC-Segments"])
+            good = good and (not last or digest.hexdigest() == said)
+            yield record, parts, page_id, "response", None, size, total, digest.hexdigest(), good, last, b"".join(taken) if payloads else None
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the archives in ``path`` (RECORDS), payloads digested anew while they stream by."""
+def read_chunks(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """The archives in ``path`` as a table of chunks (CHUNKS).
+
+    ``record`` numbers the records of a task; ``running_digest`` and ``total_bytes`` are of the
+    payload up to and with this chunk; a revisit is one row without a chunk.
+    """
+    fields = [x.split() for x in CHUNKS.split(", ")]
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.bool_()]
-        names = [x.split()[0] for x in RECORDS.split(", ")]
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
+        held = 0
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+            return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, (_, t) in zip(zip(*out, strict=True), fields, strict=True)], [n for n, _ in fields])
 
-        for row in parse(_lines(batches)):
+        for row in parse(_lines(batches), TaskContext.get().partitionId() << 33, payloads):
             out.append(row)
-            if len(out) == 10_000:
+            held += len(row[-1] or b"")
+            if len(out) == 10_000 or held > 8 << 20:
                 yield flush()
-                out = []
+                out, held = [], 0
         if out:
             yield flush()
 
     lines = spark.read.option("lineSep", "\n").text(path)
-    return lines.select(F.col("value").cast("binary").alias("line")).mapInArrow(records, RECORDS)
+    return lines.select(F.col("value").cast("binary").alias("line")).mapInArrow(chunks, CHUNKS)
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each record of the archives in ``path``, payloads digested anew while they stream by."""
+    last = read_chunks(spark, path, payloads=False).filter("last")
+    return last.select("page_id", F.col("total_bytes").alias("payload_bytes"), F.col("running_digest").alias("payload_digest"), "record_type", "refers_to", F.col("chunk_no").alias("n_chunks"), "digest_ok")
 
 
 def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +205,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 q AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha1(h) AS payload_digest FROM p),
 m AS (SELECT payload_digest, max(page_id) AS kept FROM q WHERE payload_bytes >= 1000 GROUP BY 1)
 SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN coalesce(kept, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN coalesce(kept, page_id) = page_id THEN NULL ELSE kept END AS refers_to,
+  CASE WHEN kept IS NULL OR kept IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN kept IS NOT DISTINCT FROM page_id THEN NULL ELSE kept END AS refers_to,
   true AS digest_ok
 FROM q LEFT JOIN m USING (payload_digest)"""
