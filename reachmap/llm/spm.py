@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from . import vocab as vocabs
 from ..storage import written
+from .names import unused
 from .vocab import Vocab
 
 #: Characters in a chunk; longer texts are split.
@@ -204,7 +205,8 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", exact_
     docs = docs.drop(ids_col, exact_col)
     names = docs.columns
     whole = docs.filter(F.col(text_col).isNull() | (F.length(text_col) < chunk))
-    long = docs.filter(F.length(text_col) >= chunk).withColumn("__key", F.sha2(text_col, 256))
+    own_key, own_ids, own_exact = (unused(names, n) for n in ("own_key", "own_ids", "own_exact"))
+    long = docs.filter(F.length(text_col) >= chunk).withColumn(own_key, F.sha2(text_col, 256))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, place = Encoder(shared.value), names.index(text_col)
@@ -216,8 +218,8 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", exact_
 
     schema = ", ".join([*(f"`{n}` {t}" for n, t in docs.dtypes), f"`{ids_col}` array<int>", f"`{exact_col}` boolean"])
     short = whole.mapInArrow(run, schema)
-    ids = _long_ids(long.select(F.col("__key").alias("key"), F.col(text_col).alias("text")).dropDuplicates(["key"]), shared, chunk)
-    joined = long.join(ids.select(F.col("key").alias("__key"), F.col("ids").alias("__ids"), F.col("exact").alias("__exact")), "__key").select(*[F.col(f"`{n}`") for n in names], F.col("__ids").alias(ids_col), F.col("__exact").alias(exact_col))
+    ids = _long_ids(long.select(F.col(own_key).alias("key"), F.col(text_col).alias("text")).dropDuplicates(["key"]), shared, chunk)
+    joined = long.join(ids.select(F.col("key").alias(own_key), F.col("ids").alias(own_ids), F.col("exact").alias(own_exact)), own_key).select(*[F.col(f"`{n}`") for n in names], F.col(own_ids).alias(ids_col), F.col(own_exact).alias(exact_col))
     return short.unionByName(joined)
 
 
