@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import contains_fold, pad_key, pad_zip, to_number
@@ -26,19 +26,21 @@ def pick_code(slots: list[tuple[Column, Column]], codes: list[str], primary: str
 def pick_code_long(rows: DataFrame, key: str, code: str, codes: DataFrame, preferred: Column, order: list[str]) -> DataFrame:
     """The same choice where slots are rows: per key the first wanted row, preferred ones before others."""
     wanted = rows.join(codes, code, "left_semi")
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.when(preferred, 0).otherwise(1), *order))
-    return wanted.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    rest = [c for c in rows.columns if c not in {key, *order}]
+    # the least struct of each key: combined before the shuffle, no sort of a group
+    first = F.min(F.struct(F.when(preferred, 0).otherwise(1).alias("rank"), *order, *rest)).alias("first")
+    return wanted.groupBy(key).agg(first).select(*[F.col(c if c == key else f"first.{c}").alias(c) for c in rows.columns])
 
 
-def providers(registry: DataFrame, codes: list[str], slots: int, individual: str = "1") -> DataFrame:
-    """(npi, code, zip5): individuals with a wanted code.
+def providers(registry: DataFrame, codes: list[str], slots: int, individual: str = "1", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(npi, code, zip5, *keep): individuals with a wanted code.
 
     Whether any slot has one is asked first, in plain comparisons; the choice among
     slots is made for the rows that are left.
     """
     wanted = reduce(or_, [F.coalesce(F.col(f"code_{i}").isin(*codes), F.lit(False)) for i in range(1, slots + 1)])
     chosen = pick_code([(F.col(f"code_{i}"), F.col(f"switch_{i}")) for i in range(1, slots + 1)], codes)
-    return registry.filter(F.col("entity_type") == individual).filter(wanted).select("npi", chosen.alias("code"), pad_zip(F.col("postal")).alias("zip5"))
+    return registry.filter(F.col("entity_type") == individual).filter(wanted).select("npi", chosen.alias("code"), pad_zip(F.col("postal")).alias("zip5"), *keep)
 
 
 def primary_area(crosswalk: DataFrame, zip_col: str, area_col: str, weight_col: str | None) -> DataFrame:

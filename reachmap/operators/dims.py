@@ -8,16 +8,23 @@ from pyspark.sql import functions as F
 from ..functions.keys import key_of_parts, pad_key, round_even, strip, to_integer, to_number
 
 # State abbreviation, key prefix and name.
-STATES = """
-AL 01 Alabama, AK 02 Alaska, AZ 04 Arizona, AR 05 Arkansas, CA 06 California, CO 08 Colorado, CT 09 Connecticut,
-DE 10 Delaware, DC 11 District of Columbia, FL 12 Florida, GA 13 Georgia, HI 15 Hawaii, ID 16 Idaho, IL 17 Illinois,
-IN 18 Indiana, IA 19 Iowa, KS 20 Kansas, KY 21 Kentucky, LA 22 Louisiana, ME 23 Maine, MD 24 Maryland,
-MA 25 Massachusetts, MI 26 Michigan, MN 27 Minnesota, MS 28 Mississippi, MO 29 Missouri, MT 30 Montana, NE 31 Nebraska,
-NV 32 Nevada, NH 33 New Hampshire, NJ 34 New Jersey, NM 35 New Mexico, NY 36 New York, NC 37 North Carolina,
-ND 38 North Dakota, OH 39 Ohio, OK 40 Oklahoma, OR 41 Oregon, PA 42 Pennsylvania, RI 44 Rhode Island,
-SC 45 South Carolina, SD 46 South Dakota, TN 47 Tennessee, TX 48 Texas, UT 49 Utah, VT 50 Vermont, VA 51 Virginia,
-WA 53 Washington, WV 54 West Virginia, WI 55 Wisconsin, WY 56 Wyoming"""
-STATE_ROWS = [tuple(row.split(" ", 2)) for row in STATES.replace("\n", " ").strip().split(", ")]
+# fmt: off
+STATE_ROWS = [
+    ("AL", "01", "Alabama"), ("AK", "02", "Alaska"), ("AZ", "04", "Arizona"), ("AR", "05", "Arkansas"),
+    ("CA", "06", "California"), ("CO", "08", "Colorado"), ("CT", "09", "Connecticut"), ("DE", "10", "Delaware"),
+    ("DC", "11", "District of Columbia"), ("FL", "12", "Florida"), ("GA", "13", "Georgia"), ("HI", "15", "Hawaii"),
+    ("ID", "16", "Idaho"), ("IL", "17", "Illinois"), ("IN", "18", "Indiana"), ("IA", "19", "Iowa"),
+    ("KS", "20", "Kansas"), ("KY", "21", "Kentucky"), ("LA", "22", "Louisiana"), ("ME", "23", "Maine"),
+    ("MD", "24", "Maryland"), ("MA", "25", "Massachusetts"), ("MI", "26", "Michigan"), ("MN", "27", "Minnesota"),
+    ("MS", "28", "Mississippi"), ("MO", "29", "Missouri"), ("MT", "30", "Montana"), ("NE", "31", "Nebraska"),
+    ("NV", "32", "Nevada"), ("NH", "33", "New Hampshire"), ("NJ", "34", "New Jersey"), ("NM", "35", "New Mexico"),
+    ("NY", "36", "New York"), ("NC", "37", "North Carolina"), ("ND", "38", "North Dakota"), ("OH", "39", "Ohio"),
+    ("OK", "40", "Oklahoma"), ("OR", "41", "Oregon"), ("PA", "42", "Pennsylvania"), ("RI", "44", "Rhode Island"),
+    ("SC", "45", "South Carolina"), ("SD", "46", "South Dakota"), ("TN", "47", "Tennessee"), ("TX", "48", "Texas"),
+    ("UT", "49", "Utah"), ("VT", "50", "Vermont"), ("VA", "51", "Virginia"), ("WA", "53", "Washington"),
+    ("WV", "54", "West Virginia"), ("WI", "55", "Wisconsin"), ("WY", "56", "Wyoming"),
+]
+# fmt: on
 
 #: Area-type words at the end of an area's name.
 AREA_SUFFIX = r"\s+(County|Parish|Borough|Municipality|Census Area|City and Borough|Municipio)$"
@@ -72,8 +79,8 @@ def within(areas: DataFrame, keys: DataFrame, inside: bool = True) -> DataFrame:
 
 
 def centroids(raw: DataFrame, key: str, lat: str, lng: str) -> DataFrame:
-    """(key, lat, lng) with padded keys and both coordinates."""
-    return raw.select(pad_key(F.col("geoid")).alias(key), F.col("lat").cast("double").alias(lat), F.col("lng").cast("double").alias(lng)).dropna(subset=[lat, lng])
+    """(key, lat, lng) with padded keys and both coordinates, of numbers or texts; rows whose coordinates are no numbers are left out."""
+    return raw.select(pad_key(F.col("geoid")).alias(key), to_number(F.col("lat")).alias(lat), to_number(F.col("lng")).alias(lng)).dropna(subset=[lat, lng])
 
 
 def assert_unique(df: DataFrame, key: str) -> DataFrame:

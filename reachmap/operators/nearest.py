@@ -43,22 +43,23 @@ def _grid_round(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame
 def nearest_miles(areas: DataFrame, points: DataFrame, key: str, lat: str, lng: str, point_lat: str, point_lng: str, out: str, strategy: str | None = None, edge: float = 0.01) -> DataFrame:
     """(key, out): miles to the nearest point, to one decimal.
 
-    Points are made distinct first, as only the distance counts. Small inputs are
-    compared pair by pair against broadcast points. Larger ones go by a grid of cubes: a
-    distance within the cube's edge is exact, the others go on with cubes four times
-    as large, until a cube holds the sphere. Rounds are written to the shared folder.
+    Points are made distinct and written first, as only the distance counts and their plan
+    may be long; so the sizes are those of small tables. Small inputs are compared pair by
+    pair against broadcast points. Larger ones go by a grid of cubes: a distance within
+    the cube's edge is exact, the others go on with cubes four times as large, until a
+    cube holds the sphere. Rounds are written to the shared folder.
     """
     x, y, z = unit_vector(F.col(lat), F.col(lng))
     queries = areas.dropna(subset=[lat, lng]).select(F.col(key).alias("key"), x.alias("qx"), y.alias("qy"), z.alias("qz"))
     x, y, z = unit_vector(F.col(point_lat), F.col(point_lng))
-    points = points.select(point_lat, point_lng).dropna().distinct().select(x.alias("px"), y.alias("py"), z.alias("pz"))
+    points = written(points.select(point_lat, point_lng).dropna().distinct().select(x.alias("px"), y.alias("py"), z.alias("pz")), "points")
     if strategy is None:
-        n, m = queries.agg(F.count(F.lit(1))).crossJoin(points.agg(F.count(F.lit(1)))).first()  # two single rows
+        n, m = queries.count(), points.count()
         strategy = "brute" if m <= BROADCAST_POINTS and n * m <= BRUTE_PAIRS else "grid"
     if strategy == "brute":
         found = _brute(queries, points)
     else:
-        found, left, points = None, written(queries, "queries"), written(points, "points")
+        found, left = None, written(queries, "queries")
         while True:
             part = written(_grid_round(left, points, edge), "near")
             found = part if found is None else found.unionByName(part)

@@ -58,21 +58,24 @@ def links(pages: DataFrame, key: str, html: str, pattern: str = r'href="([^"]*)"
     return pages.select(key, F.explode(F.regexp_extract_all(html, F.lit(pattern), F.lit(1))).alias("link")).distinct()
 
 
+#: Fixed value: how an artifact is named by month, year and version.
+ARTIFACT_NAME = r"_([A-Za-z]+)_(\d{4})(?:_V(\d+))?\.zip$"
+
+
 def artifact_order(name: Column) -> Column:
     """(year, month, version) of ``.._Month_2024_V2.zip``; zeros where the name has another form."""
-    pattern = r"_([A-Za-z]+)_(\d{4})(?:_V(\d+))?\.zip$"
-    part = lambda i: F.regexp_extract(name, pattern, i)
+    part = lambda i: F.regexp_extract(name, ARTIFACT_NAME, i)
     month = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS, 1) for x in (m, i)]), part(1)), F.lit(0))
     number = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
     return F.struct(number(2).alias("year"), F.when(number(2) > 0, month).otherwise(0).alias("month"), number(3).alias("version"))
 
 
-def latest_artifact(found: DataFrame, link: str = "link", leave_out: str = "Weekly", base: str = "") -> DataFrame:
-    """(link): the latest artifact by its name, resolved against ``base``."""
+def latest_artifact(found: DataFrame, link: str = "link", leave_out: str = "Weekly", base: str = "", group: tuple[str, ...] = ()) -> DataFrame:
+    """(*group, link): the latest artifact of each group by its name, resolved against ``base``."""
     kept = found.filter(~F.col(link).contains(leave_out))
-    last = kept.agg(F.max_by(link, F.struct(artifact_order(F.col(link)), F.col(link))).alias("link"))
+    last = kept.groupBy(*group).agg(F.max_by(link, F.struct(artifact_order(F.col(link)), F.col(link))).alias("link"))
     absolute = F.when(F.col("link").startswith("http"), F.col("link")).otherwise(F.concat(F.lit(base), F.regexp_replace("link", r"^[./]+", "")))
-    return last.select(absolute.alias("link"))
+    return last.select(*group, absolute.alias("link"))
 
 
 def largest_match(rows: DataFrame, group: str, name: Column, include: str, exclude: str, size: str, tie: str) -> DataFrame:
@@ -83,6 +86,11 @@ def largest_match(rows: DataFrame, group: str, name: Column, include: str, exclu
     return best.select(group, *[F.col(f"best.{c}").alias(c) for c in (tie, *rest, size)])
 
 
+def first_match_of_rows(rows: DataFrame, key: str, order: str, fits: Column, value: str, out: str, n: str) -> DataFrame:
+    """Per key the value of the first row that fits, and the number of rows: the same choice where the elements are rows, which are not gathered."""
+    return rows.groupBy(key).agg(F.min_by(F.when(fits, F.col(value)), F.when(fits, F.col(order))).alias(out), F.count(F.lit(1)).cast("int").alias(n))
+
+
 def first_match(items: Column, fits, fields) -> Column:
     """Value of the first array element that fits; ``fields`` gives the candidates in order of preference."""
     return F.coalesce(*fields(F.get(F.filter(items, fits), F.lit(0))))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import grouped, one_decimal, plural, whole
 
+# The wording of sentences, notes and tags in this module.
+
 
 def area_reports(areas: DataFrame, states: DataFrame, noun: str = "provider") -> DataFrame:
     """Tiles, warning flags and the sentence of each area's report."""

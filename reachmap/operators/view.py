@@ -111,8 +111,9 @@ def map_layer(ids: DataFrame, areas: DataFrame, query: AreaQuery) -> DataFrame:
     )
 
 
-# Views of the two states that the projection moves, and limits of the zoom.
+# Views of the two states that the projection moves, the view of the whole, and limits of the zoom.
 VIEW_OVERRIDES = {"AK": (-150.0, 63.0, 3.2), "HI": (-157.5, 20.7, 4.5)}
+DEFAULT_VIEW = (-96.9, 38.0, 1.0)
 LEAST_ZOOM, MOST_ZOOM, LNG_SPAN, LAT_SPAN, LEAST_SPAN, FIT = 1.4, 14.0, 58.0, 24.0, 0.5, 0.9
 
 
@@ -127,3 +128,9 @@ def state_extent(points: DataFrame, states: DataFrame) -> DataFrame:
         for state, fixed in VIEW_OVERRIDES.items():
             values[name] = F.when(F.col("state") == state, fixed[i]).otherwise(values[name])
     return box.select("state", "n_points", *[c.alias(n) for n, c in values.items()])
+
+
+def view_of(asked: DataFrame, extents: DataFrame) -> DataFrame:
+    """(state, center_lng, center_lat, zoom) for each state asked for; the view of the whole where it is empty, unknown or without areas."""
+    joined = asked.join(F.broadcast(extents), "state", "left")  # a row for each state
+    return joined.select("state", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in zip(("center_lng", "center_lat", "zoom"), DEFAULT_VIEW, strict=True)])

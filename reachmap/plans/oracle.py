@@ -7,6 +7,7 @@ import re
 from ..functions import labels
 from ..functions.geo import EARTH_MILES
 from ..operators import dims, view
+from . import files
 from .atlas import CODES, SLOTS
 from .fixtures import VIEWS, duckdb_view
 
@@ -167,7 +168,37 @@ FINAL: dict[str, str] = {
   FULL JOIN (SELECT p_partkey, p_partkey AS k, p_name, CASE WHEN p_partkey % 7 = 0 THEN p_retailprice + 1.0 ELSE p_retailprice END AS p_retailprice FROM part WHERE p_partkey % 10 <> 1) n USING (p_partkey)
   WHERE o.k IS NULL OR n.k IS NULL OR o.p_name IS DISTINCT FROM n.p_name OR o.p_retailprice IS DISTINCT FROM n.p_retailprice""",
     "q32_haversine": f"""SELECT {_pad('geoid')} AS fips, {_round(f'(2 * {EARTH_MILES} * asin(sqrt(pow(sin((radians(39.8::DOUBLE) - radians(lat::DOUBLE)) / 2), 2) + cos(radians(lat::DOUBLE)) * cos(radians(39.8::DOUBLE)) * pow(sin((radians(-98.6::DOUBLE) - radians(lng::DOUBLE)) / 2), 2))))', 3)} AS miles FROM fx_county_gaz""",
+    "q33_latest_artifact_name": """SELECT site, concat('https://example.org/', ltrim(link, './')) AS link FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY y DESC, m DESC, v DESC, link DESC) AS place
+  FROM (SELECT DISTINCT o_custkey % 500 AS site, year(o_orderdate) AS y, month(o_orderdate) AS m, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 12 END AS v,
+    concat('./dump_', monthname(o_orderdate), '_', year(o_orderdate), CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE concat('_V', o_orderkey % 12) END, '.zip') AS link
+    FROM orders WHERE o_orderkey % 7 <> 0
+    UNION ALL SELECT DISTINCT o_custkey % 500, 0, 0, 0, './other.html' FROM orders)) WHERE place = 1""",
+    "q34_upsert": """WITH runs AS (SELECT user_id, event_type, event_id, value, event_id % 5 AS run FROM events WHERE event_id % 5 < 2),
+  latest AS (SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY run, user_id, event_type ORDER BY event_id DESC) AS place FROM runs) WHERE place = 1)
+  SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY run DESC) AS newest FROM latest) WHERE newest = 1""",
+    "q35_manifest": f"""SELECT 'land' AS script, 'customers' AS source, batch, sha256(value || chr(10)) AS sha256, octet_length(encode(value)) + 1 AS bytes, '2024-02-01T00:00:00Z' AS fetched_at
+  FROM (SELECT c_custkey // {files.JSON_FILE_ROWS} AS batch, string_agg(c_name, ',' ORDER BY c_name) AS value FROM customer GROUP BY 1)""",
+    "q36_registry_file": "SELECT * FROM providers",
+    "q37_facility_file": "SELECT * FROM facilities_by_area",
+    "q38_measure_file": "SELECT * FROM measured",
+    "q39_census_file": "SELECT * FROM census",
+    "q40_rurality_file": "SELECT * FROM rurality",
+    "q41_shortage_file": "SELECT * FROM shortage",
+    "q42_crosswalk_file": "SELECT * FROM primary_area",
+    "q43_gazetteer_file": "SELECT * FROM area_points WHERE CAST(fips AS INTEGER) % 50 <> 0",
+    "q44_area_export": "SELECT * FROM atlas",
+    "q45_pushdown": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 40 AND l_returnflag = 'R'",
+    "q46_counters": """SELECT count(*) AS n_rows, count(ccn) AS with_id, count(*) FILTER (coalesce(lower(hospital_type) LIKE '%critical access%', false)) AS of_kind, count(*) AS kept FROM fx_hospital""",
+    "q48_areas_within": """SELECT fips, true AS inside FROM census WHERE fips IN (SELECT fips FROM shortage)
+  UNION ALL SELECT fips, false FROM census WHERE fips NOT IN (SELECT fips FROM shortage)""",
+    "q49_state_codes": "SELECT c_custkey, lpad(trim(state), 2, '0') AS state_code FROM fx_acs",
+    "q50_nearest_by_grid": "SELECT * FROM nearest",
+    "q51_stream_latest": """SELECT user_id, event_type, event_id, value FROM
+  (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS place FROM events) WHERE place = 1""",
+    "q52_stream_providers": "SELECT * FROM providers",
 }
+FINAL["q47_state_view"] = f"""SELECT a.state, coalesce(center_lng, {view.DEFAULT_VIEW[0]})::DOUBLE AS center_lng, coalesce(center_lat, {view.DEFAULT_VIEW[1]})::DOUBLE AS center_lat, coalesce(zoom, {view.DEFAULT_VIEW[2]})::DOUBLE AS zoom
+  FROM (SELECT state FROM states UNION ALL SELECT DISTINCT c_mktsegment FROM customer) a LEFT JOIN ({FINAL["q21_state_extent"]}) e ON a.state = e.state"""
 
 
 def _needs(sql: str) -> set[str]:

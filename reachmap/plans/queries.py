@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_miles
-from ..functions.keys import pad_key, round_even
+from ..functions.keys import pad_key, pad_state, round_even
 from ..operators import assign, dims, records, report, view
 from ..operators.view import AreaQuery
 from ..sources.writers import json_rows
-from .atlas import CODES, Inputs
+from ..sources import readers
+from ..storage import new_path, written
+from ..streaming import landing
+from . import files
+from .atlas import CODES, SLOTS, Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,16 +93,12 @@ def _lineage_latest(i: Inputs) -> DataFrame:
 
 @query("q26_lookup")
 def _lookup(i: Inputs) -> DataFrame:
-    areas = i.atlas()
+    areas = written(i.atlas(), "atlas")  # read twice
     keys = areas.agg(F.array(F.min("fips"), F.max("fips"), F.lit("99999")).alias("k")).select(F.explode("k").alias("fips"))
     return view.lookup(areas, keys)
 
 
-@query("q27_first_match")
-def _first_match(i: Inputs) -> DataFrame:
-    turns = i.table("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    first = records.first_match(F.col("turns"), lambda t: t["role"] == "assistant", lambda t: [t["text"]])
-    return turns.select("conv_id", first.alias("first_assistant"), F.size("turns").alias("n_turns"))
+query("q27_first_match")(lambda i: records.first_match_of_rows(i.table("conversations"), "conv_id", "turn", F.col("role") == "assistant", "text", "first_assistant", "n_turns"))
 
 
 @query("q29_largest_match")
@@ -128,4 +128,83 @@ def _haversine(i: Inputs) -> DataFrame:
     return points.select(pad_key(F.col("geoid")).alias("fips"), round_even(miles, 3).alias("miles"))
 
 
+@query("q33_latest_artifact_name")
+def _latest_artifact_name(i: Inputs) -> DataFrame:
+    """The latest of the archives that each site links to, by month, year and version in their names."""
+    name = F.concat(F.lit("./dump_"), F.when(F.col("o_orderkey") % 7 == 0, "Weekly_").otherwise(""), F.date_format("o_orderdate", "MMMM"), F.lit("_"), F.year("o_orderdate").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.concat(F.lit("_V"), (F.col("o_orderkey") % 12).cast("string"))), F.lit(".zip"))
+    site = F.col("o_custkey") % 500
+    pages = i.table("orders").select(site.alias("site"), F.concat(F.lit('<a href="'), name, F.lit('">get</a> <a href="./other.html">')).alias("html"))
+    return records.latest_artifact(records.links(pages, "site", "html"), base="https://example.org/", group=("site",))
+
+
+@query("q34_upsert")
+def _upsert(i: Inputs) -> DataFrame:
+    """Lineage rows of two runs, the later one in place of the keys that both have."""
+    rows = i.table("events").select("user_id", "event_type", "event_id", "value")
+    run = lambda k: rows.filter(F.col("event_id") % 5 == k)
+    latest = lambda k: records.latest_per_key(run(k), ["user_id", "event_type"], ["event_id"])
+    return records.upsert(latest(0), latest(1), ["user_id", "event_type"])
+
+
+query("q35_manifest")(files.manifest)
+query("q36_registry_file")(files.registry)
+query("q37_facility_file")(files.facilities)
+query("q38_measure_file")(files.measure)
+query("q39_census_file")(files.census)
+query("q40_rurality_file")(files.rurality)
+query("q41_shortage_file")(files.shortage)
+query("q42_crosswalk_file")(files.crosswalk)
+query("q43_gazetteer_file")(files.gazetteer)
+query("q44_area_export")(files.areas)
+query("q45_pushdown")(lambda i: readers.pushed(i.table("lineitem"), (F.col("l_quantity") > 40) & (F.col("l_returnflag") == "R"), ["l_orderkey", "l_linenumber", "l_quantity"]))
+query("q49_state_codes")(lambda i: i.raw("fx_acs").select("c_custkey", pad_state(F.col("state")).alias("state_code")))
+query("q50_nearest_by_grid")(lambda i: i.nearest("grid"))
+
+
+@query("q46_counters")
+def _counters(i: Inputs) -> DataFrame:
+    """Rows of the raw facilities and those with an id or of the kind, counted while they are written."""
+    places = assign.facilities(i.raw("fx_hospital"))
+    df, seen = records.counted(places, "facilities", with_id=F.col("ccn").isNotNull(), of_kind=F.col("is_kind"))
+    kept = written(df, "facilities").count()
+    return i.spark.createDataFrame([(seen.get["rows"], seen.get["with_id"], seen.get["of_kind"], kept)], "n_rows long, with_id long, of_kind long, kept long")
+
+
+@query("q47_state_view")
+def _state_view(i: Inputs) -> DataFrame:
+    """The view of every state that an area's key or a customer's segment names; those that are no state get the whole."""
+    points = i.area_points().select("fips", F.col("county_lat").alias("lat"), F.col("county_lng").alias("lng"))
+    asked = dims.states(i.spark).select("state").union(i.table("customer").select(F.col("c_mktsegment").alias("state")).distinct())
+    return view.view_of(asked, view.state_extent(points, dims.states(i.spark)))
+
+
+@query("q48_areas_within")
+def _within(i: Inputs) -> DataFrame:
+    """Areas with a designation, and those without."""
+    areas, keys = i.census().select("fips"), i.shortage()
+    sides = [dims.within(areas, keys, inside).withColumn("inside", F.lit(inside)) for inside in (True, False)]
+    return records.union_all(sides)
+
+
+@query("q51_stream_latest")
+def _stream_latest(i: Inputs) -> DataFrame:
+    """The last event of each user and type, landed by a stream over files and read over all of its batches."""
+    path = new_path(i.spark, "stream")
+    events = i.table("events").select("user_id", "event_type", "event_id", "value")
+    events.write.parquet(f"{path}/in")
+    stream = i.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/in")
+    landing.land_latest(stream, f"{path}/table", f"{path}/progress", ["user_id", "event_type"], ["event_id"]).awaitTermination()
+    return landing.latest(i.spark, f"{path}/table", ["user_id", "event_type"], ["event_id"])
+
+
+@query("q52_stream_providers")
+def _stream_providers(i: Inputs) -> DataFrame:
+    """Chosen providers of registry files that a stream appends as they land."""
+    path = new_path(i.spark, "stream")
+    raw = i.raw("fx_provider")
+    raw.write.parquet(f"{path}/in")
+    landing.land(landing.stream_providers(i.spark, f"{path}/in", raw.schema, CODES, SLOTS), f"{path}/table", f"{path}/progress").awaitTermination()
+    return i.spark.read.parquet(f"{path}/table")
+
+
 __all__ = ["CODES", "QUERIES"]

@@ -33,37 +33,54 @@ def renamed(df: DataFrame, names: dict[str, str], required: Sequence[str] = ())
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in names.items()])
 
 
-def read_text_table(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", skip_long_rows: bool = False) -> DataFrame:
-    """A delimited file with a header, all columns as text, missing-value texts as null, names stripped.
+def read_text_table(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", skip_long_rows: bool = False, multi_line: bool = True) -> DataFrame:
+    """A delimited file, or a folder of them, with headers; all columns as text, missing-value texts as null, names stripped.
 
-    ``skip_long_rows`` leaves out rows with too many fields and keeps short ones:
-    the reader gets one more column than the header has, and rows that fill it go.
+    All files must have the header of the first. Quoted line ends stay within their field;
+    ``multi_line=False`` is for large files without any, which Spark then splits.
+    ``skip_long_rows`` leaves out rows with too many fields and keeps short ones: the
+    reader gets one more column than the header has, and rows that fill it go.
     """
-    options = {"header": True, "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', "multiLine": False}
-    header = spark.read.options(**options).csv(path).columns
-    names = [c.strip() for c in header]
-    fields = [*names, "__over"] if skip_long_rows else names
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(fields))])
-    rows = spark.read.options(**options | {"enforceSchema": True}).schema(schema).csv(path)
+    options = {"header": True, "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', "multiLine": multi_line}
+    first = spark.read.options(**options).csv(path)
+    header, names = first.columns, [c.strip() for c in first.columns]
     if skip_long_rows:
-        rows = rows.filter(F.col(f"c{len(names)}").isNull()).drop(f"c{len(names)}")
+        # a column more than the headers have, so they are compared here, file by file
+        for other in first.inputFiles()[1:]:
+            if (columns := spark.read.options(**options).csv(other).columns) != header:
+                raise ValueError(f"{other} has the header {columns}, not {header}")
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header) + 1)])
+        rows = spark.read.options(**options | {"enforceSchema": True}).schema(schema).csv(path)
+        rows = rows.filter(F.col(f"c{len(header)}").isNull()).drop(f"c{len(header)}")
+    else:
+        # Spark holds the header of every file against these names
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        rows = spark.read.options(**options | {"enforceSchema": False}).schema(schema).csv(path)
     return null_tokens(rows.toDF(*names))
 
 
 def read_json_rows(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON array of arrays a file, its first row the header; all columns as text."""
+    """One JSON array of arrays a file, its first row the header; all columns as text.
+
+    The columns are those of one of the headers; each file's own header says where they are in its
+    rows, and what it lacks is null. A file is one row while it is parsed.
+    """
     rows = spark.read.text(path, wholetext=True).select(F.from_json("value", "array<array<string>>").alias("rows"))
-    header = rows.select(F.get("rows", F.lit(0)).alias("h")).first()["h"]
-    data = rows.select(F.explode(F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))).alias("r"))
-    return data.select(*[F.get("r", F.lit(i)).alias(n) for i, n in enumerate(header)])
+    rows = rows.select("rows", F.get("rows", F.lit(0)).alias("header")).filter("header is not null")
+    first = rows.select("header").first()
+    if first is None:
+        raise ValueError(f"no header: {path}")
+    data = rows.select("header", F.explode(F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))).alias("r"))
+    return data.select(*[F.get("r", F.array_position("header", n).cast("int") - 1).alias(n) for n in first["header"]])
 
 
 def read_registry(spark: SparkSession, path: str, wanted: dict[str, str], slots: dict[str, str], n_slots: int) -> DataFrame:
     """Provider registry: ``wanted`` new to raw names, ``slots`` new to raw name stems of the numbered columns.
 
-    Only these columns are parsed (column pruning); Spark splits the file.
+    Only these columns are parsed (column pruning); Spark splits the file, so a field must not
+    have a line end.
     """
-    raw = read_text_table(spark, path)
+    raw = read_text_table(spark, path, multi_line=False)
     numbered = {f"{new}_{i}": f"{stem}_{i}" for i in range(1, n_slots + 1) for new, stem in slots.items()}
     return renamed(raw, {n: o for n, o in (wanted | numbered).items() if o in raw.columns}, tuple(wanted))
 
@@ -79,9 +96,9 @@ def read_or_empty(spark: SparkSession, read, schema: str, required: Sequence[str
     return df if set(required) <= set(df.columns) else spark.createDataFrame([], schema)
 
 
-def read_areas(spark: SparkSession, path: str) -> DataFrame:
-    """The exported array of area records (or JSON lines), cached."""
-    return spark.read.schema(AREA_SCHEMA).option("multiLine", True).json(path).cache()
+def read_areas(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The exported array of area records, or with ``lines`` a record on each line; cached, as lookups and filters go over it again and again."""
+    return spark.read.schema(AREA_SCHEMA).option("multiLine", not lines).json(path).cache()
 
 
 def pushed(df: DataFrame, where: Column, columns: Sequence[str], limit: int | None = None) -> DataFrame:

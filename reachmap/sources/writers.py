@@ -24,8 +24,10 @@ def json_rows(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, json_row(df).alias("json"))
 
 
-def json_array(df: DataFrame, key: str) -> DataFrame:
-    """One row with one JSON array sorted by ``key``: the small export for a web page, not for large tables."""
+def json_array(df: DataFrame, key: str, most: int = 200_000) -> DataFrame:
+    """One row with one JSON array sorted by ``key``: the small export for a web page; raises beyond ``most`` rows, for which ``json_rows`` is."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"over {most} rows are too many for one array")
     rows = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), json_row(df).alias("j"))))
     return df.agg(F.concat(F.lit("["), F.array_join(F.transform(rows, lambda r: r["j"]), ","), F.lit("]")).alias("json"))
 

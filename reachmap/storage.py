@@ -7,6 +7,7 @@ executor can read, so a lost executor costs a re-read and not a re-run.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of our own only if none is set."""
+    """The shared folder of the cluster; without one, a folder of our own if all runs in one process, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

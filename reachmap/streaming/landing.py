@@ -1,22 +1,24 @@
 """The registry projection behind a stream: new files in, chosen providers out.
 
-Filter and code choice have no state, so the batch function is used unchanged;
-``foreachBatch`` keeps the newest row of each provider by key.
+Filter and code choice have no state, so the batch function is used unchanged.
+``land_latest`` adds the newest row of each key in a micro-batch as a delta, and
+``latest`` reads the newest over all deltas; no batch touches what others wrote.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.assign import providers
-from ..operators.records import upsert
+from ..operators.records import latest_per_key
 from ..sources.writers import write_table
 
 
-def stream_providers(spark: SparkSession, path: str, schema: str, codes: list[str], slots: int) -> DataFrame:
-    """Streaming frame of (npi, code, zip5) over Parquet files that land in ``path``."""
-    return providers(spark.readStream.schema(schema).parquet(path), codes, slots)
+def stream_providers(spark: SparkSession, path: str, schema: str, codes: list[str], slots: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Streaming frame of (npi, code, zip5, *keep) over Parquet files that land in ``path``."""
+    return providers(spark.readStream.schema(schema).parquet(path), codes, slots, keep=keep)
 
 
 def land(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
@@ -24,13 +26,18 @@ def land(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(table)
 
 
-def land_latest(stream: DataFrame, table: str, checkpoint: str, key: str = "npi") -> StreamingQuery:
-    """Keep in ``table`` the row of each key that came last; each batch writes a new version beside the old one."""
+def land_latest(stream: DataFrame, table: str, checkpoint: str, keys: list[str], order: list[str]) -> StreamingQuery:
+    """Write the last row of each key of every micro-batch, by ``order``, to a folder of its own in ``table``.
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        batch = batch.dropDuplicates([key])
-        if epoch == 0:
-            return write_table(batch, f"{table}/v=0")
-        return write_table(upsert(batch.sparkSession.read.parquet(f"{table}/v={epoch - 1}"), batch, [key]), f"{table}/v={epoch}")
+    A batch that is run again after a failure replaces its own folder.
+    """
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def delta(batch: DataFrame, epoch: int) -> None:
+        write_table(latest_per_key(batch, keys, order), f"{table}/epoch={epoch}")
+
+    return stream.writeStream.foreachBatch(delta).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest(spark: SparkSession, table: str, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row of each key over all deltas; rows of equal order go by the batch they came with."""
+    return latest_per_key(spark.read.parquet(table).withColumn("epoch", F.col("epoch").cast("bigint")), keys, [*order, "epoch"]).drop("epoch")

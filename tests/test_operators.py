@@ -374,14 +374,79 @@ def test_area_export_and_import(spark, tmp_path):
 def test_stream_landing(spark, tmp_path):
     from reachmap.streaming import landing
 
-    schema = "npi bigint, entity_type string, postal string, code_1 string, switch_1 string"
-    for k, rows in enumerate([[(1, "1", "501", "T1", "Y"), (2, "2", "1", "T1", "Y")], [(1, "1", "99", "T1", "N"), (3, "1", "7", "T9", "Y")]]):
+    schema = "npi bigint, entity_type string, postal string, code_1 string, switch_1 string, updated string"
+    batches = [[(1, "1", "501", "T1", "Y", "2024-02"), (1, "1", "7", "T1", "Y", "2024-01"), (2, "2", "1", "T1", "Y", "2024-01")], [(1, "1", "99", "T1", "N", "2024-03"), (3, "1", "7", "T9", "Y", "2024-01")], [(1, "1", "11", "T1", "N", "2023-12")]]
+    for k, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = landing.stream_providers(spark, str(tmp_path / "in"), schema, ["T1"], 1)
+        stream = landing.stream_providers(spark, str(tmp_path / "in"), schema, ["T1"], 1, keep=("updated",))
         landing.land(stream, str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination(120)
-        landing.land_latest(stream, str(tmp_path / "latest"), str(tmp_path / "c2")).awaitTermination(120)
-        assert spark.read.parquet(str(tmp_path / "out")).count() == k + 1
-        assert [(r.npi, r.zip5) for r in spark.read.parquet(str(tmp_path / f"latest/v={k}")).collect()] == [(1, ["00501", "00099"][k])]
+        landing.land_latest(stream, str(tmp_path / "latest"), str(tmp_path / "c2"), ["npi"], ["updated"]).awaitTermination(120)
+        assert spark.read.parquet(str(tmp_path / "out")).count() == k + 2
+        got = landing.latest(spark, str(tmp_path / "latest"), ["npi"], ["updated"]).collect()
+        assert [(r.npi, r.zip5) for r in got] == [(1, ["00501", "00099", "00099"][k])]  # the newest by time, whichever batch it came with
+
+
+def test_headers_of_all_files_must_agree(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.csv").write_text("FIPS,Name\n1,x\n")
+    (tmp_path / "t" / "b.csv").write_text("Name,FIPS\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_text_table(spark, str(tmp_path / "t")).collect()
+    with pytest.raises(ValueError, match="header"):
+        readers.read_text_table(spark, str(tmp_path / "t"), skip_long_rows=True)
+
+
+def test_line_ends_within_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('FIPS,Name\n1,"x, ""q""\ny"\n2,z\n')
+    for skip in (False, True):
+        got = readers.read_text_table(spark, str(tmp_path / "a.csv"), skip_long_rows=skip).collect()
+        assert {tuple(r) for r in got} == {("1", 'x, "q"\ny'), ("2", "z")}
+
+
+def test_json_files_with_columns_in_another_order(spark, tmp_path):
+    for name, rows in (("a", [["NAME", "pop"], ["A", "5"], ["B"]]), ("b", [["pop", "NAME"], ["6", "C"]]), ("c", [["NAME"], ["D"]])):
+        (tmp_path / f"{name}.json").write_text(json.dumps(rows))
+    got = readers.read_json_rows(spark, str(tmp_path)).select("NAME").collect()
+    assert sorted(r.NAME for r in got) == ["A", "B", "C", "D"]
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "x.json").write_text("")
+    with pytest.raises(ValueError):
+        readers.read_json_rows(spark, str(tmp_path / "empty"))
+
+
+def test_centroids_of_texts(spark):
+    raw = spark.createDataFrame([("1001", "32.5", " -86.6"), ("1003", "abc", "1"), ("1005", None, "1"), ("1007", "", "2")], "geoid string, lat string, lng string")
+    assert [tuple(r) for r in dims.centroids(raw, "fips", "y", "x").collect()] == [("01001", 32.5, -86.6)]
+
+
+def test_views(spark):
+    points = spark.createDataFrame([("48001", 30.0, -100.0), ("48003", 32.0, -96.0)], "fips string, lat double, lng double")
+    asked = spark.createDataFrame([("TX",), ("VT",), ("",), (None,), ("nowhere",)], "state string")
+    got = [tuple(r) for r in view.view_of(asked, view.state_extent(points, dims.states(spark))).collect()]
+    assert {g[0]: g[1:] for g in got if g[0] != "TX"} == {x: view.DEFAULT_VIEW for x in ("VT", "", None, "nowhere")}
+    assert next(g for g in got if g[0] == "TX")[1:3] == (-98.0, 31.0)
+
+
+def test_an_array_is_for_few_rows(spark):
+    with pytest.raises(ValueError):
+        writers.json_array(spark.range(11), "id", most=10)
+    assert json.loads(writers.json_array(spark.range(3), "id").first()["json"]) == [{"id": 0}, {"id": 1}, {"id": 2}]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from reachmap import storage
+
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: folder), sparkContext=context)
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://https://h"):
+        with pytest.raises(RuntimeError):
+            storage.shared_dir(session(master))
+        assert storage.shared_dir(session(master, "s3a://b/c/")) == "s3a://b/c"
+    assert storage.shared_dir(session("local[4]")).startswith("file:///")
 
 
 def test_filters_commute(spark):
