@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -182,13 +184,23 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
 
 
+def may_match(text: Column, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> Column:
+    """Whether a rule's cheap pattern is in the text: without it there is no finding."""
+    return F.coalesce(reduce(or_, [text.rlike(r.probe or r.pattern) for r in rules]), F.lit(False))
+
+
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None, ledger: str | None = None) -> DataFrame:
-    """``docs`` with the secrets in ``text_col`` replaced, and ``length_col`` set to the new length where it was not null."""
+    """``docs`` with the secrets in ``text_col`` replaced, and ``length_col`` set to the new length where it was not null.
+
+    Without a ledger to complete, rows that no rule can match go past the scan and its shuffles.
+    """
     spans = unused(docs.columns, "spans")
-    hidden = scan_with_ledger(docs, docs.columns, text_col, ledger, spans_col=spans).withColumn(text_col, redacted(F.col(text_col), F.col(spans)))
+    rows = docs if ledger else docs.filter(may_match(F.col(text_col)))
+    hidden = scan_with_ledger(rows, docs.columns, text_col, ledger, spans_col=spans).withColumn(text_col, redacted(F.col(text_col), F.col(spans)))
     if length_col:
         hidden = hidden.withColumn(length_col, F.when((F.size(spans) > 0) & F.col(length_col).isNotNull(), F.length(text_col).cast(dict(docs.dtypes)[length_col])).otherwise(F.col(length_col)))
-    return hidden.select(*[F.col(f"`{c}`") for c in docs.columns])
+    hidden = hidden.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return hidden if ledger else docs.filter(~may_match(F.col(text_col))).unionByName(hidden)
 
 
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger: str | None = None) -> DataFrame:
