@@ -4,33 +4,18 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.geo import arc_miles, unit_vector
 from ..functions.keys import round_even
 from ..storage import written
 
-#: Pairs up to which all are compared, and points up to which they are broadcast for it.
-BRUTE_PAIRS, BROADCAST_POINTS = 1_000_000_000, 500_000
-
-
 def _square() -> Column:
     gaps = [F.col(f"q{a}") - F.col(f"p{a}") for a in "xyz"]
     return gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
 
 
-def _brute(queries: DataFrame, points: DataFrame) -> DataFrame:
-    """(key, d2) by comparing all pairs.
-
-    Queries are dealt out by key first: the work spreads over all cores, and the
-    minimum needs no further shuffle.
-    """
-    spark = queries.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return queries.repartition(tasks, "key").join(F.broadcast(points)).groupBy("key").agg(F.min(_square()).alias("d2"))
-
-
 def _grid_round(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame:
     """(key, d2) for the queries whose nearest point is surely found within cubes of ``edge``."""
     cell = lambda p: [F.floor(F.col(f"{p}{a}") / edge).cast("int").alias(f"c{a}") for a in "xyz"]
@@ -40,32 +25,27 @@ def _grid_round(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame
     return near.filter(F.col("d2") <= edge * edge)
 
 
-def nearest_miles(areas: DataFrame, points: DataFrame, key: str, lat: str, lng: str, point_lat: str, point_lng: str, out: str, strategy: str | None = None, edge: float = 0.01) -> DataFrame:
+def nearest_miles(areas: DataFrame, points: DataFrame, key: str, lat: str, lng: str, point_lat: str, point_lng: str, out: str, edge: float | None = None) -> DataFrame:
     """(key, out): miles to the nearest point, to one decimal.
 
     Points are made distinct and written first, as only the distance counts and their plan
-    may be long; so the sizes are those of small tables. Small inputs are compared pair by
-    pair against broadcast points. Larger ones go by a grid of cubes: a distance within
-    the cube's edge is exact, the others go on with cubes four times as large, until a
-    cube holds the sphere. Rounds are written to the shared folder.
+    may be long. Areas and points meet in a grid of cubes: a distance within the cube's
+    edge is exact, the others go on with cubes four times as large, until a cube and its
+    neighbours hold the sphere. ``edge``: that of the first cubes, by default one that
+    holds a few of evenly spread points. Rounds are written to the shared folder.
     """
     x, y, z = unit_vector(F.col(lat), F.col(lng))
     queries = areas.dropna(subset=[lat, lng]).select(F.col(key).alias("key"), x.alias("qx"), y.alias("qy"), z.alias("qz"))
     x, y, z = unit_vector(F.col(point_lat), F.col(point_lng))
     points = written(points.select(point_lat, point_lng).dropna().distinct().select(x.alias("px"), y.alias("py"), z.alias("pz")), "points")
-    if strategy is None:
-        n, m = queries.count(), points.count()
-        strategy = "brute" if m <= BROADCAST_POINTS and n * m <= BRUTE_PAIRS else "grid"
-    if strategy == "brute":
-        found = _brute(queries, points)
-    else:
-        found, left = None, written(queries, "queries")
-        while True:
-            part = written(_grid_round(left, points, edge), "near")
-            found = part if found is None else found.unionByName(part)
-            if edge >= 2:  # a cube and its neighbours hold the sphere
-                break
-            left, edge = written(left.join(part.select("key"), "key", "left_anti"), "left"), edge * 4
-            if left.isEmpty():
-                break
+    edge = edge or min(1.0, max(0.001, max(1, points.count()) ** -0.5))
+    found, left, remain = None, queries, queries.count()
+    while True:
+        seen = Observation()
+        part = written(_grid_round(left, points, edge).observe(seen, F.count(F.lit(1)).alias("n")), "near")
+        found = part if found is None else found.unionByName(part)
+        remain -= seen.get["n"]
+        if edge >= 2 or remain <= 0:
+            break
+        left, edge = written(left.join(part.select("key"), "key", "left_anti"), "left"), edge * 4
     return found.select(F.col("key").alias(key), round_even(arc_miles(F.sqrt("d2")), 1).alias(out))
