@@ -4,48 +4,54 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import arc_miles, unit_vector
 from ..functions.keys import round_even
-from ..storage import written
+
+#: Edge of the smallest cubes on the unit sphere (8 miles), and levels of cubes, each four times as wide as the one before.
+EDGE, LEVELS, GROWTH = 0.002, 6, 4
+
+
+def _cubes(df: DataFrame, point: str, levels: range, edge: float) -> DataFrame:
+    """``df`` with a row for each level, and the cube (cx, cy, cz) that its point is in there."""
+    level = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(edge * GROWTH**k).alias("edge")) for k in levels]))
+    return df.withColumn("at", level).select(*df.columns, F.col("at.level").alias("level"), *[F.floor(F.col(f"{point}{a}") / F.col("at.edge")).cast("int").alias(f"c{a}") for a in "xyz"])
+
+
+def _around(df: DataFrame) -> DataFrame:
+    """``df`` with a row for each of the 27 cubes around its cube."""
+    steps = F.array(*[F.struct(*[F.lit(v).alias(f"s{a}") for v, a in zip(o, "xyz", strict=True)]) for o in itertools.product((-1, 0, 1), repeat=3)])
+    rest = [c for c in df.columns if c not in ("cx", "cy", "cz")]
+    return df.withColumn("o", F.explode(steps)).select(*rest, *[(F.col(f"c{a}") + F.col(f"o.s{a}")).alias(f"c{a}") for a in "xyz"])
+
 
 def _square() -> Column:
     gaps = [F.col(f"q{a}") - F.col(f"p{a}") for a in "xyz"]
     return gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
 
 
-def _grid_round(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame:
-    """(key, d2) for the queries whose nearest point is surely found within cubes of ``edge``."""
-    cell = lambda p: [F.floor(F.col(f"{p}{a}") / edge).cast("int").alias(f"c{a}") for a in "xyz"]
-    around = F.array(*[F.struct(*[F.lit(v).alias(f"s{a}") for v, a in zip(o, "xyz", strict=True)]) for o in itertools.product((-1, 0, 1), repeat=3)])
-    spread = queries.select("*", *cell("q")).withColumn("o", F.explode(around)).select("key", "qx", "qy", "qz", *[(F.col(f"c{a}") + F.col(f"o.s{a}")).alias(f"c{a}") for a in "xyz"])
-    near = spread.join(points.select("*", *cell("p")), ["cx", "cy", "cz"]).groupBy("key").agg(F.min(_square()).alias("d2"))
-    return near.filter(F.col("d2") <= edge * edge)
-
-
-def nearest_miles(areas: DataFrame, points: DataFrame, key: str, lat: str, lng: str, point_lat: str, point_lng: str, out: str, edge: float | None = None) -> DataFrame:
-    """(key, out): miles to the nearest point, to one decimal.
+def nearest_miles(areas: DataFrame, points: DataFrame, key: str, lat: str, lng: str, point_lat: str, point_lng: str, out: str, edge: float = EDGE, levels: int = LEVELS) -> DataFrame:
+    """(key, out): miles to the nearest point, to one decimal; nothing runs here.
 
-    Points are made distinct and written first, as only the distance counts and their plan
-    may be long. Areas and points meet in a grid of cubes: a distance within the cube's
-    edge is exact, the others go on with cubes four times as large, until a cube and its
-    neighbours hold the sphere. ``edge``: that of the first cubes, by default one that
-    holds a few of evenly spread points. Rounds are written to the shared folder.
+    Points are made distinct first, as only the distance counts. First each area finds the
+    least level at which a cube around its own has a point: that point is nearer than
+    twice the edge along each axis, so less than 3.5 edges away. All points that near
+    are in the cubes around the area's own one level up, whose edge is four times as long, and
+    there distances are taken. The widest cubes hold the sphere, so every area finds a level.
     """
+    if edge * GROWTH ** (levels - 1) < 2:
+        raise ValueError("the widest cubes must hold the sphere")
     x, y, z = unit_vector(F.col(lat), F.col(lng))
     queries = areas.dropna(subset=[lat, lng]).select(F.col(key).alias("key"), x.alias("qx"), y.alias("qy"), z.alias("qz"))
     x, y, z = unit_vector(F.col(point_lat), F.col(point_lng))
-    points = written(points.select(point_lat, point_lng).dropna().distinct().select(x.alias("px"), y.alias("py"), z.alias("pz")), "points")
-    edge = edge or min(1.0, max(0.001, max(1, points.count()) ** -0.5))
-    found, left, remain = None, queries, queries.count()
-    while True:
-        seen = Observation()
-        part = written(_grid_round(left, points, edge).observe(seen, F.count(F.lit(1)).alias("n")), "near")
-        found = part if found is None else found.unionByName(part)
-        remain -= seen.get["n"]
-        if edge >= 2 or remain <= 0:
-            break
-        left, edge = written(left.join(part.select("key"), "key", "left_anti"), "left"), edge * 4
-    return found.select(F.col("key").alias(key), round_even(arc_miles(F.sqrt("d2")), 1).alias(out))
+    points = points.select(point_lat, point_lng).dropna().distinct().select(x.alias("px"), y.alias("py"), z.alias("pz"))
+    cube = ["level", "cx", "cy", "cz"]
+    taken = _cubes(points, "p", range(levels), edge).select(*cube).distinct()
+    own = ["key", "qx", "qy", "qz"]
+    reach = _around(_cubes(queries, "q", range(levels), edge)).join(taken, cube).groupBy(*own).agg((F.min("level") + 1).alias("level"))
+    width = F.lit(edge) * F.pow(F.lit(float(GROWTH)), F.col("level"))
+    placed = reach.select(*own, "level", *[F.floor(F.col(f"q{a}") / width).cast("int").alias(f"c{a}") for a in "xyz"])
+    near = _around(placed).join(_cubes(points, "p", range(1, levels + 1), edge), cube).groupBy("key").agg(F.min(_square()).alias("d2"))
+    return near.select(F.col("key").alias(key), round_even(arc_miles(F.sqrt("d2")), 1).alias(out))

@@ -14,7 +14,7 @@ SLOTS = 5
 
 
 class Inputs:
-    """The parts of the area table over the tables of one folder. Each call builds a plan; ``nearest`` writes the provider points, which the plan reads."""
+    """The parts of the area table over the tables of one folder; each call builds a plan, nothing runs."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
@@ -66,8 +66,8 @@ class Inputs:
         zips = self.providers().select("zip5").dropna().distinct()
         return zips.join(self.zip_points().withColumnRenamed("zcta", "zip5"), "zip5").select("lat", "lng")
 
-    def nearest(self, edge: float | None = None) -> DataFrame:
-        return nearest_miles(self.area_points(), self.provider_points(), "fips", "county_lat", "county_lng", "lat", "lng", "miles_to_nearest", edge)
+    def nearest(self, **cubes) -> DataFrame:
+        return nearest_miles(self.area_points(), self.provider_points(), "fips", "county_lat", "county_lng", "lat", "lng", "miles_to_nearest", **cubes)
 
     def atlas(self) -> DataFrame:
         """Final record of each area with a centroid."""

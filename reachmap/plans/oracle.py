@@ -192,7 +192,7 @@ FINAL: dict[str, str] = {
     "q48_areas_within": """SELECT fips, true AS inside FROM census WHERE fips IN (SELECT fips FROM shortage)
   UNION ALL SELECT fips, false FROM census WHERE fips NOT IN (SELECT fips FROM shortage)""",
     "q49_state_codes": "SELECT c_custkey, lpad(trim(state), 2, '0') AS state_code FROM fx_acs",
-    "q50_nearest_by_small_cubes": "SELECT * FROM nearest",
+    "q50_nearest_by_wide_cubes": "SELECT * FROM nearest",
     "q51_stream_latest": """SELECT user_id, event_type, event_id, value FROM
   (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS place FROM events) WHERE place = 1""",
     "q52_stream_providers": "SELECT * FROM providers",

@@ -158,7 +158,7 @@ query("q43_gazetteer_file")(files.gazetteer)
 query("q44_area_export")(files.areas)
 query("q45_pushdown")(lambda i: readers.pushed(i.table("lineitem"), (F.col("l_quantity") > 40) & (F.col("l_returnflag") == "R"), ["l_orderkey", "l_linenumber", "l_quantity"]))
 query("q49_state_codes")(lambda i: i.raw("fx_acs").select("c_custkey", pad_state(F.col("state")).alias("state_code")))
-query("q50_nearest_by_small_cubes")(lambda i: i.nearest(0.004))
+query("q50_nearest_by_wide_cubes")(lambda i: i.nearest(edge=0.02, levels=5))
 
 
 @query("q46_counters")

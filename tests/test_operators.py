@@ -253,8 +253,8 @@ def test_grid_equals_brute_force(spark):
     rows, places = ([tuple(r) for r in df.dropna().collect()] for df in (area, point))
     miles = lambda a, b, c, d: 2 * geo.EARTH_MILES * math.asin(math.sqrt(math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2))
     want = {k: min(miles(y, x, *p) for p in places) for k, y, x in rows}
-    for edge in (None, 0.02, 1.0):
-        got = {r.fips: r.m for r in nearest.nearest_miles(area, point, "fips", "lat", "lng", "y", "x", "m", edge).collect()}
+    for cubes in ({}, {"edge": 0.02, "levels": 5}, {"edge": 2.0, "levels": 1}):
+        got = {r.fips: r.m for r in nearest.nearest_miles(area, point, "fips", "lat", "lng", "y", "x", "m", **cubes).collect()}
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 0.0501 for k in want)
     assert nearest.nearest_miles(area, point.limit(0), "fips", "lat", "lng", "y", "x", "m").count() == 0
     assert nearest.nearest_miles(area.limit(0), point, "fips", "lat", "lng", "y", "x", "m").count() == 0
