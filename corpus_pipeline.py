@@ -31,7 +31,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document, that of the least id, of each group alike to 0.8 in shingles of five words.
 
     A null text counts as empty; all texts without words are one group. Rows with a
-    null id stay; of rows that repeat an id one stays.
+    null id stay. Of rows that repeat id and text one stays; rows that repeat an id with
+    another text are documents of their own.
     """
     return simhash.one_of_each_group(docs)
 
