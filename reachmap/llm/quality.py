@@ -65,17 +65,15 @@ def features(text: str) -> Iterator[np.ndarray]:
         # a word said twice in a row is the same feature for all words
         yield np.full(int((words[:-1] == words[1:]).sum()), REPEATED)
         before = words[-1:]
+        # every character of a gram but the first and last is inside the word; the last one is of this slice
+        gram, ok = u[:-1] * _POW[0] + u[1:] * _POW[1], np.ones(max(0, len(u) - 1), bool)
         for n in (3, 4, 5):
-            # every character but the first and last is inside the word; the last one is of this slice
-            ends = np.arange(max(back, n - 1), len(u))
-            ok = np.ones(len(ends), bool)
-            for k in range(1, n - 1):
-                ok &= inside[ends - k]
-            ends = ends[ok]
-            gram = np.full(len(ends), n, np.uint64)
-            for k in range(n):
-                gram += u[ends - (n - 1) + k] * _POW[k]
-            yield _buckets(gram)
+            if len(u) < n:
+                break
+            gram = gram[: len(u) - n + 1] + u[n - 1 :] * _POW[n - 1]
+            ok = ok[: len(u) - n + 1] & inside[n - 2 : len(u) - 1]
+            first = max(0, back - n + 1)
+            yield _buckets(gram[first:][ok[first:]] + np.uint64(n))
 
 
 def _words(u: np.ndarray, inside: np.ndarray, open_hash: np.uint64, open_size: int) -> tuple[np.ndarray, np.uint64, int]:
