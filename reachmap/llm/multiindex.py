@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, named_by_least
 from ..storage import written
 
 #: Vectors, and components of vectors, that the codebooks and the margin of a length are fitted on at most, about.
@@ -229,11 +229,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     found = written(pairs.mapInArrow(compare, "node long, `to` long, n long"), "links")
     counts = found.filter("n > 0").groupBy("node").agg(F.sum("n").alias("n"))
-    parts = components(found.filter("n < 0").select(F.col("node").alias("a"), F.col("to").alias("b"))).withColumnRenamed("id", "node")
+    parts = components(found.filter("n < 0").select(F.col("node").alias("a"), F.col("to").alias("b")))
     # the id of a component is the least of its rows' ids, whatever number its nodes have
-    least = nodes.select("node", "least").join(parts, "node").groupBy("component").agg(F.min("least").alias("least_of_all"))
-    summed = nodes.join(counts, "node", "left").join(parts, "node", "left").join(least, "component", "left")
-    summed = summed.select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least_of_all", "least").alias("component_id"))
+    named = named_by_least(nodes.select(F.col("node").alias("id"), "least", "label", "v", "weight"), parts)
+    summed = named.join(counts, named["id"] == counts["node"], "left").select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     known = rows.filter(usable).join(summed, ["label", "v"]).select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
     rest = rows.filter(~usable).select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
     return known.unionByName(rest)

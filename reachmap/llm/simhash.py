@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, named_by_least
 from .names import unused
 from ..storage import written
 
@@ -199,13 +199,6 @@ def near_edges(nodes: DataFrame, words: int, radius: int, dims: list[Column], of
     return pairs.mapInArrow(run, "a long, b long, distance long")
 
 
-def named_by_least(nodes: DataFrame, parts: DataFrame) -> DataFrame:
-    """``nodes`` (id, least, ..) with component_id: the least ``least`` of the nodes of a part (id, component), null counting as none."""
-    held = nodes.join(parts, "id", "left")
-    least = held.filter("component is not null").groupBy("component").agg(F.min("least").alias("least_of_all"))
-    return held.join(least, "component", "left").withColumn("component_id", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("least_of_all"))).drop("component", "least_of_all")
-
-
 def quarter_dims(radius: int) -> tuple[list[Column], list[tuple[int, ...]]]:
     """Tiles by the population counts of f0's quarters: those of two nodes differ by ``radius`` in all at most."""
     dims = [F.bit_count(F.shiftrightunsigned("f0", 16 * q).bitwiseAND(F.lit(0xFFFF))) for q in range(4)]
@@ -222,7 +215,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, fingerprint, component_id) for each row: fingerprints that differ in ``radius`` bits at most are linked."""
     prints = written(fingerprints(docs, id_col, text_col, width).select("id", "f0"), "fingerprints")
     # a fingerprint is its own node
-    nodes = prints.groupBy("f0").agg(F.min("id").alias("least")).select(F.col("f0").alias("id"), "f0", "least")
+    nodes = written(prints.groupBy("f0").agg(F.min("id").alias("least")).select(F.col("f0").alias("id"), "f0", "least"), "nodes")
     dims, steps = quarter_dims(radius)
     parts = components(near_edges(nodes, 1, radius, dims, steps))
     named = named_by_least(nodes, parts).select("f0", "component_id")
@@ -389,11 +382,11 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     links = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(verified, "a long, b long")
     parts = components(links.union(short_links(nodes, similarity)))
-    parts = written(nodes.select("id", "least").join(parts, "id", "left").select("id", "least", F.coalesce("component", "id").alias("part")), "parts")
+    parts = written(nodes.select("id").join(parts, "id", "left").select("id", "component", F.coalesce("component", "id").alias("part")), "parts")
     divided = texts.join(parts.select(F.col("id").alias("node"), "part"), "node").select("grp", "part", "n_shingles", "text")
-    whole = components(exact_links(divided, width, similarity, cell)).withColumnRenamed("id", "part")
-    joined = parts.join(whole, "part", "left").select("id", "least", F.coalesce("component", "part").alias("component"))
-    named = named_by_least(joined.select("id", "least"), joined.select("id", "component")).select(F.col("id").alias("key"), F.col("component_id").alias("stays"))
+    whole = components(exact_links(divided, width, similarity, cell)).select(F.col("id").alias("part"), F.col("component").alias("joined"))
+    linked = parts.join(whole, "part", "left").select("id", F.coalesce("joined", "component").alias("component")).filter("component is not null")
+    named = named_by_least(nodes.select("id", "least"), written(linked, "linked")).select(F.col("id").alias("key"), F.col("component_id").alias("stays"))
     return prints.groupBy("id", "text_hash", "key").agg(F.count(F.lit(1)).alias("copies")).join(named, "key").select(F.col("id").alias(id_col), "text_hash", "copies", "stays", F.col("stays.id").alias("component_id"))
 
 
