@@ -3,9 +3,11 @@
 The base score of a text is the add-one unigram probability of its tokens under
 counts of all training texts. The lattice score takes the pieces of an existing
 vocabulary, weighted by its own scores, and sums over all segmentations of every
-word by the forward recursion in log space. Pieces don't go on over a space, so
-the lattice of a text is the product of the lattices of its words, and each
-distinct word of the corpus is worked out once.
+word by the forward recursion in log space. A word that training has counted is
+one edge more in its lattice, from end to end, weighted by its count; WORD_SHARE
+of the probability goes to these edges. Pieces don't go on over a space, so the
+lattice of a text is the product of the lattices of its words, and each distinct
+word of the corpus is worked out once.
 
 Counts of a whole corpus are too large to be broadcast. So one pass over the texts
 cuts the input into blocks of some megabytes; a block's texts become arrays of
@@ -19,8 +21,9 @@ are merge ranks gets p ~ 1 / (rank + 2.7), Zipf's law. An end token closes every
 text, with its probability from the training counts; the pieces share the rest.
 
 Defined cases: a null text is the empty text (one token, the end); null ids are
-held out; without training texts N and V are 0; repeated rows are scored and
-counted as often as they occur.
+held out; without training texts N and V are 0, and without training words the
+pieces have all of the probability; repeated rows are scored and counted as often
+as they occur.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ from . import vocab as vocabs
 from ..storage import written
 from .vocab import Vocab
 
+#: Probability of the edges that are whole words of the training texts.
+WORD_SHARE = 0.5
 #: Bytes of text in a block.
 BLOCK_BYTES = 16 << 20
 BLOCKS = "block long, word binary, place int, n long, id long, held_out boolean, places binary"
@@ -136,6 +141,14 @@ def log_marginal(word: str, weights: dict[str, float], byte: float, longest: int
     return top + log(sum([exp(x - top) for x in ends[n]]))
 
 
+def with_words(z: np.ndarray, c: np.ndarray, tokens: int) -> np.ndarray:
+    """Log10 weights of words from those of their pieces' segmentations and from their counts among ``tokens`` training words."""
+    if not tokens:
+        return z
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(z * math.log(10) + math.log(1 - WORD_SHARE), np.log(c) + math.log(WORD_SHARE / tokens)) / math.log(10)
+
+
 def lattice_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", path: str = vocabs.DEFAULT_PATH) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row; both scores in log10."""
     spark = docs.sparkSession
@@ -188,7 +201,7 @@ def lattice_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", te
                 if looked_up is None:
                     place, c, z = (np.concatenate([x[k] for x in table]) for k in range(3)) if table else (np.empty(0, np.int32), np.empty(0), np.empty(0))
                     by = np.argsort(place)  # every place of the list once
-                    looked_up = np.log10(c[by] + 1), c[by] > 0, z[by]
+                    looked_up = np.log10(c[by] + 1), c[by] > 0, with_words(z[by], c[by], tokens)
                 yield scores(part, *looked_up)
 
     table = words.join(known, "word").select("block", F.lit(False).alias("is_text"), "place", "c", "z")

@@ -901,13 +901,15 @@ def test_lattice_scores(spark):
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(ws) + 1, sum(c[w] > 0 for w in [*ws, "$"]), total, i in held)
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (total + kinds + 1)) for w in [*ws, "$"]))
         if i != 9:  # the long word's weight underflows here
-            assert r.score == pytest.approx(math.log10(end) + sum(marginal(" " + w.decode()) + math.log10(1 - end) for w in ws))
+            mixed = [math.log10(0.5 * 10 ** marginal(" " + w.decode()) + 0.5 * c[w] / (total - c["$"])) for w in ws]
+            assert r.score == pytest.approx(math.log10(end) + sum(x + math.log10(1 - end) for x in mixed))
     assert math.isfinite(got[9].score)
 
 
 def test_lattice_without_training(spark):
     got = lattice.lattice_scores(docs_of(spark, ["a b", None]), F.lit(True)).orderBy("doc_id").collect()
     assert [(r.train_tokens, r.n_known, r.base_score) for r in got] == [(0, 0, 0.0), (0, 0, 0.0)]
+    assert got[0].score < 0 and got[1].score == 0 and lattice.with_words(np.array([-3.0]), np.array([0.0]), 0) == [-3.0]
     assert lattice.lattice_scores(docs_of(spark, ["a"]).limit(0), F.lit(False)).count() == 0
 
 
