@@ -174,11 +174,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         batches = list(batches)
         if not batches:
             return
-        table = pa.Table.from_batches(batches).sort_by([("place", "ascending"), ("tie", "ascending")])
-        y = table["y"].to_numpy()
+        table = pa.Table.from_batches(batches)
+        order = np.lexsort((table["tie"].to_numpy(), table["place"].to_numpy()))
+        y = table["y"].to_numpy()[order]
         if len(set(y.tolist())) == 2:
-            own = [[x.values.to_numpy() for x in table[c]] for c in ("ids", "shares")]
-            model = fit(list(zip(*own, strict=True)), y, np.where(y == 1, 1 / share[1], 1 / share[0]) / most)
+            ids, shares = ([x.values.to_numpy() for x in table[c]] for c in ("ids", "shares"))  # views: the features are held once
+            model = fit([(ids[i], shares[i]) for i in order.tolist()], y, np.where(y == 1, 1 / share[1], 1 / share[0]) / most)
             yield pa.RecordBatch.from_arrays([pa.array([model.share.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], ["share", "bias"])
 
     row = rows.repartition(1).mapInArrow(run, "share binary, bias double").first()
