@@ -35,7 +35,7 @@ from .vocab import Vocab
 
 #: Characters in a chunk; longer texts are split.
 CHUNK = 1 << 15
-#: Stretches that a task remembers.
+#: Stretches that a worker remembers.
 CACHE = 250_000
 
 
@@ -137,6 +137,16 @@ class Encoder(dict):
         return float(scores.sum())
 
 
+_kept: list[Encoder] = []
+
+
+def encoder_of(vocab: Vocab) -> Encoder:
+    """The encoder of this worker: tasks that run in it one after the other share what it remembers."""
+    if not _kept or _kept[0].vocab is not vocab:
+        _kept[:] = [Encoder(vocab)]
+    return _kept[0]
+
+
 def text_of(ids: np.ndarray, vocab: Vocab) -> str:
     """The text that ids stand for, with the leading space."""
     return b"".join(map(vocab.bytes_of.__getitem__, ids.tolist())).decode(errors="replace")
@@ -173,7 +183,7 @@ def _long_ids(texts: DataFrame, shared, chunk: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([no], pa.int32()), pa.array([min(chunk, len(text) - at)], pa.int32()), pa.array([own])], ["key", "no", "n", "part"])
 
     def transfers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = encoder_of(shared.value)
         for batch in batches:
             m = [encoder.transfer(p, n).ravel() for n, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(m, pa.list_(pa.float64()))], ["key", "no", "m"])
@@ -185,7 +195,7 @@ def _long_ids(texts: DataFrame, shared, chunk: int) -> DataFrame:
         return pa.table({"key": table["key"], "no": table["no"], "begin": pa.array(ends[:-1], pa.int32()), "over": pa.array(ends[1:], pa.int32())})
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = encoder_of(shared.value)
         for batch in batches:
             parts = [p[b : n + o] for n, p, b, o in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
             ids = [encoder.encode(p) for p in parts]
@@ -209,7 +219,7 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", exact_
     long = docs.filter(F.length(text_col) >= chunk).withColumn(own_key, F.sha2(text_col, 256))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, place = Encoder(shared.value), names.index(text_col)
+        encoder, place = encoder_of(shared.value), names.index(text_col)
         for batch in batches:
             texts = batch.column(place).to_pylist()
             ids = [None if t is None else encoder.encode(" " + t if t else "") for t in texts]
