@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, lattice, multiindex, quality, secrets, simhash, spm, tiling, urlfilter, warc
+from . import bpe, langid, lattice, multiindex, quality, repair, secrets, simhash, spm, tiling, urlfilter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": urlfilter.op1_url_filters,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.op8_simhash,
     "op9_sentencepiece": spm.op9_sentencepiece,
     "op10_lattice": lattice.op10_lattice,
+    "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_byte_bpe": bpe.op12_byte_bpe,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_secret_scans": secrets.OP3_SQL, "op4_warc_chunks": warc.OP4_SQL}
