@@ -170,18 +170,49 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every stretch that spans cover, alone or together, replaced by ``mark``; spans are sorted by start."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+#: Characters of the pieces that a text is cut into to find places in it.
+PIECE = 4096
 
-    def step(acc: Column, s: Column) -> Column:
-        # a span that begins inside the last one only moves its end
-        before = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        fresh = F.struct(s["end"].alias("at"), F.concat(acc["out"], before, F.lit(mark)).alias("out"))
-        return F.when((acc["out"] == "") | (s["start"] >= acc["at"]), fresh).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
 
-    done = F.aggregate(spans, start, step)
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+def reached(spans: Column, run: int = RUN) -> Column:
+    """For each span the greatest end of those before it (0 for the first), and in the end that of all.
+
+    Greatest ends of runs first, then within each run, as for ``placed_spans``.
+    """
+    # the slice is of the column itself: another array would be made anew for every run
+    runs = F.transform(F.sequence(F.lit(0), F.floor(F.size(spans) / run).cast("int")), lambda k: F.transform(F.slice(spans, k * run + 1, F.lit(run)), lambda s: s["end"]))
+    grown = lambda start, xs: F.aggregate(xs, F.array(start), lambda acc, x: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), x))))
+    before = grown(F.lit(0), F.transform(runs, lambda r: F.coalesce(F.array_max(r), F.lit(0))))
+    # a run's last value is the next one's first, but for that of the last run
+    within = F.zip_with(runs, F.slice(before, F.lit(1), F.size(runs)), lambda r, at: F.slice(grown(at, r), F.lit(1), F.size(r)))
+    return F.concat(F.flatten(within), F.array(F.element_at(before, -1)))
+
+
+def between(pieces: Column, begin: Column, end: Column) -> Column:
+    """Characters from ``begin`` to ``end`` of a text cut into pieces of PIECE characters: only the pieces they are in are walked."""
+    first, last = F.floor(begin / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+    head = F.coalesce(F.get(pieces, first), F.lit(""))
+    one = F.substring(head, begin - first * PIECE + 1, end - begin)
+    middle = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    several = F.concat(F.substring(head, begin - first * PIECE + 1, F.lit(PIECE)), middle, F.substring(F.coalesce(F.get(pieces, last), F.lit("")), F.lit(1), end - last * PIECE))
+    return F.when(end <= begin, "").when(first == last, one).otherwise(several)
+
+
+def redacted(df: DataFrame, text_col: str, spans_col: str, mark: str = "[SECRET]") -> DataFrame:
+    """``df`` with every stretch of the text that spans cover, alone or together, replaced by ``mark``; spans are sorted by start.
+
+    The text between the covered stretches is taken from an array of pieces and joined
+    once, so the work grows with the text and with the spans, not with their product.
+    """
+    pieces_col, ends_col = unused(df.columns, "pieces"), unused(df.columns, "ends")
+    text, spans, pieces, ends = F.col(f"`{text_col}`"), F.col(f"`{spans_col}`"), F.col(pieces_col), F.col(ends_col)
+    some = F.size(spans) > 0
+    # projections of their own: each array is made once, however often it is referred to
+    df = df.withColumns({pieces_col: F.when(some, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))), ends_col: F.when(some, reached(spans))})
+    fresh = F.filter(F.zip_with(spans, ends, lambda s, at: F.struct(at.alias("at"), s["start"].alias("start"))), lambda x: x["start"] >= x["at"])
+    parts = F.transform(fresh, lambda x: F.concat(between(pieces, x["at"], x["start"]), F.lit(mark)))
+    rest = between(pieces, F.element_at(ends, -1), F.length(text))
+    return df.withColumn(text_col, F.when(some, F.concat(F.array_join(parts, ""), rest)).otherwise(text)).drop(pieces_col, ends_col)
 
 
 def may_match(text: Column, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> Column:
@@ -196,7 +227,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
     """
     spans = unused(docs.columns, "spans")
     rows = docs if ledger else docs.filter(may_match(F.col(text_col)))
-    hidden = scan_with_ledger(rows, docs.columns, text_col, ledger, spans_col=spans).withColumn(text_col, redacted(F.col(text_col), F.col(spans)))
+    hidden = redacted(scan_with_ledger(rows, docs.columns, text_col, ledger, spans_col=spans), text_col, spans)
     if length_col:
         hidden = hidden.withColumn(length_col, F.when((F.size(spans) > 0) & F.col(length_col).isNotNull(), F.length(text_col).cast(dict(docs.dtypes)[length_col])).otherwise(F.col(length_col)))
     hidden = hidden.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -43,6 +43,13 @@ def brute_components(pairs):
     return {x: root(x) for x in up}
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200, 5e-324, 1.0])
+def test_vectors_of_great_and_tiny_entries(spark, size):
+    rows = [(0, [size] * 3, 1), (1, [2 * size, 2 * size, 2 * size], 1), (2, [3 * size, -3 * size, 0.0], 1), (3, [1e308, 1e308, 1e308], 1), (4, [1.0, 1.0, 1.0], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in multiindex.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (0, 2), 3: (3, 0), 4: (3, 0)}
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2)) if a != b] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 5000 + i) for i in range(1, 50)]
@@ -296,6 +303,39 @@ def test_redaction(spark):
         assert r.text == "".join(chars) and r.n_chars == len(r.text), inside
 
 
+def plainly_redacted(text):
+    out, at = [], 0
+    spans = brute_base(text) + [(m.start(), 3, "", m.end()) for x in secrets.MORE_RULES for m in re.finditer(x.pattern, text)]
+    for s, _, _, e in sorted(spans):
+        if s >= at:
+            out += [text[at:s], "[SECRET]"]
+        at = max(at, e)
+    return "".join([*out, text[at:]])
+
+
+def test_redaction_of_very_many_findings(spark):
+    """100,000 findings, some of which overlap, gaps that span several pieces, and characters outside the first plane."""
+    import time
+
+    text = " ".join(f"{'é' * (i % 3)}token={i:014d}{'ab' * 9 * (i % 2)} {'漢😀' * (5000 if i % 5000 == 7 else 1)}" for i in range(70_000))
+    assert len(brute_base(text)) >= 100_000
+    began = time.monotonic()
+    got = secrets.redact(docs_of(spark, [text, "no secret", None, ""]), length_col="n_chars").orderBy("doc_id").collect()
+    took = time.monotonic() - began
+    want = plainly_redacted(text)
+    assert got[0].text == want and got[0].n_chars == len(want) and [r.text for r in got[1:]] == ["no secret", None, ""]
+    assert took < 60, took
+
+
+@pytest.mark.parametrize("run", [1, 2, 3, 128])
+def test_reached(spark, run):
+    rng = np.random.default_rng(run)
+    rows = [[(int(s), int(s + n)) for s, n in zip(sorted(rng.integers(0, 500, k)), rng.integers(1, 90, k), strict=True)] for k in (0, 1, 2, 3, 5, 40, 128, 129, 256, 300)]
+    df = spark.createDataFrame([(r,) for r in rows], "spans array<struct<start:int,end:int>>")
+    got = [r[0] for r in df.select(secrets.reached(F.col("spans"), run)).collect()]
+    assert got == [[max([0, *(e for _, e in r[:i])]) for i in range(len(r) + 1)] for r in rows]
+
+
 # ---- WARC -----------------------------------------------------------------------------------
 
 
@@ -337,6 +377,23 @@ def test_warc_ties_and_null_ids(spark):
     assert sorted(((r[0], r[1], r[3], r[4]) for r in con.execute(warc.OP4_SQL).fetchall()), key=str) == got
 
 
+def test_warc_keeps_bytes_that_are_no_text(spark):
+    raw = [b"\xff" * 5000, b"a\x80\x80\x80\x80\x80" * 800, "é漢".encode() * 700 + b"\xc3", b"\xed\xa0\x80" * 900, b"plain"]
+    rows = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate([*raw, raw[0]])], "page_id long, raw binary")
+    path = storage.new_path(spark, "warc-bytes")
+    warc.write_warc(rows.select("page_id", F.concat(F.lit("http://a/"), F.col("raw").cast("string")).alias("url"), F.col("raw").cast("string").alias("html")), path, chunk_bytes=64)
+    got = {r.page_id: r for r in warc.read_warc(spark, path).collect()}
+    assert all(r.digest_ok for r in got.values()) and {i for i in got if got[i].record_type == "revisit"} == {0}
+    for i, b in enumerate(raw):
+        assert (got[i].payload_bytes, got[i].payload_digest) == (len(b), hashlib.sha1(b).hexdigest())
+    held = {}
+    for r in warc.read_chunks(spark, path).orderBy("record", "chunk_no").collect():
+        held[r.page_id] = held.get(r.page_id, b"") + (r.chunk or b"")
+    assert all(held[i] == b for i, b in enumerate(raw) if i)
+    whole = memoryview("é漢a".encode() * 50)
+    assert all(bytes(c).decode() for c in warc.cut(whole, 7)) and b"".join(warc.cut(whole, 7)) == whole
+
+
 def test_warc_damage_is_seen():
     data = "hello é".encode()
     text = "\r\n\r\n".join([*warc.record_rows(1, "u", memoryview(data), hashlib.sha1(data).hexdigest(), 1, 4), ""])
