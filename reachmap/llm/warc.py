@@ -18,7 +18,7 @@ Defined cases: a null html is the empty payload; a null page_id is written and
 read back as null; of equal payloads whose greatest page_id occurs twice both
 rows are responses; a row with a null page_id revisits a response that has one; if
 all page_ids of a payload are null, all are responses. Line ends in URLs are
-escaped.
+escaped. Bytes of html that are no UTF-8 are written, digested and read back as they are.
 """
 
 from __future__ import annotations
@@ -57,18 +57,19 @@ def decide(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_bytes
 
 
 def cut(payload: memoryview, size: int) -> Iterator[memoryview]:
-    """Chunks of at most ``size`` bytes (4 at least) that end between code points."""
+    """Chunks of at most ``size`` bytes (4 at least) that end between code points; where bytes are no UTF-8, anywhere."""
     at = 0
     while at < len(payload):
-        end = min(at + max(size, 4), len(payload))
-        while end < len(payload) and payload[end] & 0xC0 == 0x80:
+        end = whole = min(at + max(size, 4), len(payload))
+        while end < len(payload) and payload[end] & 0xC0 == 0x80 and whole - end < 4:
             end -= 1
+        end = end if end == len(payload) or payload[end] & 0xC0 != 0x80 else whole
         yield payload[at:end]
         at = end
 
 
 def record_rows(page_id: int | None, url: str | None, data: memoryview, digest: str, kept: int | None, chunk_bytes: int) -> Iterator[str]:
-    """The segments of one record as text."""
+    """The segments of one record as text, in which bytes that are no UTF-8 are surrogate escapes."""
     name = f"<urn:page:{'' if page_id is None else page_id}>"
     common = [f"WARC-Target-URI: {(url or '').replace(chr(13), '%0D').replace(chr(10), '%0A')}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}"]
     if kept != page_id:
@@ -85,27 +86,32 @@ def record_rows(page_id: int | None, url: str | None, data: memoryview, digest:
             head += [f"WARC-Segment-Number: {k}", f"Running-Digest: sha1:{running.hexdigest()}"]
             head += [f"WARC-Segment-Origin-ID: {name}"] * (k > 1) + [f"WARC-Segment-Total-Length: {len(data)}"] * (k == len(chunks))
         head += [f"WARC-Segments: {len(chunks)}", f"Content-Length: {len(chunk)}"]
-        yield CRLF.join(head) + CRLF + CRLF + str(chunk, "utf-8")
+        yield CRLF.join(head) + CRLF + CRLF + str(chunk, "utf-8", "surrogateescape")
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 1000, chunk_bytes: int = 1 << 16) -> None:
     """Write the pages as gzip WARC files into the folder ``path``; payloads of ``min_bytes`` or more are kept once."""
 
+    def rows_of(texts: list[str]) -> pa.RecordBatch:
+        # as bytes that are called a string: Spark writes them as they are
+        return pa.RecordBatch.from_arrays([pa.array([t.encode("utf-8", "surrogateescape") for t in texts], pa.binary()).view(pa.string())], ["value"])
+
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[str] = []
             size = 0
-            ids, urls, digests, kept = (batch.column(k).to_pylist() for k in (0, 1, 3, 4))
+            ids, digests, kept = (batch.column(k).to_pylist() for k in (0, 3, 4))
+            urls = [None if u is None else u.decode("utf-8", "surrogateescape") for u in batch.column(1).view(pa.binary()).to_pylist()]
             for k in range(len(batch)):
                 payload = memoryview(batch.column(2)[k].as_buffer())
                 for text in record_rows(ids[k], urls[k], payload, digests[k], kept[k], chunk_bytes):
                     out.append(text)
                     size += len(text)
                     if size > 8 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                        yield rows_of(out)
                         out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                yield rows_of(out)
 
     rows = decide(pages, id_col, url_col, html_col, min_bytes)
     rows.mapInArrow(segments, "value string").write.option("compression", "gzip").option("lineSep", CRLF * 2).text(path)
