@@ -48,6 +48,8 @@ BLOCK, OCCUPANCY, MAX_CENTROIDS = 1024, 256, 256
 
 def unit(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
+    # by a power of two first, which is exact, so that no square is too great or too small
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
