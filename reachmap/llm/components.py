@@ -5,7 +5,9 @@ neighbours to its least neighbour, then its smaller neighbours and itself to the
 least of them. Both keep the components; what is left in the end is a star
 around the least vertex of each. The rounds grow with the logarithm of the
 longest chain. Every round is written to the shared folder, and what tells whether
-it changed anything is observed while it is written.
+it changed anything is observed while it is written. The least neighbours are
+written too before they meet the edges: a join of two read tables can split the rows of
+a vertex that has very many, a join with an aggregate of the same rows can't.
 """
 
 from __future__ import annotations
@@ -18,12 +20,12 @@ from ..storage import written
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -42,7 +44,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     a, b = F.col(a).cast("long"), F.col(b).cast("long")
     now, state = _round(edges.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     while state["n"]:
-        now, after = _round(_small_star(_large_star(now).distinct()), "stars")
+        # the large stars are read twice by the next step
+        now, after = _round(_small_star(written(_large_star(now).distinct(), "large-stars")), "stars")
         if after == state:
             break
         state = after
