@@ -23,6 +23,7 @@ from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,7 +168,7 @@ def _packed_list(packed: list[bytes]) -> pa.Array:
 
 def _pieces(batch: pa.RecordBatch, column: int, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes in one column, a row at least."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     begin, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > most:
