@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+import csv
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import null_tokens
+from ..storage import written
+from . import ranges
 
 #: Area record, as it is exported.
 AREA_SCHEMA = "fips string, state string, county string, population bigint, median_hh_income bigint, rucc_2023 int, rural boolean, n_providers bigint, miles_to_nearest double, n_hospitals bigint, n_cah bigint, hpsa_primary_care boolean, disease_measure double"
@@ -36,41 +40,47 @@ def renamed(df: DataFrame, names: dict[str, str], required: Sequence[str] = ())
 def read_text_table(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", skip_long_rows: bool = False, multi_line: bool = True) -> DataFrame:
     """A delimited file, or a folder of them, with headers; all columns as text, missing-value texts as null, names stripped.
 
-    All files must have the header of the first. Quoted line ends stay within their field;
-    ``multi_line=False`` is for large files without any, which Spark then splits.
-    ``skip_long_rows`` leaves out rows with too many fields and keeps short ones: the
-    reader gets one more column than the header has, and rows that fill it go.
+    All files must have the header of the first. Quoted line ends stay within their field,
+    and files are read in ranges all the same (see ``ranges``); ``multi_line=False`` leaves that out for files
+    without any. ``skip_long_rows`` leaves out rows with more fields than the header has, even if what
+    is too much is empty, and keeps short ones. The encoding must hold ASCII as it is. Blank lines are no rows.
     """
-    options = {"header": True, "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', "multiLine": multi_line}
-    first = spark.read.options(**options).csv(path)
-    header, names = first.columns, [c.strip() for c in first.columns]
-    if skip_long_rows:
-        # a column more than the headers have, so they are compared here, file by file
-        for other in first.inputFiles()[1:]:
-            if (columns := spark.read.options(**options).csv(other).columns) != header:
-                raise ValueError(f"{other} has the header {columns}, not {header}")
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header) + 1)])
-        rows = spark.read.options(**options | {"enforceSchema": True}).schema(schema).csv(path)
-        rows = rows.filter(F.col(f"c{len(header)}").isNull()).drop(f"c{len(header)}")
-    else:
-        # Spark holds the header of every file against these names
+    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": True}
+    if not multi_line and not skip_long_rows:
+        header = spark.read.options(header=True, encoding=encoding, **options | {"multiLine": False}).csv(path).columns
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        rows = spark.read.options(**options | {"enforceSchema": False}).schema(schema).csv(path)
-    return null_tokens(rows.toDF(*names))
+        # Spark holds the header of every file against these names
+        rows = spark.read.options(header=True, encoding=encoding, enforceSchema=False, **options | {"multiLine": False}).schema(schema).csv(path)
+        return null_tokens(rows.toDF(*[c.strip() for c in header]))
+    records, heads = ranges.read_records(spark, path, ranges.Delimited(sep.encode(), encoding))
+    found = heads.groupBy("head").agg(F.min("file").alias("file")).orderBy("file").limit(2).collect()
+    if not found:
+        raise ValueError(f"no header: {path}")
+    if len(found) > 1:
+        raise ValueError(f"{found[1]['file']} has the header {found[1]['head']!r}, not {found[0]['head']!r}")
+    header = next(csv.reader([found[0]["head"]], delimiter=sep))
+    if skip_long_rows:
+        records = records.filter(F.col("n") <= len(header))
+    names = [f"c{i}" for i in range(len(header))]
+    fields = F.from_csv("record", ", ".join(f"{n} string" for n in names), {k: str(v) for k, v in options.items()})
+    rows = records.select(fields.alias("r")).select(*[F.col(f"r.{n}").alias(n) for n in names])
+    return null_tokens(rows.toDF(*[c.strip() for c in header]))
 
 
 def read_json_rows(spark: SparkSession, path: str) -> DataFrame:
     """One JSON array of arrays a file, its first row the header; all columns as text.
 
     The columns are those of one of the headers; each file's own header says where they are in its
-    rows, and what it lacks is null. A file is one row while it is parsed.
+    rows, and what it lacks is null. Files are read in ranges.
     """
-    rows = spark.read.text(path, wholetext=True).select(F.from_json("value", "array<array<string>>").alias("rows"))
-    rows = rows.select("rows", F.get("rows", F.lit(0)).alias("header")).filter("header is not null")
-    first = rows.select("header").first()
+    records, heads = ranges.read_records(spark, path, ranges.ARRAYS)
+    row = lambda c: F.from_json(c, "array<string>")
+    # written: one row a file, which meets all rows of the file
+    heads = written(heads.select("file", row("head").alias("header")), "headers")
+    first = heads.orderBy("file").select("header").first()
     if first is None:
         raise ValueError(f"no header: {path}")
-    data = rows.select("header", F.explode(F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))).alias("r"))
+    data = records.select("file", row("record").alias("r")).join(heads, "file", "left")  # each file has one
     return data.select(*[F.get("r", F.array_position("header", n).cast("int") - 1).alias(n) for n in first["header"]])
 
 
@@ -97,8 +107,22 @@ def read_or_empty(spark: SparkSession, read, schema: str, required: Sequence[str
 
 
 def read_areas(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """The exported array of area records, or with ``lines`` a record on each line; cached, as lookups and filters go over it again and again."""
-    return spark.read.schema(AREA_SCHEMA).option("multiLine", not lines).json(path).cache()
+    """The exported array of area records, of any size, or with ``lines`` a record on each line."""
+    if lines:
+        return spark.read.schema(AREA_SCHEMA).json(path)
+    records, heads = ranges.read_records(spark, path, ranges.OBJECTS)
+    both = records.select("record").unionByName(heads.select(F.col("head").alias("record")))  # there is no header
+    return both.select(F.from_json("record", AREA_SCHEMA).alias("r")).select("r.*")
+
+
+@contextlib.contextmanager
+def held_areas(spark: SparkSession, path: str, lines: bool = False) -> Iterator[DataFrame]:
+    """The area records in memory, for lookups and filters that go over them again and again; let go at the end."""
+    areas = read_areas(spark, path, lines).cache()
+    try:
+        yield areas
+    finally:
+        areas.unpersist()
 
 
 def pushed(df: DataFrame, where: Column, columns: Sequence[str], limit: int | None = None) -> DataFrame:
