@@ -66,8 +66,8 @@ class Inputs:
         zips = self.providers().select("zip5").dropna().distinct()
         return zips.join(self.zip_points().withColumnRenamed("zcta", "zip5"), "zip5").select("lat", "lng")
 
-    def nearest(self, **cubes) -> DataFrame:
-        return nearest_miles(self.area_points(), self.provider_points(), "fips", "county_lat", "county_lng", "lat", "lng", "miles_to_nearest", **cubes)
+    def nearest(self, **tree) -> DataFrame:
+        return nearest_miles(self.area_points(), self.provider_points(), "fips", "county_lat", "county_lng", "lat", "lng", "miles_to_nearest", required=True, **tree)
 
     def atlas(self) -> DataFrame:
         """Final record of each area with a centroid."""
