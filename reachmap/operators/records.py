@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import written
+
 # Month names, in order.
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 
@@ -22,11 +24,50 @@ def upsert(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return table.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
+#: Parts of a table that upserts rewrite alone.
+BUCKETS = 256
+
+
+def bucket_of(keys: list[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def create_buckets(table: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> None:
+    """Write ``table`` so that ``upsert_buckets`` can replace parts of it: a folder for each bucket of the keys."""
+    _write_buckets(table.withColumn("bucket", bucket_of(keys, buckets)), path)
+
+
+def upsert_buckets(new: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> None:
+    """Put ``new`` in place of the rows of its keys, and beside the others; only buckets that have a key of ``new`` are read and written.
+
+    The new buckets are complete in the shared folder before the old ones are replaced, and a
+    second run with the same rows gives the same table: after a failure it is run again.
+    """
+    spark = new.sparkSession
+    new = written(new.withColumn("bucket", bucket_of(keys, buckets)), "upsert-new")
+    touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # ``buckets`` numbers at most
+    if not touched:
+        return
+    old = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).select(*new.columns)
+    # a null key takes the place of a null key: else a second run would add it again
+    same = reduce(Column.__and__, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in ("bucket", *keys)])
+    kept = old.alias("o").join(new.select("bucket", *keys).distinct().alias("n"), same, "left_anti")
+    _write_buckets(written(kept.unionByName(new), "upsert"), path)
+
+
+def _write_buckets(rows: DataFrame, path: str) -> None:
+    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
+
+
 def manifest(files: DataFrame, script: str, source: str, base: str, fetched_at: Column) -> DataFrame:
-    """Lineage rows of files as the binary source reads them (path, length, content)."""
+    """Lineage rows of files (path, length, sha256), see ``file_digests``."""
     return files.select(
         F.lit(script).alias("script"), F.lit(source).alias("source"), F.col("path").alias("url"), F.regexp_replace("path", f"^.*?{base}/?", "").alias("local_path"),
-        F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"), fetched_at.alias("fetched_at"),
+        "sha256", F.col("length").alias("bytes"), fetched_at.alias("fetched_at"),
     )
 
 
@@ -38,6 +79,39 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str])
     return joined.select(key, change.alias("change")).filter("change is not null")
 
 
+#: Bits of a key's hash that pick its bucket at each level of ``snapshot_diff_by_digests``.
+LEVELS = (8, 16, 24)
+
+
+def _digests(rows: DataFrame, bits: int, columns: list[str]) -> DataFrame:
+    """(bucket, digest) by the leading bits of ``hash``: number, sum and exclusive-or of the rows' hashes, which no order changes."""
+    own = F.xxhash64("hash", *columns)
+    again = F.xxhash64(own, F.lit("again"), *columns)
+    return rows.groupBy(F.shiftrightunsigned("hash", 64 - bits).alias("bucket")).agg(F.struct(F.count(F.lit(1)).alias("n"), F.bit_xor(own).alias("x"), F.sum(again.cast("decimal(20,0)")).alias("s")).alias("digest"))
+
+
+def snapshot_diff_by_digests(old: DataFrame, new: DataFrame, key: str, columns: list[str], levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """``snapshot_diff`` of large snapshots that differ in little.
+
+    Each level compares digests of the buckets that the level before found different, by more
+    bits of the key's hash; only rows of buckets that differ at the last level are joined.
+    Equal snapshots shuffle 2^bits digests of the first level and no row. Two different buckets have the same
+    digest with a probability of about 2^-128.
+    """
+    sides = [df.select(key, *columns).withColumn("hash", F.xxhash64(key)) for df in (old, new)]
+    differ = None
+    for bits in levels:
+        if differ is not None:
+            sides = [side.join(differ, F.shiftrightunsigned("hash", 64 - before).eqNullSafe(F.col("bucket")), "left_semi") for side in sides]
+        a, b = (_digests(side, bits, columns).alias(name) for side, name in zip(sides, ("a", "b"), strict=True))
+        joined = a.join(b, F.col("a.bucket") == F.col("b.bucket"), "full").filter(~F.col("a.digest").eqNullSafe(F.col("b.digest")))
+        differ, before = written(joined.select(F.coalesce("a.bucket", "b.bucket").alias("bucket")), "buckets"), bits
+        if differ.isEmpty():
+            break
+    sides = [side.join(differ, F.shiftrightunsigned("hash", 64 - before).eqNullSafe(F.col("bucket")), "left_semi") for side in sides]
+    return snapshot_diff(*sides, key, columns)
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether two frames hold the same rows."""
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

@@ -72,6 +72,55 @@ def _statistics() -> list[Column]:
     ]
 
 
+#: What the filters and statistics ask of an area.
+CUBE_KEYS = ("state", "rural", "facility", "hpsa_primary_care", "none", "far", "miles")
+
+
+def stats_cube(areas: DataFrame) -> DataFrame:
+    """(CUBE_KEYS, n, population): areas by all that filters ask, and by distance, which has one decimal: an exact histogram.
+
+    Its rows are bounded by 16 flags, states and tenths of miles, whatever the number of areas. Cubes of
+    parts of the areas merge: ``merged_cube`` of their union is the cube of all.
+    """
+    keyed = areas.select(
+        "state", "rural", (F.coalesce("n_cah", F.lit(0)) > 0).alias("facility"), "hpsa_primary_care", (F.col("n_providers") == 0).alias("none"),
+        (F.coalesce("miles_to_nearest", F.lit(0.0)) >= 20).alias("far"), F.when(F.col("rural"), F.col("miles_to_nearest")).alias("miles"), "population",
+    )
+    return keyed.groupBy(*CUBE_KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("population").alias("population"))
+
+
+def merged_cube(cubes: DataFrame) -> DataFrame:
+    """One cube of the rows of several."""
+    return cubes.groupBy(*CUBE_KEYS).agg(F.sum("n").alias("n"), F.sum("population").alias("population"))
+
+
+def cube_stats(cube: DataFrame, query: AreaQuery) -> DataFrame:
+    """The six numbers of ``national_stats`` for the areas that a query keeps, from their cube alone.
+
+    The upper of two middle distances is the one at which the areas from the greatest on reach half.
+    """
+    kept = cube
+    for asked, flag in ((query.state, F.col("state") == query.state), (query.rural_only, F.col("rural")), (query.facility_only, F.col("facility")), (query.shortage_only, F.col("hpsa_primary_care"))):
+        kept = kept.filter(flag) if asked else kept
+    # one row for each tenth of a mile, then one row
+    by = kept.withColumns({"none_n": F.when(F.col("none"), F.col("n")), "none_population": F.when(F.col("none"), F.col("population")), "far_n": F.when(F.col("facility") & F.col("far"), F.col("n"))})
+    sums = by.groupBy("miles").agg(*[F.sum(c).alias(c) for c in ("n", "none_n", "none_population", "far_n")])
+    all_of = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    one = sums.agg(
+        *[all_of(c).alias(c) for c in ("n", "none_n", "none_population", "far_n")],
+        F.reverse(F.array_sort(F.collect_list(F.when(F.col("miles").isNotNull(), F.struct("miles", "n"))))).alias("falling"),
+        all_of(F.when(F.col("miles").isNotNull(), F.col("n"))).alias("half"),
+    )
+    start = F.struct(F.lit(0).cast("long").alias("so_far"), F.lit(None).cast("double").alias("middle"))
+    reached = lambda acc, x: 2 * (acc["so_far"] + x["n"]) >= F.col("half")
+    step = lambda acc, x: F.struct((acc["so_far"] + x["n"]).alias("so_far"), F.coalesce(acc["middle"], F.when(reached(acc, x), x["miles"])).alias("middle"))
+    return one.select(
+        F.col("n").alias("total"), F.col("none_n").alias("zero_providers"), F.coalesce(F.try_divide("none_n", "n"), F.lit(0.0)).alias("zero_share"),
+        F.coalesce(F.aggregate("falling", start, step, lambda acc: acc["middle"]), F.lit(0.0)).alias("median_rural_miles"),
+        F.col("far_n").alias("facility_far"), F.col("none_population").alias("population_underserved"),
+    )
+
+
 def national_stats(areas: DataFrame) -> DataFrame:
     """Six numbers over all rows, and the share as text."""
     return areas.agg(*_statistics()).withColumn("zero_share_text", percent(F.col("zero_share")))

@@ -173,7 +173,7 @@ FINAL: dict[str, str] = {
     concat('./dump_', monthname(o_orderdate), '_', year(o_orderdate), CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE concat('_V', o_orderkey % 12) END, '.zip') AS link
     FROM orders WHERE o_orderkey % 7 <> 0
     UNION ALL SELECT DISTINCT o_custkey % 500, 0, 0, 0, './other.html' FROM orders)) WHERE place = 1""",
-    "q34_upsert": """WITH runs AS (SELECT user_id, event_type, event_id, value, event_id % 5 AS run FROM events WHERE event_id % 5 < 2),
+    "q34_upsert": """WITH runs AS (SELECT user_id, event_type, event_id, value, event_id % 2 AS run FROM events),
   latest AS (SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY run, user_id, event_type ORDER BY event_id DESC) AS place FROM runs) WHERE place = 1)
   SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY run DESC) AS newest FROM latest) WHERE newest = 1""",
     "q35_manifest": f"""SELECT 'land' AS script, 'customers' AS source, batch, sha256(value || chr(10)) AS sha256, octet_length(encode(value)) + 1 AS bytes, '2024-02-01T00:00:00Z' AS fetched_at
@@ -199,6 +199,16 @@ FINAL: dict[str, str] = {
 }
 FINAL["q47_state_view"] = f"""SELECT a.state, coalesce(center_lng, {view.DEFAULT_VIEW[0]})::DOUBLE AS center_lng, coalesce(center_lat, {view.DEFAULT_VIEW[1]})::DOUBLE AS center_lat, coalesce(zoom, {view.DEFAULT_VIEW[2]})::DOUBLE AS zoom
   FROM (SELECT state FROM states UNION ALL SELECT DISTINCT c_mktsegment FROM customer) a LEFT JOIN ({FINAL["q21_state_extent"]}) e ON a.state = e.state"""
+FINAL["q54_upsert_buckets"] = FINAL["q34_upsert"]
+_wheres = {"q13a_filter_none": "true", "q13b_filter_state": "state = 'ND'", "q13c_filter_rural": "rural", "q13d_filter_facility": "n_cah <> 0", "q13e_filter_shortage": "hpsa_primary_care", "q13f_filter_stacked": "state = 'ND' AND rural AND hpsa_primary_care"}
+FINAL["q55_subset_stats"] = " UNION ALL ".join(f"SELECT '{name}' AS filter, {_stats} FROM atlas WHERE {where}" for name, where in _wheres.items())
+FINAL["q56_diff_by_digests"] = FINAL["q31_snapshot_diff"]
+FINAL["q53_json_array"] = f"""SELECT concat(CASE WHEN place = 1 THEN '[' ELSE ',' END, json, CASE WHEN place = total THEN ']' ELSE '' END) AS line
+  FROM (SELECT json, row_number() OVER (ORDER BY fips, json) AS place, count(*) OVER () AS total FROM ({FINAL["q25_json_rows"]}))"""
+FINAL["q57_streamed_manifest"] = """SELECT c_nationkey::BIGINT AS nation, octet_length(encode(value)) AS bytes, sha256(value) AS sha256
+  FROM (SELECT c_nationkey, string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS value FROM customer GROUP BY 1)"""
+FINAL["q58_area_array"] = "SELECT * FROM atlas"
+FINAL["q59_report_files"] = FINAL["q19_area_report"]
 
 
 def _needs(sql: str) -> set[str]:

@@ -113,12 +113,15 @@ def _union_sources(i: Inputs) -> DataFrame:
     return records.union_all([party("supplier", "s"), party("customer", "c")])
 
 
-@query("q31_snapshot_diff")
-def _snapshot_diff(i: Inputs) -> DataFrame:
+def _snapshots(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Parts before and after some went, came, or changed their price."""
     part = i.table("part").select("p_partkey", "p_name", "p_retailprice")
     old = part.filter("p_partkey % 10 <> 0")
     new = part.filter("p_partkey % 10 <> 1").withColumn("p_retailprice", F.when(F.col("p_partkey") % 7 == 0, F.col("p_retailprice") + 1.0).otherwise(F.col("p_retailprice")))
-    return records.snapshot_diff(old, new, "p_partkey", ["p_name", "p_retailprice"])
+    return old, new
+
+
+query("q31_snapshot_diff")(lambda i: records.snapshot_diff(*_snapshots(i), "p_partkey", ["p_name", "p_retailprice"]))
 
 
 @query("q32_haversine")
@@ -141,11 +144,40 @@ def _latest_artifact_name(i: Inputs) -> DataFrame:
 def _upsert(i: Inputs) -> DataFrame:
     """Lineage rows of two runs, the later one in place of the keys that both have."""
     rows = i.table("events").select("user_id", "event_type", "event_id", "value")
-    run = lambda k: rows.filter(F.col("event_id") % 5 == k)
+    run = lambda k: rows.filter(F.col("event_id") % 2 == k)
     latest = lambda k: records.latest_per_key(run(k), ["user_id", "event_type"], ["event_id"])
     return records.upsert(latest(0), latest(1), ["user_id", "event_type"])
 
 
+@query("q54_upsert_buckets")
+def _upsert_buckets(i: Inputs) -> DataFrame:
+    """The same in a table of buckets, of which the later run rewrites those it has keys of."""
+    path, keys = new_path(i.spark, "buckets"), ["user_id", "event_type"]
+    rows = i.table("events").select("user_id", "event_type", "event_id", "value")
+    latest = lambda k: records.latest_per_key(rows.filter(F.col("event_id") % 2 == k), keys, ["event_id"])
+    records.create_buckets(latest(0), path, keys, buckets=16)
+    records.upsert_buckets(latest(1), path, keys, buckets=16)
+    return records.read_buckets(i.spark, path)
+
+
+@query("q55_subset_stats")
+def _subset_stats(i: Inputs) -> DataFrame:
+    """The statistics of every filter of the q13 queries, from one small table."""
+    cube = written(view.stats_cube(i.atlas()), "cube")
+    return records.union_all([view.cube_stats(cube, asked).select(F.lit(name).alias("filter"), "*") for name, asked in FILTERS.items()])
+
+
+@query("q56_diff_by_digests")
+def _diff_by_digests(i: Inputs) -> DataFrame:
+    """The comparison of q31 by digests of buckets."""
+    old, new = _snapshots(i)
+    return records.snapshot_diff_by_digests(old, new, "p_partkey", ["p_name", "p_retailprice"], levels=(4, 8))
+
+
+query("q53_json_array")(files.json_lines_of_array)
+query("q57_streamed_manifest")(files.streamed_manifest)
+query("q58_area_array")(files.areas_of_array)
+query("q59_report_files")(files.report_files)
 query("q35_manifest")(files.manifest)
 query("q36_registry_file")(files.registry)
 query("q37_facility_file")(files.facilities)
@@ -158,7 +190,7 @@ query("q43_gazetteer_file")(files.gazetteer)
 query("q44_area_export")(files.areas)
 query("q45_pushdown")(lambda i: readers.pushed(i.table("lineitem"), (F.col("l_quantity") > 40) & (F.col("l_returnflag") == "R"), ["l_orderkey", "l_linenumber", "l_quantity"]))
 query("q49_state_codes")(lambda i: i.raw("fx_acs").select("c_custkey", pad_state(F.col("state")).alias("state_code")))
-query("q50_nearest_by_wide_cubes")(lambda i: i.nearest(edge=0.02, levels=5))
+query("q50_nearest_by_wide_cubes")(lambda i: i.nearest(leaf=1, fan=2, top=8))  # a tree of many levels
 
 
 @query("q46_counters")

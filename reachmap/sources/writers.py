@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import null_if_nan
+from ..storage import written
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -24,12 +25,26 @@ def json_rows(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, json_row(df).alias("json"))
 
 
-def json_array(df: DataFrame, key: str, most: int = 200_000) -> DataFrame:
-    """One row with one JSON array sorted by ``key``: the small export for a web page; raises beyond ``most`` rows, for which ``json_rows`` is."""
-    if df.limit(most + 1).count() > most:
-        raise ValueError(f"over {most} rows are too many for one array")
-    rows = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), json_row(df).alias("j"))))
-    return df.agg(F.concat(F.lit("["), F.array_join(F.transform(rows, lambda r: r["j"]), ","), F.lit("]")).alias("json"))
+def write_json_array(df: DataFrame, key: str, path: str) -> None:
+    """One JSON array of all rows sorted by ``key``, as text files that give the array if they are read one after the other, by name.
+
+    Rows go out by ranges of the key, each with the mark before it: the bracket before the first
+    row, commas before the others; the last one closes the array. Equal rows are counted before
+    they are dealt out, and come one after the other; rows of one key go by their text. A table without
+    rows gives ``[]``.
+    """
+    # written: its least and greatest row are asked for before it is dealt out
+    rows = written(df.groupBy(F.col(key).alias("k"), json_row(df).alias("j")).agg(F.count(F.lit(1)).alias("n")), "json-rows")
+    ends = rows.agg(F.min(F.struct("k", "j")).alias("a"), F.max(F.struct("k", "j", "n")).alias("z")).first()
+    if ends.a is None:
+        df.sparkSession.range(1).select(F.lit("[]").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+        return
+    copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    same = lambda r: F.col("k").eqNullSafe(F.lit(r.k)) & (F.col("j") == r.j)
+    first, last = same(ends.a) & (F.col("copy") == 1), same(ends.z) & (F.col("copy") == ends.z.n)
+    text = F.concat(F.when(first, "[").otherwise(","), "j", F.when(last, "]").otherwise(""))
+    order = ["k", "j", "copy"]
+    copies.repartitionByRange(*order).sortWithinPartitions(*order).select(text.alias("value")).write.mode("overwrite").text(path)
 
 
 def write_reports(reports: DataFrame, path: str) -> None:

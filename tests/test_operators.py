@@ -6,13 +6,14 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from reachmap.functions import geo, keys, labels
 from reachmap.operators import assign, dims, nearest, records, report, view
 from reachmap.operators.view import AreaQuery
-from reachmap.sources import readers, writers
+from reachmap.sources import digests, readers, writers
 
 
 def one(spark, column):
@@ -253,13 +254,30 @@ def test_grid_equals_brute_force(spark):
     rows, places = ([tuple(r) for r in df.dropna().collect()] for df in (area, point))
     miles = lambda a, b, c, d: 2 * geo.EARTH_MILES * math.asin(math.sqrt(math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2))
     want = {k: min(miles(y, x, *p) for p in places) for k, y, x in rows}
-    for cubes in ({}, {"edge": 0.02, "levels": 5}, {"edge": 2.0, "levels": 1}):
-        got = {r.fips: r.m for r in nearest.nearest_miles(area, point, "fips", "lat", "lng", "y", "x", "m", **cubes).collect()}
+    for tree in ({}, {"leaf": 0, "fan": 1, "top": 16}, {"leaf": 3, "fan": 2, "top": 4}):
+        got = {r.fips: r.m for r in nearest.nearest_miles(area, point, "fips", "lat", "lng", "y", "x", "m", **tree).collect()}
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 0.0501 for k in want)
     assert nearest.nearest_miles(area, point.limit(0), "fips", "lat", "lng", "y", "x", "m").count() == 0
     assert nearest.nearest_miles(area.limit(0), point, "fips", "lat", "lng", "y", "x", "m").count() == 0
 
 
+def test_a_dense_far_city_is_compared_with_few_points(spark):
+    """100,000 points within some miles, queries up to half the earth away: each goes to a few leaves, near ones too."""
+    rng = random.Random(4)
+    city = spark.range(100_000).select((40 + F.rand(1) / 20).alias("y"), (-100 + F.rand(2) / 20).alias("x"))
+    far = [(str(i), rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(60)] + [(f"in{i}", 40 + rng.random() / 20, -100 + rng.random() / 20) for i in range(20)]
+    area = spark.createDataFrame(far, "fips string, lat double, lng double")
+    unit = lambda df, lat, lng, p: df.select("*", *[c.alias(f"{p}{a}") for a, c in zip("xyz", geo.unit_vector(F.col(lat), F.col(lng)), strict=True)])
+    held = nearest.numbered(unit(city, "y", "x", "p").select("px", "py", "pz"))
+    queries = unit(area, "lat", "lng", "q").select(F.struct("fips").alias("row"), "qx", "qy", "qz")
+    n = nearest.candidates(queries, held).groupBy("row").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert n[0] * 2**nearest.LEAF <= 5000 and n[1] == 80  # of 100,000
+    p = np.array([tuple(r) for r in held.select("px", "py", "pz").collect()])
+    want = {r.row.fips: 2 * geo.EARTH_MILES * math.asin(min(1.0, np.sqrt(((p - [r.qx, r.qy, r.qz]) ** 2).sum(axis=1).min()) / 2)) for r in queries.collect()}
+    got = {r.fips: r.m for r in nearest.nearest_miles(area, city, "fips", "lat", "lng", "y", "x", "m").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 0.0501 for k in want)
+
+
 # ---- records --------------------------------------------------------------------------------
 
 
@@ -300,7 +318,7 @@ def test_snapshot_diff(spark):
 
 def test_manifest(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"hello")
-    files = spark.read.format("binaryFile").load(str(tmp_path / "a.txt"))
+    files = digests.file_digests(spark, str(tmp_path / "a.txt"))
     r = records.manifest(files, "s", "src", str(tmp_path), F.lit("2024-01-01T00:00:00Z")).first()
     assert (r.local_path, r.sha256, r.bytes) == ("a.txt", hashlib.sha256(b"hello").hexdigest(), 5)
 
@@ -365,7 +383,8 @@ def test_missing_source_is_an_empty_table(spark, tmp_path):
 
 def test_area_export_and_import(spark, tmp_path):
     rows = areas(spark, *FILTER_ROWS).withColumn("disease_measure", F.lit(float("nan")))
-    text = writers.json_array(rows, "fips").first()["json"]
+    writers.write_json_array(rows, "fips", str(tmp_path / "array"))
+    text = joined(tmp_path / "array")
     loaded = json.loads(text)
     assert [r["fips"] for r in loaded] == sorted(r["fips"] for r in FILTER_ROWS) and loaded[0]["disease_measure"] is None
     (tmp_path / "areas.json").write_text(text)
@@ -433,10 +452,82 @@ def test_views(spark):
     assert next(g for g in got if g[0] == "TX")[1:3] == (-98.0, 31.0)
 
 
-def test_an_array_is_for_few_rows(spark):
-    with pytest.raises(ValueError):
-        writers.json_array(spark.range(11), "id", most=10)
-    assert json.loads(writers.json_array(spark.range(3), "id").first()["json"]) == [{"id": 0}, {"id": 1}, {"id": 2}]
+def joined(folder):
+    return "".join(p.read_text() for p in sorted(folder.glob("part-*")))
+
+
+def test_one_sorted_array_of_any_size(spark, tmp_path):
+    """Part files in a row are one array: repeated rows, null keys, no rows, one row."""
+    ids = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 1000).alias("k"), F.when(F.col("id") % 10 > 0, "x,]\n").alias("v"))
+    both = ids.unionByName(spark.createDataFrame([(None, "n"), (None, "n"), (999, "z"), (999, "z")], "k long, v string"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name, df in (("many", both), ("one", both.filter("v = 'z'")), ("none", both.limit(0))):
+            writers.write_json_array(df, "k", str(tmp_path / name))
+            got, want = json.loads(joined(tmp_path / name)), [r.asDict() for r in df.collect()]
+            assert [x["k"] for x in got] == sorted((x["k"] for x in want), key=lambda k: (k is not None, k))
+            assert sorted(map(str, got)) == sorted(map(str, want))
+        assert len(list((tmp_path / "many").glob("part-*"))) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_streamed_digests(spark, tmp_path):
+    """Files of many ranges, byte-order marks, line ends or none at the end, and bytes that are no text."""
+    rng = random.Random(6)
+    data = [b"\n", b"x", b"a\nb", b"a\nb\n", b"\n\n", b"\xef\xbb\xbfmark\n" * 40, b"\xef\xbb\xbf", b"\xff\x00\r\n" * 300, bytes(rng.randrange(256) for _ in range(9000))]
+    (tmp_path / "d").mkdir()
+    for k, b in enumerate(data):
+        (tmp_path / "d" / f"{k}.bin").write_bytes(b)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for large in (0, 4, 10**9):
+            got = {int(r.path.rpartition("/")[2][:-4]): (r.length, r.sha256) for r in digests.file_digests(spark, f"file://{tmp_path}/d", "*.bin", large).collect()}
+            assert got == {k: (len(b), hashlib.sha256(b).hexdigest()) for k, b in enumerate(data)}, large
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_upsert_rewrites_only_what_it_touches(spark, tmp_path):
+    path, keys = f"{tmp_path}/table", ["k"]
+    table = spark.range(400).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    records.create_buckets(table, path, keys, 16)
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "table").glob("bucket=*/*.parquet")}
+    before, new = files(), spark.createDataFrame([(5, "new"), (1000, "new"), (None, "null")], "k long, v string")
+    for _ in range(2):  # a second run changes nothing
+        records.upsert_buckets(new, path, keys, 16)
+        got = {r.k: r.v for r in records.read_buckets(spark, path).collect()}
+        assert got == {k: "old" for k in range(400) if k != 5} | {5: "new", 1000: "new"} | {None: "null"}
+    assert records.read_buckets(spark, path).count() == 402
+    kept = before.items() & files().items()
+    assert len(kept) >= 13 and len(before) == 16
+    records.upsert_buckets(new.limit(0), path, keys, 16)
+    assert records.read_buckets(spark, path).count() == 402
+
+
+def test_difference_by_digests(spark):
+    old = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("v"))
+    new = old.filter("k <> 17 and k <> 2999").withColumn("v", F.when(F.col("k") == 40, "x").when(F.col("k") == 49, "now a value").otherwise(F.col("v"))).unionByName(spark.createDataFrame([(9000, "n"), (None, "n")], "k long, v string"))
+    want = {tuple(r) for r in records.snapshot_diff(old, new, "k", ["v"]).collect()}
+    assert len(want) == 6
+    for levels in ((2,), (3, 6, 12), records.LEVELS):
+        assert {tuple(r) for r in records.snapshot_diff_by_digests(old, new, "k", ["v"], levels).collect()} == want
+    same = records.snapshot_diff_by_digests(old, old.repartition(5), "k", ["v"])
+    assert same.count() == 0
+    assert {r.change for r in records.snapshot_diff_by_digests(old.limit(0), new, "k", ["v"]).collect()} == {"added"}
+
+
+def test_statistics_of_a_subset_from_the_cube(spark):
+    rng = random.Random(9)
+    rows = areas(spark, *[{"fips": f"{i:05d}", "state": rng.choice(["TX", "NY"]), "rural": rng.random() < 0.6, "n_providers": rng.choice([0, 0, 3]), "n_cah": rng.choice([0, 1]), "hpsa_primary_care": rng.random() < 0.5, "miles_to_nearest": rng.choice([None, 1.5, 20.0, 33.3, rng.randrange(900) / 10]), "population": rng.choice([None, 10, 2000])} for i in range(200)])
+    half = F.col("fips") < "00100"
+    cube = view.merged_cube(view.stats_cube(rows.filter(half)).unionByName(view.stats_cube(rows.filter(~half))))
+    for asked in (view.AreaQuery(), view.AreaQuery(state="TX"), view.AreaQuery(rural_only=True, shortage_only=True), view.AreaQuery(state="NY", facility_only=True), view.AreaQuery(state="none")):
+        want = view.national_stats(view.apply_filters(rows, asked)).drop("zero_share_text").first()
+        assert view.cube_stats(cube, asked).first() == want
 
 
 def test_a_cluster_needs_a_shared_folder():
