@@ -10,7 +10,9 @@ probability under equal priors.
 The counts are gathered by Spark jobs over a bounded sample of labelled documents
 (``max_docs`` a language and MAX_BYTES of text in all, chosen by hash), so that the
 grams, which are collected, and the trees, which are broadcast, are bounded by it.
-Texts are scored whole, in slices of a megabyte.
+Texts are scored whole, in slices of a megabyte. Tables of several languages have a
+column for each; where that would be too large, languages go into several tables,
+in the end one for each language, with its own grams only.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and
 so is every text if nothing is labelled; null ids count as held out; equal code
@@ -24,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ MAX_DOCS = 3000
 #: Bytes of text of all languages that the trees are built from at most, about; a byte adds one gram at most.
 MAX_BYTES = 64 << 20
 SLICE = 1 << 20
-#: Code lengths (grams times languages) that are broadcast at most.
+#: Code lengths (grams times languages) beyond which the languages are dealt out to several tables.
 MAX_LENGTHS = 1 << 27
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -152,7 +155,39 @@ def code_lengths(text: str, trees: Trees) -> np.ndarray:
     return total
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, max_docs: int) -> Trees | None:
+@dataclass
+class Forest:
+    """Trees of groups of languages, which are in order of their names."""
+
+    groups: list[Trees]
+
+    @property
+    def langs(self) -> list[str]:
+        return [lang for trees in self.groups for lang in trees.langs]
+
+    def code_lengths(self, text: str) -> np.ndarray:
+        """Bits of the whole text by language: a language's do not depend on the others in its table."""
+        return np.concatenate([code_lengths(text, trees) for trees in self.groups])
+
+
+def grow(langs: list[str], lang_no: np.ndarray, grams: np.ndarray, counts: np.ndarray, most: int) -> Forest:
+    """Trees in as few tables as have ``most`` code lengths together; one for each language if no others do."""
+    size = lambda a, b: len(np.unique(grams[(lang_no >= a) & (lang_no < b)])) * (b - a)
+    parts = [(size(0, len(langs)), 0, len(langs))]
+    while sum(n for n, _, _ in parts) > most and any(b - a > 1 for _, a, b in parts):
+        largest = max((p for p in parts if p[2] - p[1] > 1), key=lambda p: p[0])
+        parts.remove(largest)
+        _, a, b = largest
+        middle = (a + b) // 2
+        parts += [(size(a, middle), a, middle), (size(middle, b), middle, b)]
+    out = []
+    for _, a, b in sorted(parts, key=lambda p: p[1]):
+        own = (lang_no >= a) & (lang_no < b)
+        out.append(build(langs[a:b], lang_no[own] - a, grams[own], counts[own]))
+    return Forest(out)
+
+
+def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, max_docs: int, max_lengths: int = MAX_LENGTHS) -> Forest | None:
     """Trees from a sample of the rows for which ``learn`` holds; None if there are none."""
     labelled = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = {r[0]: r for r in labelled.groupBy(F.col(lang_col).alias("l")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_col)).alias("b")).collect()}  # one row a language
@@ -174,14 +209,11 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Col
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], ["l", "gram", "n"])
 
     summed = sample.mapInArrow(count, "l string, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")).toArrow()
-    if (size := len(summed["gram"].unique()) * len(langs)) > MAX_LENGTHS:
-        raise ValueError(f"{size} code lengths are too many to broadcast: lower max_docs")
-    names = {l: i for i, l in enumerate(langs)}  # noqa: E741
-    no = np.array([names[x] for x in summed["l"].to_pylist()], np.int64)
-    return build(langs, no, summed["gram"].to_numpy(), summed["n"].to_numpy().astype(np.float64))
+    no = pc.index_in(summed["l"], pa.array(langs, pa.string())).to_numpy().astype(np.int64)
+    return grow(langs, no, summed["gram"].to_numpy(), summed["n"].to_numpy().astype(np.float64), max_lengths)
 
 
-def predict(docs: DataFrame, trees: Trees | None, keep: list[Column], text_col: str) -> DataFrame:
+def predict(docs: DataFrame, trees: Forest | None, keep: list[Column], text_col: str) -> DataFrame:
     """``keep`` and lang_pred, score for each row."""
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     if trees is None:
@@ -191,15 +223,16 @@ def predict(docs: DataFrame, trees: Trees | None, keep: list[Column], text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = model.value
+        names = trees.langs
         for batch in batches:
             langs, scores = [], []
             for text in batch.column(len(kept)).to_pylist():
                 if text is None:
                     langs.append("und"), scores.append(0.0)
                     continue
-                bits = code_lengths(text, trees)
+                bits = trees.code_lengths(text)
                 best = int(bits.argmin())
-                langs.append(trees.langs[best]), scores.append(float(1 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum()))
+                langs.append(names[best]), scores.append(float(1 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
 
     schema = ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes[:-1]), "lang_pred string", "score double"])
