@@ -160,7 +160,8 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labelled:
         every = "block" if n and blocked == n else "allow"
         return urls.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit(every)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     share = int(1_000_000 * min(1.0, max_labelled / n))
-    fold = F.pmod(F.xxhash64("url", "id", F.lit(1)), F.lit(FOLDS)).cast("int")
+    # rows of one URL are in one fold: none learns from its own copies
+    fold = F.pmod(F.xxhash64("url", F.lit(1)), F.lit(FOLDS)).cast("int")
     known = known.withColumns({"fold": fold, "suffix": suffix(F.col("host")), "site": site(F.col("host"))})
     folds = {key: written(fold_sums(known, key), f"{key}-folds") for key in ("suffix", "site")}
     sums = {key: written(all_sums(table, key), f"{key}-sums") for key, table in folds.items()}
