@@ -69,6 +69,8 @@ MORE_RULES = (
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", probe=r"eyJ[A-Za-z0-9_-]{8}"),
 )
 
+#: Setting of the session that names the ledger's folder.
+LEDGER_SETTING = "reachmap.secrets.ledger"
 LEDGER = "blob string, rules array<string>, spans array<struct<rule:string,start:int,end:int>>"
 FOUND = "array<struct<rule:string,start:int,end:int>>"
 SPAN = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
@@ -248,7 +250,8 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
-    """The report on documents; with ``ledger`` (a path) only what its former runs have not seen is scanned."""
+    """The report on documents; with ``ledger`` (a path, or else that in the session's LEDGER_SETTING) only what its former runs have not seen is scanned."""
+    ledger = ledger or spark.conf.get(LEDGER_SETTING, None)
     return secret_report(spark.read.parquet(f"{sf_dir}/documents.parquet"), ledger=ledger)
 
 

@@ -199,6 +199,21 @@ def test_code_lengths_by_slices(monkeypatch):
     assert langid.code_lengths(LONG[:3000], trees) == pytest.approx(whole)
 
 
+def test_many_languages_in_several_tables(spark):
+    """Code lengths do not depend on how languages are grouped; the bound on tables drops none."""
+    rng = np.random.default_rng(3)
+    words = {f"l{i:02d}": ["".join(rng.choice(list("abcdefghijklmnopqrst"), 5)) for _ in range(30)] for i in range(40)}
+    rows = [(i, " ".join(rng.choice(words[x], 12)), x, "s", 1) for i, x in enumerate(sorted(words) * 8)]
+    docs = spark.createDataFrame(rows, DOCS)
+    forests = [langid.train(docs, "doc_id", "text", "lang", F.lit(True), 1000, most) for most in (langid.MAX_LENGTHS, 20_000, 1)]
+    assert [len(f.groups) for f in forests][0::2] == [1, 40] and 1 < len(forests[1].groups) < 40
+    assert all(f.langs == sorted(words) for f in forests)
+    for text in (rows[5][1], "zzz unseen ß", "", rows[77][1] + rows[2][1]):
+        assert all(f.code_lengths(text) == pytest.approx(forests[0].code_lengths(text)) for f in forests)
+    got = langid.predict(docs, forests[2], [F.col("doc_id"), F.col("lang")], "text")
+    assert got.filter("lang_pred = lang").count() == len(rows)
+
+
 def test_language_of_odd_texts(spark):
     train = docs_of(spark, ["the cat sat on the mat with the hat"] * 3).unionByName(docs_of(spark, ["der Hund und die Katze und das Haus"] * 3, "de"))
     trees = langid.train(train, "doc_id", "text", "lang", F.lit(True), 100)
@@ -277,6 +292,19 @@ def test_ledger_on_disk(spark, tmp_path):
     assert runs == [5, len({x or "" for x in SECRETS}) - 5, 0, 0]
 
 
+def test_ledger_by_setting(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    want = sorted(secrets.op3_secret_scans(spark, "/root/testdata/sf0.001").collect())
+    spark.conf.set(secrets.LEDGER_SETTING, path)
+    try:
+        for _ in range(2):
+            assert sorted(secrets.op3_secret_scans(spark, "/root/testdata/sf0.001").collect()) == want
+    finally:
+        spark.conf.unset(secrets.LEDGER_SETTING)
+    runs = [spark.read.schema(secrets.LEDGER).parquet(str(p)).count() for p in sorted((tmp_path / "ledger").glob("run=*"), key=lambda p: p.stat().st_mtime)]
+    assert len(runs) == 2 and runs[0] > 0 and runs[1] == 0
+
+
 def test_many_findings_in_one_text(spark):
     text = " ".join(f"{'é' * (i % 3)}token={i:014d} {'ab' * 9}" for i in range(700))
     got = secrets.secret_report(docs_of(spark, [text])).first()
