@@ -207,6 +207,8 @@ FINAL["q53_json_array"] = f"""SELECT concat(CASE WHEN place = 1 THEN '[' ELSE ',
   FROM (SELECT json, row_number() OVER (ORDER BY fips, json) AS place, count(*) OVER () AS total FROM ({FINAL["q25_json_rows"]}))"""
 FINAL["q57_streamed_manifest"] = """SELECT c_nationkey::BIGINT AS nation, octet_length(encode(value)) AS bytes, sha256(value) AS sha256
   FROM (SELECT c_nationkey, string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS value FROM customer GROUP BY 1)"""
+FINAL["q60_lookup_by_key"] = """SELECT k.fips, a.* EXCLUDE (fips), a.fips IS NOT NULL AS found FROM (SELECT unnest([min(fips), max(fips), '99999']) AS fips FROM atlas
+  UNION SELECT fips FROM atlas WHERE fips LIKE '%7') k LEFT JOIN atlas a ON k.fips = a.fips"""
 FINAL["q58_area_array"] = "SELECT * FROM atlas"
 FINAL["q59_report_files"] = FINAL["q19_area_report"]
 

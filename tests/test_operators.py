@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reachmap.functions import geo, keys, labels
-from reachmap.operators import assign, dims, nearest, records, report, view
+from reachmap.operators import assign, dims, lookup, nearest, records, report, view
 from reachmap.operators.view import AreaQuery
 from reachmap.sources import digests, readers, writers
 
@@ -520,6 +520,41 @@ def test_difference_by_digests(spark):
     assert {r.change for r in records.snapshot_diff_by_digests(old.limit(0), new, "k", ["v"]).collect()} == {"added"}
 
 
+def rows_scanned(spark, df):
+    """Rows that the scans of a plan give."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    leaves, found = plan.collectLeaves(), []
+    while not leaves.isEmpty():
+        if leaves.head().nodeName().startswith("Scan parquet"):
+            found.append(leaves.head().metrics().apply("numOutputRows").value())
+        leaves = leaves.tail()
+    return found
+
+
+def test_a_lookup_reads_few_row_groups(spark, tmp_path):
+    table = spark.range(40_000).select(F.format_string("%06d", F.col("id") * 7919 % 40_000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), "id")
+    path = f"file://{tmp_path}/t"
+    lookup.write_lookup(table, "k", path, group_bytes=1 << 14)
+    for keys_, most in ((["000123"], 3000), (["000123", "039999", "none", None, "000123"], 9000), ([f"{i:06d}" for i in range(20_000, 20_500)], 6000), ([], 0)):
+        keys = spark.createDataFrame([(k,) for k in keys_], "k string")
+        got = lookup.lookup(spark, path, keys, "k")
+        held = {r.k: r.v for r in table.filter(F.col("k").isin([k for k in keys_ if k])).collect()}
+        assert sorted((str(r.k), r.v, r.found) for r in got.collect()) == sorted((str(k), held.get(k), k in held) for k in keys_)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            scanned = rows_scanned(spark, lookup.rows_of_keys(spark, path, keys, "k"))
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        assert scanned or not held
+        assert sum(scanned) <= most, (keys_[:3], scanned)
+    many = table.select("k").filter("id % 2 = 0")
+    assert lookup.rows_of_keys(spark, path, many, "k").count() == 20_000
+    same = spark.range(5000).select(F.lit("k").alias("k"), "id")
+    lookup.write_lookup(same, "k", path)
+    assert lookup.rows_of_keys(spark, path, same.select("k").limit(1), "k").count() == 5000
+
+
 def test_statistics_of_a_subset_from_the_cube(spark):
     rng = random.Random(9)
     rows = areas(spark, *[{"fips": f"{i:05d}", "state": rng.choice(["TX", "NY"]), "rural": rng.random() < 0.6, "n_providers": rng.choice([0, 0, 3]), "n_cah": rng.choice([0, 1]), "hpsa_primary_care": rng.random() < 0.5, "miles_to_nearest": rng.choice([None, 1.5, 20.0, 33.3, rng.randrange(900) / 10]), "population": rng.choice([None, 10, 2000])} for i in range(200)])
