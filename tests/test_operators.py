@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import json
 import math
+import pathlib
 import random
 
 import numpy as np
@@ -411,6 +412,26 @@ def test_stream_landing(spark, tmp_path):
         assert [(r.npi, r.zip5) for r in got] == [(1, ["00501", "00099", "00099"][k])]  # the newest by time, whichever batch it came with
 
 
+def test_compaction_and_cleared_runs(spark, tmp_path):
+    from reachmap import storage
+    from reachmap.streaming import landing
+
+    path, schema = f"file://{tmp_path}/t", "k long, at string, v string"
+    for epoch, rows in enumerate([[(1, "b", "x"), (2, "a", "y")], [(1, "a", "late"), (3, None, "n")], [(2, "c", "z")]]):
+        writers.write_table(spark.createDataFrame(rows, schema), f"{path}/epoch={epoch}")
+    want = sorted(map(tuple, landing.latest(spark, path, ["k"], ["at"]).collect()))
+    for _ in range(2):
+        with storage.run(spark):
+            landing.compact(spark, path, ["k"], ["at"])
+        assert [p.name for p in (tmp_path / "t").glob("epoch=*")] == ["epoch=2"]
+        assert sorted(map(tuple, landing.latest(spark, path, ["k"], ["at"]).collect())) == want == [(1, "b", "x"), (2, "c", "z"), (3, None, "n")]
+    folder = storage.shared_dir(spark).removeprefix("file:").replace("//", "/")
+    with storage.run(spark):
+        kept = storage.written(spark.range(3), "cleared")
+        assert kept.count() == 3
+    assert not list(pathlib.Path(folder).glob("cleared-*"))
+
+
 def test_headers_of_all_files_must_agree(spark, tmp_path):
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "a.csv").write_text("FIPS,Name\n1,x\n")
