@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..storage import written
@@ -191,10 +191,25 @@ def _broadcast(items: DataFrame, max_tokens: int) -> Broadcast | None:
     return items.sparkSession.sparkContext.broadcast(Benchmark.of([(r["item_id"], r["text"]) for r in items.collect()]))
 
 
+def probes(seeds: DataFrame, texts_of: DataFrame, coverage: float) -> DataFrame:
+    """The rows of ``seeds`` (seed, width, item, size), a row for each place of an item, that texts are looked up by; texts_of: (seed, width, texts).
+
+    A text that covers enough of an item has the windows of so many of its places (``need``) that it has
+    one of any other set of places but need - 1. Those that fewest texts have are taken; so a window
+    that all texts have is asked for only if nearly all of the item is such windows.
+    """
+    of_item = Window.partitionBy("item")
+    need = F.ceil(F.lit(coverage) * F.col("size") / F.col("width"))
+    place = F.row_number().over(of_item.orderBy(F.coalesce("texts", F.lit(0)), "seed"))
+    # an item's places are bounded by its own length
+    ranked = seeds.join(texts_of, ["seed", "width"], "left").withColumns({"place": place, "places": F.count(F.lit(1)).over(of_item)})
+    return ranked.filter(F.col("place") <= F.col("places") - need + 1).select("seed", "width", "item").distinct()
+
+
 def _pairs_by_shuffle(texts: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
     """(key, item_id, item_tokens, covered, tiles) for texts (key, no, text), each once, where windows meet by a join.
 
-    A pair goes on if the places of the item that its seeds begin at could cover enough of it.
+    A pair goes on if the text has one of the item's rarest windows, of as many as show that it may cover enough.
     """
     items = written(items.select("item_id", "text", F.monotonically_increasing_id().alias("item")), "items")
 
@@ -220,9 +235,11 @@ def _pairs_by_shuffle(texts: DataFrame, items: DataFrame, coverage: float) -> Da
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), no)), pa.array(h), pa.array(w)], ["no", "seed", "width"])
 
     theirs = texts.select("no", "text").mapInArrow(text_seeds, "no long, seed long, width long")
-    # a row of the join is a place of the item that the text has the window of
-    met = theirs.join(ours, ["seed", "width"]).groupBy("no", "item").agg(F.count(F.lit(1)).alias("n"), F.first("width").alias("width"), F.first("size").alias("size"))
-    pairs = written(met.filter(F.col("n") * F.col("width") >= coverage * F.col("size")).select("no", "item"), "pairs")
+    # counted before they meet the items: a window of all texts is one row a task in the shuffle
+    counts = theirs.groupBy("seed", "width").agg(F.count(F.lit(1)).alias("texts"))
+    texts_of = written(counts.join(ours.select("seed", "width").distinct(), ["seed", "width"], "left_semi"), "seed-counts")
+    asked = written(probes(ours, texts_of, coverage), "probes")
+    pairs = written(theirs.join(asked, ["seed", "width"]).select("no", "item").distinct(), "pairs")
     both = pairs.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item").join(texts, "no").select("key", "item_id", "item_text", "text")
 
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

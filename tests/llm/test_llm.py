@@ -50,6 +50,25 @@ def test_vectors_of_great_and_tiny_entries(spark, size):
     assert got == {0: (3, 0), 1: (3, 0), 2: (0, 2), 3: (3, 0), 4: (3, 0)}
 
 
+def test_a_window_of_all_texts_and_items(spark):
+    """The shuffle of windows asks for the rare ones of an item, and finds what the broadcast benchmark finds."""
+    rng = np.random.default_rng(12)
+    hot = "all of the texts say this"
+    own = [" ".join(f"w{x}" for x in rng.integers(0, 4000, 25)) for _ in range(60)]
+    texts = [f"{hot} {i} {own[i % 60] if i % 4 == 0 else own[i % 60][:30]} {hot}" for i in range(400)] + [hot, None, ""]
+    items = [(i, f"{t} {hot}") for i, t in enumerate(own)] + [(100, hot), (101, f"{hot} {hot}"), (102, "tiny one"), (103, None)]
+    docs, bench = docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    whole, shuffled = (sorted(map(tuple, tiling.contaminated(docs, bench, max_tokens=most).collect())) for most in (tiling.MAX_TOKENS, 0))
+    assert whole == shuffled and len(whole) > 500
+    kept = tiling.without_contaminated(docs.filter("doc_id < 400"), bench.filter("item_id < 100"), max_tokens=0)
+    assert kept.filter("doc_id % 4 = 0").count() == 0 and kept.count() > 200
+    seeds = spark.createDataFrame([(1, 5, 7, 10), (2, 5, 7, 10), (3, 5, 7, 10), (4, 5, 7, 10), (4, 5, 7, 10), (9, 5, 8, 5)], "seed long, width long, item long, size long")
+    counts = spark.createDataFrame([(1, 5, 10**6), (2, 5, 3), (4, 5, 9), (9, 5, 10**6)], "seed long, width long, texts long")
+    # of five places one must be met: all but none are asked; half of ten tokens is one window of five
+    assert tiling.probes(seeds, counts, 0.5).count() == 5
+    assert sorted(r.seed for r in tiling.probes(seeds, counts, 1.0).filter("item = 7").collect()) == [2, 3, 4]
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2)) if a != b] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 5000 + i) for i in range(1, 50)]
