@@ -19,8 +19,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier gives 0.7 or more.
 
     A null or empty text has the score of the model's bias; with labels of one class
-    all stay (class 1) or go (class 0), without labels all go (score 0.5). Equal
-    texts fare alike.
+    all stay (class 1) or go (class 0), without labels all go (score 0.5); if the documents of
+    one class are not there, all have the share of class 1 among the labels. Equal texts fare alike.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, "doc_id", "text", "quality", ~quality.held_out("id"))
