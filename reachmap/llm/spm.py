@@ -22,6 +22,7 @@ import math
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,25 @@ from .vocab import Vocab
 CHUNK = 1 << 15
 #: Stretches that a worker remembers.
 CACHE = 250_000
+#: Characters of text whose new stretches are traced together, the fewest of these, and the longest.
+TOGETHER, FEWEST, LONGEST = 1 << 20, 64, 48
+
+
+class Walk:
+    """The beginnings of pieces as numbered nodes, 0 being none; many walks take a step by one search in the sorted (node, character) pairs."""
+
+    def __init__(self, vocab: Vocab) -> None:
+        number = {b: k for k, b in enumerate(vocab.begins, 1)}
+        steps = sorted((number.get(b[:-1], 0) << 21 | ord(b[-1]), k) for b, k in number.items())
+        self.keys, self.nodes = np.array(steps, np.int64).T.copy()
+        hits = [None, *vocab.begins.values()]
+        self.piece = np.array([h[0] if h else -1 for h in hits], np.int32)
+        self.score = np.array([h[1] if h else vocab.unk_score for h in hits])
+
+    def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        keys = nodes << 21 | chars
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.nodes[at], 0)
 
 
 class Encoder(dict):
@@ -44,7 +64,7 @@ class Encoder(dict):
 
     def __init__(self, vocab: Vocab) -> None:
         super().__init__()
-        self.vocab = vocab
+        self.vocab, self.walk = vocab, Walk(vocab)
         self.parts = re.compile(r"\n| *[^ \n]+| +" if vocab.cuts_at_line else r" *[^ ]+| +") if vocab.cuts_at_space else re.compile(r"(?s).+")
 
     def __missing__(self, text: str) -> bytes:
@@ -83,9 +103,70 @@ class Encoder(dict):
         ids.reverse()
         return array("i", ids).tobytes()
 
+    def trace_all(self, words: list[str]) -> list[bytes]:
+        """``trace`` of many non-empty stretches at once: the same sums in the same order, so the same paths."""
+        walk, sizes = self.walk, np.fromiter(map(len, words), np.int64, len(words))
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        starts = np.cumsum(sizes + 1) - sizes - 1  # states: one more than characters in each stretch
+        inner = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        left = np.repeat(sizes, sizes) - inner
+        walking, node, length = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0
+        found = []
+        while len(walking):
+            node = walk.step(node, chars[walking + length])
+            length += 1
+            hit = walk.piece[node] >= 0 if length > 1 else slice(None)  # a character without a piece is an edge too
+            found.append((walking[hit], np.full(len(walking[hit]), length), node[hit]))
+            on = (node > 0) & (left[walking] > length)
+            walking, node = walking[on], node[on]
+        begin, length, node = (np.concatenate(x) for x in zip(*found, strict=True))
+        group = inner[begin] << 32 | length
+        order = np.argsort(group, kind="stable")
+        begin, length, node, group = begin[order], length[order], node[order], group[order]
+        source, piece, score = inner[begin] + np.repeat(starts, sizes)[begin], walk.piece[node], walk.score[node]
+        best, back = np.full(len(chars) + len(words), -np.inf), np.zeros(len(chars) + len(words), np.int64)
+        best[starts] = 0.0
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # edges of one begin and one length: each stretch has one at most
+            to, total = source[a:b] + length[a], best[source[a:b]] + score[a:b]
+            better = np.flatnonzero(total > best[to])
+            best[to[better]], back[to[better]] = total[better], better + a
+        who, at, taken = np.arange(len(words)), starts + sizes, []
+        while len(who):
+            edge = back[at]
+            taken.append((who, piece[edge]))
+            at = at - length[edge]
+            on = at > starts[who]
+            who, at = who[on], at[on]
+        count = np.bincount(np.concatenate([w for w, _ in taken]), minlength=len(words))
+        ends, ids, by_bytes = np.cumsum(count), np.empty(count.sum(), np.int32), np.zeros(len(words), bool)
+        for k, (w, p) in enumerate(taken, 1):  # from the end of each stretch
+            ids[ends[w] - k] = p
+            by_bytes[w[p < 0]] = True
+        packed, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [self.trace(w) if odd else packed[a:b] for w, odd, a, b in zip(words, by_bytes.tolist(), cuts[:-1], cuts[1:], strict=True)]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that already have their leading space."""
+        out, begin, held = [], 0, 0
+        for k, text in enumerate(texts, 1):
+            held += len(text)
+            if held < TOGETHER and k < len(texts):
+                continue
+            parts = [self.parts.findall(t) for t in texts[begin:k]]
+            new = [p for p in set(chain.from_iterable(parts)) - self.keys() if len(p) <= LONGEST]
+            if len(new) >= FEWEST:
+                self.update(zip(new, self.trace_all(new), strict=True))
+            out += [np.frombuffer(b"".join(map(self.__getitem__, p)), np.int32) for p in parts]
+            if len(self) > CACHE:
+                for p in new:
+                    self.pop(p, None)
+            begin, held = k, 0
+        return out
+
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a text that already has its leading space."""
-        return np.frombuffer(b"".join(map(self.__getitem__, self.parts.findall(text))), np.int32)
+        """Ids of one such text."""
+        return self.encode_all([text])[0]
 
     def score(self, text: str) -> float:
         """Score of the best path."""
@@ -198,7 +279,7 @@ def _long_ids(texts: DataFrame, shared, chunk: int) -> DataFrame:
         encoder = encoder_of(shared.value)
         for batch in batches:
             parts = [p[b : n + o] for n, p, b, o in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
-            ids = [encoder.encode(p) for p in parts]
+            ids = encoder.encode_all(parts)
             exact = [text_of(i, encoder.vocab) == p for p, i in zip(parts, ids, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(exact)], ["key", "no", "ids", "exact"])
 
@@ -222,7 +303,8 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", exact_
         encoder, place = encoder_of(shared.value), names.index(text_col)
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            ids = [None if t is None else encoder.encode(" " + t if t else "") for t in texts]
+            found = encoder.encode_all([" " + t if t else "" for t in texts])
+            ids = [None if t is None else i for t, i in zip(texts, found, strict=True)]
             exact = [t is None or text_of(i, encoder.vocab)[1:] == t for t, i in zip(texts, ids, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(exact, pa.bool_())], [*names, ids_col, exact_col])
 

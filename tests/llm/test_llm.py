@@ -975,6 +975,19 @@ def test_encode_and_decode_frames(spark):
     assert [r.n_tokens for r in spm.round_trip(docs_of(spark, ODD[:2])).orderBy("doc_id").collect()] == [0, 0]
 
 
+def test_stretches_traced_together_have_the_ids_of_each_alone():
+    encoder, random = spm.Encoder(vocab.load()), np.random.default_rng(9)
+    letters = list("etaoinsrhld  \n.0é漢🙂") + [" the", "ing", "\u2581", "\u0e01"]
+    words = sorted({"".join(random.choice(letters, n)) for n in random.integers(1, 40, 3000)} | {"a", "🙂", " ", "a" * 48})
+    assert encoder.trace_all(words) == [encoder.trace(w) for w in words]
+    texts = ["", " ", *[" " + " ".join(random.choice(words, 30)) for _ in range(50)], " " + "é" * 5000]
+    plain = [b"".join(map(encoder.trace, encoder.parts.findall(t))) for t in texts]
+    assert [i.tobytes() for i in encoder.encode_all(texts)] == plain
+    full = spm.Encoder(encoder.vocab)
+    full.update({str(k): b"" for k in range(-spm.CACHE - 1, 0)})  # full: what is new is forgotten again
+    assert [i.tobytes() for i in full.encode_all(texts)] == plain and len(full) == spm.CACHE + 1
+
+
 # ---- lattice --------------------------------------------------------------------------------
 
 
