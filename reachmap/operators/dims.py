@@ -91,11 +91,25 @@ def assert_unique(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
+def one_row_a_key(df: DataFrame, key: str) -> DataFrame:
+    """``df``, in whose plan a key that repeats is an error; null keys, which join with nothing, go.
+
+    The rows meet by key as the join that follows has them meet, so a large table is not shuffled once more.
+    """
+    row = F.struct(*[c for c in df.columns if c != key])
+    again = F.raise_error(F.concat(F.lit(f"{key} repeats: "), F.col(key).cast("string")))
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.when(F.count(F.lit(1)) == 1, F.first(row)).otherwise(again).alias("row")).select(key, "row.*")
+
+
 def merge_areas(base: DataFrame, rural: DataFrame, n_providers: DataFrame, n_facilities: DataFrame, shortage: DataFrame, measured: DataFrame, points: DataFrame) -> DataFrame:
-    """One wide row for each census area of the fifty states and DC: six left joins on the key, counts 0 and flags false where nothing joins."""
+    """One wide row for each census area of the fifty states and DC: six left joins on the key, counts 0 and flags false where nothing joins.
+
+    A key that repeats in rurality, measure or points is an error, as it would multiply areas; the others are grouped by it.
+    """
     allowed = states(base.sparkSession).select("prefix", "state")
     wide = base.withColumn("prefix", F.substring("fips", 1, 2)).join(F.broadcast(allowed), "prefix")  # 51 rows
-    for right in (rural, n_providers, n_facilities, shortage, measured.select("fips", "disease_measure"), points):
+    rural, measured, points = (one_row_a_key(t, "fips") for t in (rural, measured.select("fips", "disease_measure"), points))
+    for right in (rural, n_providers, n_facilities, shortage, measured, points):
         wide = wide.join(right, "fips", "left")
     return wide.select(
         "fips", "state", F.col("county_name").alias("county"), to_integer(F.col("population")).alias("population"), to_integer(F.col("median_hh_income")).alias("median_hh_income"),

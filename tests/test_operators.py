@@ -235,6 +235,15 @@ def test_assert_unique(spark):
     assert dims.assert_unique(df.distinct(), "k").count() == 1
 
 
+def test_repeated_keys_are_errors_in_the_plan(spark):
+    df = spark.createDataFrame([("01001", 1, None), ("01003", 2, "x"), (None, 3, "y"), (None, 4, "z")], "fips string, a int, b string")
+    assert sorted(map(tuple, dims.one_row_a_key(df, "fips").collect())) == [("01001", 1, None), ("01003", 2, "x")]
+    checked = dims.one_row_a_key(df.union(df.filter("a = 2")), "fips")
+    with pytest.raises(Exception, match="fips repeats: 01003"):
+        checked.collect()
+    assert dims.one_row_a_key(df.limit(0), "fips").collect() == []
+
+
 # ---- distance -------------------------------------------------------------------------------
 
 
