@@ -5,7 +5,7 @@ counts of all training texts. The lattice score takes the pieces of an existing
 vocabulary, weighted by its own scores, and sums over all segmentations of every
 word by the forward recursion in log space. A word that training has counted is
 one edge more in its lattice, from end to end, weighted by its count; WORD_SHARE
-of the probability goes to these edges. Pieces don't go on over a space, so the
+of the probability goes to these edges; ``pieces_score`` is what the lattice gives without them. Pieces don't go on over a space, so the
 lattice of a text is the product of the lattices of its words, and each distinct
 word of the corpus is worked out once.
 
@@ -150,7 +150,7 @@ def with_words(z: np.ndarray, c: np.ndarray, tokens: int) -> np.ndarray:
 
 
 def lattice_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", path: str = vocabs.DEFAULT_PATH) -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row; both scores in log10."""
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, pieces_score) for each row; scores in log10, the last one by the vocabulary's pieces and the end alone."""
     spark = docs.sparkSession
     vocab = vocabs.load(path)
     weights, byte = piece_weights(vocab)
@@ -174,13 +174,14 @@ def lattice_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", te
     end = math.log10(ends + 1) - whole
     inside = math.log10(1 - 10**end) if ends and end < 0 else 0.0
 
-    def scores(own: pa.RecordBatch, logs: np.ndarray, seen: np.ndarray, z: np.ndarray) -> pa.RecordBatch:
+    def scores(own: pa.RecordBatch, logs: np.ndarray, seen: np.ndarray, z: np.ndarray, pieces: np.ndarray) -> pa.RecordBatch:
         places = [unpacked(p) for p in own["places"].to_pylist()]
         return pa.RecordBatch.from_pydict({
             "id": own["id"], "held_out": own["held_out"], "n_tokens": pa.array([len(p) + 1 for p in places], pa.int64()),
             "n_known": pa.array([int(seen[p].sum()) + (ends > 0) for p in places], pa.int64()),
             "base_score": pa.array([float(logs[p].sum()) - len(p) * whole + end for p in places], pa.float64()),
             "score": pa.array([float(z[p].sum()) + len(p) * inside + end for p in places], pa.float64()),
+            "pieces_score": pa.array([float(pieces[p].sum()) + len(p) * inside + end for p in places], pa.float64()),
         })
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +202,7 @@ def lattice_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", te
                 if looked_up is None:
                     place, c, z = (np.concatenate([x[k] for x in table]) for k in range(3)) if table else (np.empty(0, np.int32), np.empty(0), np.empty(0))
                     by = np.argsort(place)  # every place of the list once
-                    looked_up = np.log10(c[by] + 1), c[by] > 0, with_words(z[by], c[by], tokens)
+                    looked_up = np.log10(c[by] + 1), c[by] > 0, with_words(z[by], c[by], tokens), z[by]
                 yield scores(part, *looked_up)
 
     table = words.join(known, "word").select("block", F.lit(False).alias("is_text"), "place", "c", "z")
@@ -210,8 +211,8 @@ def lattice_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", te
     task, k = F.shiftright("block", 32), F.col("block").bitwiseAND(F.lit(0xFFFFFFFF))
     deal = F.pmod(task + k * ((last >> 32) + 1), F.lit(1 << 30)).cast("int")
     dealt = both.repartitionById(int(spark.conf.get("spark.sql.shuffle.partitions")), deal).sortWithinPartitions("block", "is_text")
-    scored = dealt.mapInArrow(score, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    scored = dealt.mapInArrow(score, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, pieces_score double")
+    return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", "pieces_score")
 
 
 def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1020,6 +1020,7 @@ def test_lattice_scores(spark):
         if i != 9:  # the long word's weight underflows here
             mixed = [math.log10(0.5 * 10 ** marginal(" " + w.decode()) + 0.5 * c[w] / (total - c["$"])) for w in ws]
             assert r.score == pytest.approx(math.log10(end) + sum(x + math.log10(1 - end) for x in mixed))
+            assert r.pieces_score == pytest.approx(math.log10(end) + sum(marginal(" " + w.decode()) + math.log10(1 - end) for w in ws))
     assert math.isfinite(got[9].score)
 
 
