@@ -13,6 +13,7 @@ from reachmap.plans.queries import QUERIES
 
 NAMES = [
     "q10_merge_areas",
+    "q12_area_atlas",
 ]
 
 
