@@ -14,6 +14,7 @@ from reachmap.plans.queries import QUERIES
 NAMES = [
     "q10_merge_areas",
     "q12_area_atlas",
+    "q13a_filter_none",
 ]
 
 
