@@ -15,6 +15,7 @@ NAMES = [
     "q10_merge_areas",
     "q12_area_atlas",
     "q13a_filter_none",
+    "q13b_filter_state",
 ]
 
 
