@@ -16,6 +16,7 @@ NAMES = [
     "q12_area_atlas",
     "q13a_filter_none",
     "q13b_filter_state",
+    "q13c_filter_rural",
 ]
 
 
