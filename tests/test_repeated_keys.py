@@ -17,6 +17,7 @@ NAMES = [
     "q13a_filter_none",
     "q13b_filter_state",
     "q13c_filter_rural",
+    "q13d_filter_facility",
 ]
 
 
