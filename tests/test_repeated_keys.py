@@ -18,6 +18,7 @@ NAMES = [
     "q13b_filter_state",
     "q13c_filter_rural",
     "q13d_filter_facility",
+    "q13e_filter_shortage",
 ]
 
 
