@@ -19,6 +19,7 @@ NAMES = [
     "q13c_filter_rural",
     "q13d_filter_facility",
     "q13e_filter_shortage",
+    "q13f_filter_stacked",
 ]
 
 
