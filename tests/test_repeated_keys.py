@@ -20,6 +20,7 @@ NAMES = [
     "q13d_filter_facility",
     "q13e_filter_shortage",
     "q13f_filter_stacked",
+    "q14_national_stats",
 ]
 
 
