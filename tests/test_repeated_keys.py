@@ -21,6 +21,7 @@ NAMES = [
     "q13e_filter_shortage",
     "q13f_filter_stacked",
     "q14_national_stats",
+    "q15_state_stats",
 ]
 
 
