@@ -22,6 +22,7 @@ NAMES = [
     "q13f_filter_stacked",
     "q14_national_stats",
     "q15_state_stats",
+    "q16_density_histogram",
 ]
 
 
