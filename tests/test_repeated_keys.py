@@ -23,6 +23,7 @@ NAMES = [
     "q14_national_stats",
     "q15_state_stats",
     "q16_density_histogram",
+    "q17_distance_histogram",
 ]
 
 
