@@ -24,6 +24,7 @@ NAMES = [
     "q15_state_stats",
     "q16_density_histogram",
     "q17_distance_histogram",
+    "q18_map_layer",
 ]
 
 
