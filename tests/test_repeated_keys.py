@@ -25,6 +25,7 @@ NAMES = [
     "q16_density_histogram",
     "q17_distance_histogram",
     "q18_map_layer",
+    "q19_area_report",
 ]
 
 
