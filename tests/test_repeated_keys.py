@@ -26,6 +26,7 @@ NAMES = [
     "q17_distance_histogram",
     "q18_map_layer",
     "q19_area_report",
+    "q20_area_card",
 ]
 
 
