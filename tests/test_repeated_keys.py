@@ -29,6 +29,7 @@ NAMES = [
     "q20_area_card",
     "q25_json_rows",
     "q24_pipeline_summary",
+    "q26_lookup",
 ]
 
 
