@@ -30,6 +30,7 @@ NAMES = [
     "q25_json_rows",
     "q24_pipeline_summary",
     "q26_lookup",
+    "q44_area_export",
 ]
 
 
