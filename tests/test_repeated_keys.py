@@ -31,6 +31,7 @@ NAMES = [
     "q24_pipeline_summary",
     "q26_lookup",
     "q44_area_export",
+    "q53_json_array",
 ]
 
 
