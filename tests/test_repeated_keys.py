@@ -32,6 +32,7 @@ NAMES = [
     "q26_lookup",
     "q44_area_export",
     "q53_json_array",
+    "q55_subset_stats",
 ]
 
 
