@@ -33,6 +33,7 @@ NAMES = [
     "q44_area_export",
     "q53_json_array",
     "q55_subset_stats",
+    "q58_area_array",
 ]
 
 
