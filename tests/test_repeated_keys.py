@@ -34,6 +34,7 @@ NAMES = [
     "q53_json_array",
     "q55_subset_stats",
     "q58_area_array",
+    "q59_report_files",
 ]
 
 
