@@ -35,6 +35,7 @@ NAMES = [
     "q55_subset_stats",
     "q58_area_array",
     "q59_report_files",
+    "q60_lookup_by_key",
 ]
 
 
