@@ -15,6 +15,7 @@ COPIES = 16
 NAMES = [
     "q12_area_atlas",
     "q14_national_stats",
+    "q15_state_stats",
 ]
 
 
