@@ -19,6 +19,7 @@ NAMES = [
     "q16_density_histogram",
     "q17_distance_histogram",
     "q24_pipeline_summary",
+    "q55_subset_stats",
 ]
 
 
