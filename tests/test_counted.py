@@ -20,6 +20,7 @@ NAMES = [
     "q17_distance_histogram",
     "q24_pipeline_summary",
     "q55_subset_stats",
+    "q18_map_layer",
 ]
 
 
