@@ -21,6 +21,7 @@ NAMES = [
     "q24_pipeline_summary",
     "q55_subset_stats",
     "q18_map_layer",
+    "q19_area_report",
 ]
 
 
