@@ -22,6 +22,7 @@ NAMES = [
     "q55_subset_stats",
     "q18_map_layer",
     "q19_area_report",
+    "q20_area_card",
 ]
 
 
