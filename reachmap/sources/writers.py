@@ -20,21 +20,21 @@ def json_row(df: DataFrame) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def json_rows(df: DataFrame, key: str) -> DataFrame:
-    """(key, json) for each row; write it as text for JSON lines of any size."""
-    return df.select(key, json_row(df).alias("json"))
+def json_rows(df: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, json, *keep) for each row, whose JSON is without ``keep``; write it as text for JSON lines of any size."""
+    return df.select(key, json_row(df.drop(*keep)).alias("json"), *keep)
 
 
-def write_json_array(df: DataFrame, key: str, path: str) -> None:
+def write_json_array(df: DataFrame, key: str, path: str, n: str | None = None) -> None:
     """One JSON array of all rows sorted by ``key``, as text files that give the array if they are read one after the other, by name.
 
     Rows go out by ranges of the key, each with the mark before it: the bracket before the first
     row, commas before the others; the last one closes the array. Equal rows are counted before
     they are dealt out, and come one after the other; rows of one key go by their text. A table without
-    rows gives ``[]``.
+    rows gives ``[]``. A row stands for ``n`` equal ones if it has that column, which is not written.
     """
     # written: its least and greatest row are asked for before it is dealt out
-    rows = written(df.groupBy(F.col(key).alias("k"), json_row(df).alias("j")).agg(F.count(F.lit(1)).alias("n")), "json-rows")
+    rows = written(df.groupBy(F.col(key).alias("k"), json_row(df.drop(n) if n else df).alias("j")).agg(F.sum(F.col(n) if n else F.lit(1)).alias("n")), "json-rows")
     ends = rows.agg(F.min(F.struct("k", "j")).alias("a"), F.max(F.struct("k", "j", "n")).alias("z")).first()
     if ends.a is None:
         df.sparkSession.range(1).select(F.lit("[]").alias("value")).coalesce(1).write.mode("overwrite").text(path)

@@ -23,6 +23,7 @@ NAMES = [
     "q18_map_layer",
     "q19_area_report",
     "q20_area_card",
+    "q25_json_rows",
 ]
 
 
