@@ -24,6 +24,7 @@ NAMES = [
     "q19_area_report",
     "q20_area_card",
     "q25_json_rows",
+    "q26_lookup",
 ]
 
 
