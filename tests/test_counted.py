@@ -26,6 +26,7 @@ NAMES = [
     "q25_json_rows",
     "q26_lookup",
     "q60_lookup_by_key",
+    "q44_area_export",
 ]
 
 
