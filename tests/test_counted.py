@@ -27,6 +27,7 @@ NAMES = [
     "q26_lookup",
     "q60_lookup_by_key",
     "q44_area_export",
+    "q53_json_array",
 ]
 
 
