@@ -28,6 +28,7 @@ NAMES = [
     "q60_lookup_by_key",
     "q44_area_export",
     "q53_json_array",
+    "q58_area_array",
 ]
 
 
