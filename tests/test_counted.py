@@ -29,6 +29,7 @@ NAMES = [
     "q44_area_export",
     "q53_json_array",
     "q58_area_array",
+    "q59_report_files",
 ]
 
 
