@@ -117,19 +117,28 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def counted(df: DataFrame, name: str, **flags: Column) -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame, name: str, **flags: Column) -> tuple[DataFrame, Observation]:
     """``df`` and an observation of its rows, and of those where each flag holds; filled by the next action over it."""
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(flag).alias(n) for n, flag in flags.items()]), seen
 
 
-def counted(df: DataFrame, n: str = "n") -> DataFrame:
-    """The distinct rows of ``df``, each with how often it is there."""
+def grouped(df: DataFrame, n: str = "n") -> DataFrame:
+    """The distinct rows of ``df``, each with ``n``, how often it is there."""
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(n))
 
 
+def counted(df: DataFrame, name: str | None = None, **flags: Column) -> DataFrame | tuple[DataFrame, Observation]:
+    """The one name for both counts: with the name of an observation ``observed``, else ``grouped``."""
+    if name is not None:
+        return observed(df, name, **flags)
+    if flags:
+        raise TypeError("flags are counted by an observation, which has a name")
+    return grouped(df)
+
+
 def expanded(df: DataFrame, n: str = "n") -> DataFrame:
-    """Each row as often as ``n`` says (null: once), without ``n``: the inverse of ``counted``. Copies follow each other, so a sorted table stays sorted."""
+    """Each row as often as ``n`` says (null: once), without ``n``: the inverse of ``grouped``. Copies follow each other, so a sorted table stays sorted."""
     bits = 16  # copies are made in runs, so that no array of them is long
     rows = df.withColumn(n, F.coalesce(n, F.lit(1).cast("long")))
     runs = rows.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col(n) - 1, bits))))

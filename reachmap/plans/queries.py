@@ -60,7 +60,7 @@ query("q14_national_stats")(lambda i: view.national_stats(i.counted_atlas(), "n"
 query("q15_state_stats")(lambda i: view.state_stats(i.counted_atlas(), "n"))
 query("q16_density_histogram")(lambda i: view.histogram(i.counted_atlas(), "density", "n"))
 query("q17_distance_histogram")(lambda i: view.histogram(i.counted_atlas(), "distance", "n"))
-query("q18_map_layer")(lambda i: records.expanded(view.map_layer(records.counted(i.census().select("fips")), i.counted_atlas(), AreaQuery(state="TX", rural_only=True, metric="distance"), "n")))
+query("q18_map_layer")(lambda i: records.expanded(view.map_layer(records.grouped(i.census().select("fips")), i.counted_atlas(), AreaQuery(state="TX", rural_only=True, metric="distance"), "n")))
 query("q19_area_report")(lambda i: records.expanded(report.area_reports(i.counted_atlas(), dims.states(i.spark), keep=("n",))))
 query("q20_area_card")(lambda i: records.expanded(report.area_cards(i.counted_atlas(), dims.states(i.spark), keep=("n",))))
 query("q21_state_extent")(lambda i: view.state_extent(i.area_points().select("fips", F.col("county_lat").alias("lat"), F.col("county_lng").alias("lng")), dims.states(i.spark)))
@@ -207,7 +207,7 @@ query("q50_nearest_by_wide_cubes")(lambda i: i.nearest(leaf=1, fan=2, top=8))  #
 def _counters(i: Inputs) -> DataFrame:
     """Rows of the raw facilities and those with an id or of the kind, counted while they are written."""
     places = assign.facilities(i.raw("fx_hospital"))
-    df, seen = records.counted(places, "facilities", with_id=F.col("ccn").isNotNull(), of_kind=F.col("is_kind"))
+    df, seen = records.observed(places, "facilities", with_id=F.col("ccn").isNotNull(), of_kind=F.col("is_kind"))
     kept = written(df, "facilities").count()
     return i.spark.createDataFrame([(seen.get["rows"], seen.get["with_id"], seen.get["of_kind"], kept)], "n_rows long, with_id long, of_kind long, kept long")
 

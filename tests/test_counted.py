@@ -112,3 +112,12 @@ def test_merged_and_counted(spark):
     assert sorted((r.fips, r.rucc_2023, r.disease_measure, r.n) for r in found.filter("fips = '01001'").collect()) == [("01001", 2, 7.0, 16), ("01001", 2, 8.0, 8), ("01001", 5, 7.0, 8), ("01001", 5, 8.0, 4)]
     whole = dims.merge_areas(*tables).dropna(subset=["county_lat", "county_lng"]).drop("county_lat", "county_lng")
     assert sorted(map(str, records.expanded(found).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_rows_counted_in_both_ways(spark):
+    rows = spark.createDataFrame([("a", True), ("a", True), ("b", False), (None, None)], "k string, rural boolean")
+    df, seen = records.counted(rows, "rows of both", rural=F.col("rural"), with_key=F.col("k").isNotNull())
+    assert df.count() == 4 and seen.get == {"rows": 4, "rural": 2, "with_key": 3}
+    assert sorted(map(tuple, records.counted(rows).collect()), key=str) == sorted([("a", True, 2), ("b", False, 1), (None, None, 1)], key=str)
+    with pytest.raises(TypeError):
+        records.counted(rows, rural=F.col("rural"))
