@@ -137,13 +137,27 @@ def counted(df: DataFrame, name: str | None = None, **flags: Column) -> DataFram
     return grouped(df)
 
 
-def expanded(df: DataFrame, n: str = "n") -> DataFrame:
-    """Each row as often as ``n`` says (null: once), without ``n``: the inverse of ``grouped``. Copies follow each other, so a sorted table stays sorted."""
-    bits = 16  # copies are made in runs, so that no array of them is long
-    rows = df.withColumn(n, F.coalesce(n, F.lit(1).cast("long")))
-    runs = rows.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col(n) - 1, bits))))
-    length = F.least(F.lit(1 << bits).cast("long"), F.col(n) - F.shiftleft("_run", bits))
-    return runs.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), length))).drop(n, "_run", "_copy")
+#: Bits of the number of copies that are made from one row in one go, and of those in the shortest loop.
+RUN, LOOP = 13, 8
+
+
+def expanded(df: DataFrame, n: str = "n", dealt: bool = False) -> DataFrame:
+    """Each row as often as ``n`` says (null: once), without ``n``: the inverse of ``grouped``. Copies follow each other, so a sorted table stays sorted.
+
+    ``dealt``: the copies of a row are made by many tasks, in runs, and in no order; for rows that stand for very many.
+    """
+    runs = _parts(df.withColumn(n, F.coalesce(n, F.lit(1).cast("long"))), n, RUN)
+    if dealt:
+        # a number of its own: Spark would join partitions by their bytes, which say nothing of the copies
+        runs = runs.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[c for c, kind in runs.dtypes if not kind.startswith("map")])
+    loops = _parts(runs.drop("_part"), n, LOOP).drop("_part")
+    return loops.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col(n).cast("int")))).drop(n, "_copy")
+
+
+def _parts(df: DataFrame, n: str, bits: int) -> DataFrame:
+    """Each row in parts of 2^bits copies at most: ``n`` of that part, and its number ``_part``."""
+    parts = df.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col(n) - 1, bits))))
+    return parts.withColumn(n, F.least(F.lit(1 << bits).cast("long"), F.col(n) - F.shiftleft("_part", bits)))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -62,7 +62,8 @@ class Inputs:
         return self.census(), self.rurality(), self.providers_by_area(), self.facilities_by_area(), self.shortage(), self.measure(), self.area_points()
 
     def merged(self) -> DataFrame:
-        return dims.merge_areas(*self.parts())
+        """The wide row of each area, equal ones counted in the joins."""
+        return records.expanded(dims.merge_counted(*self.parts(), with_points=True))
 
     def provider_points(self) -> DataFrame:
         """Centroids of the postal codes that have a provider; one row a code, before the join."""

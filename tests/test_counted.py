@@ -88,6 +88,18 @@ def test_query_multiplies_no_rows_in_joins(spark, duck, folder, name):
     assert 0 < most < 4 * duck.execute(f"SELECT count(*) FROM (SELECT DISTINCT * FROM ({ORACLE_SQL['q13a_filter_none']}))").fetchone()[0]
 
 
+def test_merged_areas_are_multiplied_last(spark, duck, folder):
+    def run():
+        got = QUERIES["q10_merge_areas"](spark, folder)
+        return got.columns, got.groupBy(*got.columns).agg(F.count(F.lit(1)).alias("copies")).collect()
+
+    (columns, found), most = joined_rows(spark, run)
+    result = duck.execute(f"SELECT *, count(*) AS copies FROM ({ORACLE_SQL['q10_merge_areas']}) GROUP BY ALL")
+    assert rows([*columns, "copies"], found) == rows([d[0] for d in result.description], result.fetchall())
+    # each area of the result is there ten times or more
+    assert 0 < most <= len(found) < sum(r.copies for r in found) / 10
+
+
 def test_expanded_rows(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3), ("c", None), ("d", 65536), ("e", 65537), ("f", 200_000)], "k string, n long")
     want = {"a": 1, "b": 3, "c": 1, "d": 65536, "e": 65537, "f": 200_000}
