@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_queries import SF, rows
 
-from reachmap.operators import dims, records
+from reachmap.operators import dims, records, view
 from reachmap.plans.oracle import ORACLE_SQL
 from reachmap.plans.queries import QUERIES
 
@@ -133,3 +133,15 @@ def test_rows_counted_in_both_ways(spark):
     assert sorted(map(tuple, records.counted(rows).collect()), key=str) == sorted([("a", True, 2), ("b", False, 1), (None, None, 1)], key=str)
     with pytest.raises(TypeError):
         records.counted(rows, rural=F.col("rural"))
+
+
+def test_layer_has_each_row_once_and_its_copies_are_dealt_out(spark):
+    ids = spark.createDataFrame([("01001", 3), ("48001", 2)], "fips string, n long")
+    areas = [(k, f"{c} of {k}", s, 1.5, True, m) for k, s in (("01001", "AL"), ("48001", "TX")) for c, m in (("A", 10_000), ("B", 20_000))]
+    layer = view.map_layer(ids, spark.createDataFrame(areas, "fips string, county string, state string, miles_to_nearest double, rural boolean, n long"), view.AreaQuery(state="TX", rural_only=True, metric="distance"), "n")
+    want = [("01001", None, 90_000), ("48001", "A of 48001, TX", 20_000), ("48001", "B of 48001, TX", 40_000)]
+    assert sorted((r.fips, r.label, r.n) for r in layer.collect()) == want
+    dealt = records.expanded(layer, dealt=True)
+    assert sorted(map(tuple, dealt.groupBy("fips", "label").count().collect())) == want
+    # copies of the one row outside of the state come out of several tasks
+    assert dealt.filter("fips = '01001'").select(F.spark_partition_id()).distinct().count() > 1
