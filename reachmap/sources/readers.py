@@ -106,13 +106,14 @@ def read_or_empty(spark: SparkSession, read, schema: str, required: Sequence[str
     return df if set(required) <= set(df.columns) else spark.createDataFrame([], schema)
 
 
-def read_areas(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """The exported array of area records, of any size, or with ``lines`` a record on each line."""
+def read_areas(spark: SparkSession, path: str, lines: bool = False, n: str | None = None) -> DataFrame:
+    """The exported array of area records, of any size, or with ``lines`` a record on each line; records that say in ``n`` how many they stand for have that column."""
+    schema = AREA_SCHEMA if n is None else f"{AREA_SCHEMA}, {n} bigint"
     if lines:
-        return spark.read.schema(AREA_SCHEMA).json(path)
+        return spark.read.schema(schema).json(path)
     records, heads = ranges.read_records(spark, path, ranges.OBJECTS)
     both = records.select("record").unionByName(heads.select(F.col("head").alias("record")))  # there is no header
-    return both.select(F.from_json("record", AREA_SCHEMA).alias("r")).select("r.*")
+    return both.select(F.from_json("record", schema).alias("r")).select("r.*")
 
 
 @contextlib.contextmanager

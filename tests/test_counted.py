@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_queries import SF, rows
 
+from reachmap import storage
 from reachmap.operators import dims, records, view
 from reachmap.plans.oracle import ORACLE_SQL
 from reachmap.plans.queries import QUERIES
@@ -145,3 +146,11 @@ def test_layer_has_each_row_once_and_its_copies_are_dealt_out(spark):
     assert sorted(map(tuple, dealt.groupBy("fips", "label").count().collect())) == want
     # copies of the one row outside of the state come out of several tasks
     assert dealt.filter("fips = '01001'").select(F.spark_partition_id()).distinct().count() > 1
+
+
+@pytest.mark.parametrize(("name", "label"), [("q44_area_export", "areas")])
+def test_files_hold_equal_records_once(spark, folder, name, label):
+    got = QUERIES[name](spark, folder)
+    path = next(p for p in reversed(storage._given) if p.rpartition("/")[2].startswith(f"{label}-"))
+    held = spark.read.format("parquet" if label == "reports" else "text").load(path)
+    assert got.distinct().count() == held.count() < got.count() / 100
