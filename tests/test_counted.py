@@ -148,7 +148,7 @@ def test_layer_has_each_row_once_and_its_copies_are_dealt_out(spark):
     assert dealt.filter("fips = '01001'").select(F.spark_partition_id()).distinct().count() > 1
 
 
-@pytest.mark.parametrize(("name", "label"), [("q44_area_export", "areas"), ("q58_area_array", "array")])
+@pytest.mark.parametrize(("name", "label"), [("q44_area_export", "areas"), ("q58_area_array", "array"), ("q59_report_files", "reports")])
 def test_files_hold_equal_records_once(spark, folder, name, label):
     got = QUERIES[name](spark, folder)
     path = next(p for p in reversed(storage._given) if p.rpartition("/")[2].startswith(f"{label}-"))
