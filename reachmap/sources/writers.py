@@ -25,26 +25,34 @@ def json_rows(df: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(key, json_row(df.drop(*keep)).alias("json"), *keep)
 
 
-def write_json_array(df: DataFrame, key: str, path: str, n: str | None = None) -> None:
+#: Bits of the number of lines that are put together as one text.
+RUN = 10
+
+
+def write_json_array(df: DataFrame, key: str, path: str, n: str | None = None, compression: str = "none") -> None:
     """One JSON array of all rows sorted by ``key``, as text files that give the array if they are read one after the other, by name.
 
     Rows go out by ranges of the key, each with the mark before it: the bracket before the first
     row, commas before the others; the last one closes the array. Equal rows are counted before
     they are dealt out, and come one after the other; rows of one key go by their text. A table without
-    rows gives ``[]``. A row stands for ``n`` equal ones if it has that column, which is not written.
+    rows gives ``[]``. A row stands for ``n`` equal ones if it has that column, which is not written. Compressed
+    files, whose equal lines take little room, give the array if they are unpacked.
     """
     # written: its least and greatest row are asked for before it is dealt out
     rows = written(df.groupBy(F.col(key).alias("k"), json_row(df.drop(n) if n else df).alias("j")).agg(F.sum(F.col(n) if n else F.lit(1)).alias("n")), "json-rows")
     ends = rows.agg(F.min(F.struct("k", "j")).alias("a"), F.max(F.struct("k", "j", "n")).alias("z")).first()
     if ends.a is None:
-        df.sparkSession.range(1).select(F.lit("[]").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+        df.sparkSession.range(1).select(F.lit("[]").alias("value")).coalesce(1).write.mode("overwrite").option("compression", compression).text(path)
         return
-    copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    # lines of equal rows are put together in runs, a text each
+    runs = rows.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col("n") - 1, RUN))))
+    left = F.col("n") - F.shiftleft("run", RUN)
     same = lambda r: F.col("k").eqNullSafe(F.lit(r.k)) & (F.col("j") == r.j)
-    first, last = same(ends.a) & (F.col("copy") == 1), same(ends.z) & (F.col("copy") == ends.z.n)
-    text = F.concat(F.when(first, "[").otherwise(","), "j", F.when(last, "]").otherwise(""))
-    order = ["k", "j", "copy"]
-    copies.repartitionByRange(*order).sortWithinPartitions(*order).select(text.alias("value")).write.mode("overwrite").text(path)
+    first, last = same(ends.a) & (F.col("run") == 0), same(ends.z) & (left <= 1 << RUN)
+    others = F.repeat(F.concat(F.lit("\n,"), "j"), (F.least(left, F.lit(1 << RUN)) - 1).cast("int"))
+    text = F.concat(F.when(first, "[").otherwise(","), "j", others, F.when(last, "]").otherwise(""))
+    order = ["k", "j", "run"]
+    runs.repartitionByRange(*order).sortWithinPartitions(*order).select(text.alias("value")).write.mode("overwrite").option("compression", compression).text(path)
 
 
 def write_reports(reports: DataFrame, path: str) -> None:

@@ -154,3 +154,10 @@ def test_files_hold_equal_records_once(spark, folder, name, label):
     path = next(p for p in reversed(storage._given) if p.rpartition("/")[2].startswith(f"{label}-"))
     held = spark.read.format("parquet" if label == "reports" else "text").load(path)
     assert got.distinct().count() == held.count() < got.count() / 100
+
+
+def test_array_takes_little_room_where_lines_are_equal(spark, folder):
+    lines = QUERIES["q53_json_array"](spark, folder)
+    path = next(p for p in reversed(storage._given) if p.rpartition("/")[2].startswith("array-")).removeprefix("file://")
+    on_disk = sum(os.path.getsize(f"{path}/{name}") for name in os.listdir(path))
+    assert 0 < on_disk < lines.agg(F.sum(F.octet_length("line"))).first()[0] / 50
